@@ -54,7 +54,7 @@ def _complaints(spark, sf_dir):
         .agg(
             F.sum(F.col("l_quantity").cast("bigint")).alias("quantidade_total_de_reclamacoes"),
             F.sum("l_orderkey").alias("quantidade_total_de_clientes_ccs_e_scr"),
-            F.sum(F.col("l_discount").cast("decimal(10,2)")).alias("indice"),
+            F.sum(F.col("l_discount").cast("decimal(8,2)")).cast("double").alias("indice"),
         )
     )
     names = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("instituicao_financeira"))
@@ -81,8 +81,8 @@ def _employees(spark, sf_dir):
     return stage(scores.select(F.concat(F.lit("  "), "word", F.lit(" ")).alias("nome"), *REVIEWS), "employees")
 
 
-def _plain_index(df: DataFrame) -> DataFrame:
-    return df.withColumn("indice_reclamacoes", F.col("indice_reclamacoes").cast("double"))
+def _rounded_index(df: DataFrame) -> DataFrame:
+    return df.withColumn("indice_reclamacoes", F.round("indice_reclamacoes", 6))
 
 
 _BANK_SQL = """
@@ -117,13 +117,13 @@ result as (
 
 
 def _agg_entity_year(spark, sf_dir):
-    return _plain_index(complaints_by_year(_complaints(spark, sf_dir)))
+    return _rounded_index(complaints_by_year(_complaints(spark, sf_dir)))
 
 
 def _left_equi_join(spark, sf_dir):
     yearly = stage(complaints_by_year(_complaints(spark, sf_dir)), "yearly")
     segments = _banks(spark, sf_dir).withColumnRenamed("cnpj", "bank_cnpj")
-    return _plain_index(left_join(yearly, segments, "cnpj_if", "bank_cnpj"))
+    return _rounded_index(left_join(yearly, segments, "cnpj_if", "bank_cnpj"))
 
 
 def _substring_join(spark, sf_dir, **options):
@@ -133,7 +133,7 @@ def _substring_join(spark, sf_dir, **options):
 
 def _consolidate(spark, sf_dir, best=False):
     inputs = _complaints(spark, sf_dir), _banks(spark, sf_dir), _employees(spark, sf_dir)
-    return _plain_index(consolidate(*inputs, best=best))
+    return _rounded_index(consolidate(*inputs, best=best))
 
 
 # --- sources -----------------------------------------------------------------------------------
@@ -294,7 +294,7 @@ def _id_stats(spark, sf_dir):
 
 
 def _sample_rows(spark, sf_dir):
-    return _table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)
+    return checks.sample_rows(_table(spark, sf_dir, "orders"), "o_orderkey")
 
 
 def _schema_report(spark, sf_dir):

@@ -12,8 +12,8 @@ def match_key(name: Column) -> Column:
 
 
 def padded_key(key: Column, width: int = 8) -> Column:
-    """Registration number as text, with the leading zeros a numeric reading would lose."""
-    text = key.cast("string")
+    """Registration number as text, with the leading zeros a numeric reading loses; blank is null."""
+    text = F.nullif(F.trim(key.cast("string")), F.lit(""))
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 

@@ -94,9 +94,10 @@ def substring_join(
     pairs = containing_pairs(
         _distinct_keys(names, left_name, "name"), _distinct_keys(right, right_name, "needle"), broadcast_bytes
     )
-    found = left.withColumn("_name", match_key(F.col(left_name))).join(
-        pairs.withColumnRenamed("name", "_name"), "_name", "left"
-    )
+    # Written once: its size on disk then tells Spark whether to broadcast it, and a lost
+    # executor does not start the matching anew.
+    pairs = stage(pairs.withColumnRenamed("name", "_name"), "pairs")
+    found = left.withColumn("_name", match_key(F.col(left_name))).join(pairs, "_name", "left")
     keyed = right.withColumn("_right_needle", match_key(F.col(right_name)))
     return left_join(found, keyed, "needle", "_right_needle", hot_rows).drop("_name", "needle")
 
@@ -120,6 +121,7 @@ def longest_substring_join(
     )
     order = F.struct((-F.length("needle")).alias("shorter"), F.col("needle"))
     longest = pairs.groupBy(F.col("name").alias("_name")).agg(F.min(order)["needle"].alias("_needle"))
+    longest = stage(longest, "longest")
     others = [c for c in right.columns if c != right_name]
     row = F.struct(right_name, *others)
     first_row = (

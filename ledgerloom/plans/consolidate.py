@@ -9,6 +9,7 @@ from ledgerloom.operators.aggregate import complaints_by_year
 from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import longest_substring_join, substring_join
 from ledgerloom.plans.load import LoadSummary, load_frame
+from ledgerloom.schemas import UNIQUE_KEYS
 from ledgerloom.session import stage
 from ledgerloom.sources.tables import read_tables
 
@@ -57,4 +58,6 @@ def consolidate_tables(
 ) -> LoadSummary:
     """Consolidate the three tables of ``schema`` into its result table; all three must be there."""
     inputs = read_tables(spark, [f"{schema}.{name}" for name in INPUTS])
+    if best:
+        options["unique"] = [keys for keys in UNIQUE_KEYS[RESULT] if keys != ["id"]]
     return load_frame(consolidate(*inputs, best=best), f"{schema}.{RESULT}", mode=mode, **options)

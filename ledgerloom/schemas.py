@@ -116,6 +116,13 @@ _CLOSER_TYPES: dict[type, str] = {
 }
 
 
+def raw_types(table: str) -> dict[str, str]:
+    """Types by cleaned raw name, for reading the files of a table without inference."""
+    raw_names = {declared: raw for raw, declared in RENAMES[table].items()}
+    plain = {name: "string" if kind.startswith("varchar") else kind for name, kind in TABLES[table].items()}
+    return {raw_names.get(name, name): kind for name, kind in plain.items()}
+
+
 def target_type(data_type: T.DataType, strict: bool = False) -> str:
     """Relational type for a Spark type; ``strict`` keeps to the seven fixed types and TEXT."""
     if type(data_type) in _TARGET_TYPES:

@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.names import clean_name, clean_names, id_position
+from ledgerloom.functions.values import decimal_comma, match_key, padded_key, separator_of_header, separator_of_path
+from ledgerloom.schemas import RENAMES, TABLES, raw_types, target_columns, target_type
+from ledgerloom.sources.delimited import separator_for
+from pyspark.sql import types as T
+
+
+@pytest.mark.parametrize(
+    "raw, cleaned",
+    [
+        ("Cultura e valores", "cultura_e_valores"),
+        ("Remuneração e benefícios", "remuneracao_e_beneficios"),
+        ("Recomendam para outras pessoas(%)", "recomendam_para_outras_pessoas"),
+        ("employer-website", "employer_website"),
+        ("Quantidade total de clientes – CCS e SCR", "quantidade_total_de_clientes_ccs_e_scr"),
+        (" ID", "id"),
+        ("a.b--c", "a_b_c"),
+        ("___x___", "x"),
+        ("%%%", "column"),
+    ],
+)
+def test_clean_name(raw, cleaned):
+    assert clean_name(raw) == cleaned
+
+
+def test_colliding_names():
+    assert clean_names(["a b", "a-b", "a_b_2", "A B"]) == ["a_b", "a_b_2", "a_b_2_2", "a_b_3"]
+    with pytest.raises(ValueError):
+        clean_names(["a b", "a-b"], strict=True)
+
+
+def test_the_id_column_keeps_its_name():
+    assert clean_names(["-id-", "x", "id"]) == ["id_2", "x", "id"]
+
+
+def test_id_position_follows_the_name_order():
+    assert id_position(["key", "PK", "x"]) == 1
+    assert id_position(["x", " ID"]) == 1
+    assert id_position(["identifier", "x"]) is None
+
+
+PATHS = {
+    "s3://b/x.TSV": "\t",
+    "s3://b/glassdoor.tsv": "\t",
+    "s3://b/Glassdoor_v2.csv": "|",
+    "s3://b/a|b.csv": "|",
+    "s3://b/x.csv": ",",
+    "raw-data/folder/": ",",
+}
+
+
+def test_separator_by_path(spark):
+    paths = spark.createDataFrame([(p,) for p in PATHS], "path string")
+    found = paths.select("path", separator_of_path(F.col("path")).alias("sep")).collect()
+    assert dict(map(tuple, found)) == PATHS
+    assert {p: separator_for(p) for p in PATHS} == PATHS
+
+
+def test_separator_by_header(spark):
+    lines = {"a|b,c|d": "|", "a;b;c": ";", "a\tb": "\t", "a,b|c": ",", "a": ","}
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    found = df.select("line", separator_of_header(F.col("line"))).collect()
+    assert dict(map(tuple, found)) == lines
+
+
+def test_values(spark):
+    rows = [("1.234,56", "655522", " Itaú "), ("-0,5", "00655522", "ING"), ("abc", " ", None), (None, None, " x")]
+    df = spark.createDataFrame(rows, "n string, k string, name string")
+    n, k, name = F.col("n"), F.col("k"), F.col("name")
+    got = df.select(decimal_comma(n).cast("string"), padded_key(k), match_key(name)).collect()
+    assert [tuple(r) for r in got] == [
+        ("1234.56", "00655522", "ITAÚ"),
+        ("-0.50", "00655522", "ING"),
+        (None, None, None),
+        (None, None, " X"),
+    ]
+    assert spark.range(1).select(padded_key(F.lit(123456789))).first()[0] == "123456789"
+
+
+def test_target_types():
+    assert target_type(T.StringType()) == "TEXT"
+    assert target_type(T.DecimalType(10, 2)) == "NUMERIC(10,2)"
+    assert target_type(T.DecimalType(10, 2), strict=True) == "TEXT"
+    assert target_type(T.TimestampNTZType()) == "TIMESTAMP"
+    assert target_type(T.TimestampNTZType(), strict=True) == "TEXT"
+    assert target_type(T.ArrayType(T.LongType())) == "TEXT"
+    with_id = T.StructType().add("x", "string").add("ID", "integer")
+    assert target_columns(with_id) == [("id", "INTEGER PRIMARY KEY"), ("x", "TEXT")]
+    assert target_columns(T.StructType().add("x", "boolean")) == [("id", "BIGINT PRIMARY KEY"), ("x", "BOOLEAN")]
+
+
+def test_renames_lead_to_declared_columns():
+    for table, renames in RENAMES.items():
+        assert set(renames.values()) <= set(TABLES[table])
+    assert raw_types("empregados_glassdoor")["cultura_e_valores"] == "decimal(3,1)"
+    assert raw_types("bancos_enquadramento")["cnpj"] == "string"
