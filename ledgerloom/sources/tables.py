@@ -88,17 +88,13 @@ def catalogue_folder(
     for subfolder, sample in first_file.items():
         table, location = f"{schema}.{subfolder}", f"{folder.rstrip('/')}/{subfolder}"
         if sample.endswith(".parquet"):
-            columns = spark.read.parquet(location).schema
             spark.catalog.createTable(table, location, "parquet")
             if "=" in sample.rsplit(f"/{subfolder}/", 1)[-1]:
                 spark.catalog.recoverPartitions(table)
         else:
-            declared = (types or {}).get(subfolder)
-            scan = read_delimited(spark, sample if declared else location, types=declared)
-            columns = scan.schema
-            spark.catalog.createTable(
-                table, location, "csv", columns, header="true", quote='"', escape='"', sep=separator_for(sample)
-            )
+            declared, sep = (types or {}).get(subfolder), separator_for(sample)
+            columns = read_delimited(spark, sample if declared else location, sep, declared).schema
+            spark.catalog.createTable(table, location, "csv", columns, header="true", quote='"', escape='"', sep=sep)
         tables.append(table)
     return tables
 

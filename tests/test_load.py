@@ -1,0 +1,176 @@
+import uuid
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.checks import KeyViolation
+from ledgerloom.plans.consolidate import consolidate, consolidate_tables
+from ledgerloom.plans.load import load_files, load_frame
+from ledgerloom.session import shared_dir
+from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
+from ledgerloom.sources.tables import MissingTables
+from ledgerloom.streaming.incremental import load_new_files
+
+AT = datetime(2024, 1, 2, tzinfo=timezone.utc)
+
+
+@pytest.fixture
+def schema(spark, tmp_path):
+    name = f"s_{uuid.uuid4().hex}"
+    ensure_schema(spark, name, str(tmp_path / name))
+    return name
+
+
+def test_two_appends_have_distinct_ids(spark, schema):
+    rows = spark.range(0, 30, 1, 3).select(F.col("id").alias("v"))
+    first = load_frame(rows, f"{schema}.t")
+    second = load_frame(rows, f"{schema}.t")
+    assert (first.mode, first.min_id, first.max_id) == ("overwrite", 1, 30)
+    assert (second.mode, second.min_id, second.max_id) == ("append", 31, 60)
+    held = spark.table(f"{schema}.t")
+    assert held.columns == ["id", "v", "created_at", "updated_at"]
+    assert held.select("id").distinct().count() == 60
+    assert held.where("created_at <> updated_at").count() == 0
+
+
+def test_overwrite_keeps_the_table_and_restarts_ids(spark, schema):
+    load_frame(spark.range(9).select(F.col("id").alias("v")), f"{schema}.t")
+    again = load_frame(spark.range(4).select(F.col("id").alias("v")), f"{schema}.t", mode="overwrite")
+    assert (again.min_id, again.max_id, spark.table(f"{schema}.t").count()) == (1, 4, 4)
+
+
+def test_given_ids_are_checked_before_anything_is_written(spark, schema):
+    load_frame(spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "KEY int, x string"), f"{schema}.t")
+    for rows in [[(5, "a"), (5, "b")], [(3, "again")]]:
+        with pytest.raises(KeyViolation):
+            load_frame(spark.createDataFrame(rows, "KEY int, x string"), f"{schema}.t")
+    assert spark.table(f"{schema}.t").count() == 2
+
+
+def test_summary_and_run_log(spark, schema):
+    df = spark.createDataFrame([(7, "a"), (None, "b")], "pk bigint, x string")
+    summary = load_frame(df, f"{schema}.t", source="here", log_table=f"{schema}.runs")
+    assert (summary.rows_in, summary.rows_dropped, summary.rows_written) == (2, 1, 1)
+    load_frame(spark.createDataFrame([(8, "c")], "pk bigint, x string"), f"{schema}.t", log_table=f"{schema}.runs")
+    log = spark.table(f"{schema}.runs").orderBy("min_id").collect()
+    assert [(r.source, r.mode, r.rows_written) for r in log] == [("here", "overwrite", 1), ("", "append", 1)]
+
+
+def test_empty_input(spark, schema):
+    summary = load_frame(spark.range(0).select(F.col("id").alias("v")), f"{schema}.t")
+    assert (summary.rows_written, summary.min_id) == (0, None)
+    assert load_frame(spark.range(2).select(F.col("id").alias("v")), f"{schema}.t").min_id == 1
+
+
+def test_audit_replaces_source_columns_and_keys_are_padded(spark, schema):
+    df = spark.createDataFrame([(1, "655522", "old")], "id int, CNPJ string, `Created At` string")
+    load_frame(df, f"{schema}.t", at=AT, key_columns=("cnpj",))
+    row = spark.table(f"{schema}.t").first()
+    assert row.cnpj == "00655522" and row.created_at == AT.replace(tzinfo=None) and len(row) == 4
+
+
+def test_unique_keys(spark, schema):
+    df = spark.createDataFrame([("1", 2020), ("1", 2020)], "cnpj string, ano int")
+    with pytest.raises(KeyViolation):
+        load_frame(df, f"{schema}.t", unique=[["cnpj", "ano"]])
+    assert spark.table(f"{schema}.t").count() == 0
+
+
+def test_columns_must_fit_the_table(spark, schema):
+    ensure_table(spark.range(1), f"{schema}.t")
+    with pytest.raises(ValueError):
+        write_table(spark.range(1).withColumn("x", F.lit(1)), f"{schema}.t", "append")
+    with pytest.raises(ValueError):
+        write_table(spark.range(1), f"{schema}.t", "errorifexists")
+
+
+def test_a_failing_existence_check_raises(spark):
+    with pytest.raises(PySparkException):
+        ensure_table(spark.range(1), "a.b.c.`d")
+
+
+def test_load_a_folder(spark, schema, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(" ID,Nome do banco\n1,x\n2,y\n")
+    (folder / "b.csv").write_text(" ID,Segmento\n3,S1\n")
+    summary = load_files(spark, str(folder), f"{schema}.t", glob="*.csv", types={"id": "int"}, lineage=True)
+    got = {tuple(r) for r in spark.table(f"{schema}.t").drop("created_at", "updated_at").collect()}
+    assert summary.rows_written == 3
+    assert got == {(1, "x", "a.csv", None), (2, "y", "a.csv", None), (3, None, "b.csv", "S1")}
+
+
+def test_only_new_files_are_loaded(spark, tmp_path):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for name, text in {"a": "id,x\n1,a\n", "b": "id,x\n2,b\n,c\n"}.items():
+        (folder / f"{name}.csv").write_text(text)
+        load_new_files(spark, str(folder), target, columns=["id", "x"], types={"id": "int"})
+        load_new_files(spark, str(folder), target, columns=["id", "x"], types={"id": "int"})
+    assert sorted(map(tuple, spark.read.parquet(target).select("id", "x").collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        load_new_files(spark, str(folder), target, columns=["x"], types={})
+
+
+# --- consolidation -----------------------------------------------------------------------------
+
+COMPLAINTS = (
+    "cnpj_if string, ano int, quantidade_total_de_reclamacoes int, "
+    "quantidade_total_de_clientes_ccs_e_scr bigint, indice double, instituicao_financeira string"
+)
+BANKS = "cnpj string, segmento string"
+EMPLOYEES = (
+    "nome string, geral double, cultura_e_valores double, remuneracao_e_beneficios double, "
+    "recomendam_para_outras_pessoas double"
+)
+
+
+@pytest.fixture
+def bank_tables(spark):
+    complaints = [
+        ("01", 2020, 1, 10, 1.0, "BANCO ALFA HOLDING"),
+        ("01", 2020, 2, 20, 2.0, "BANCO ALFA HOLDING"),
+        ("02", 2021, 5, 50, 3.0, "Itaú"),
+        (None, 2021, 7, 70, 4.0, None),
+    ]
+    banks = [("01", "S3"), ("01", "S2"), (None, "S9")]
+    employees = [("ING", 1.0, 1.0, 1.0, 1.0), ("Alfa", 2.0, 2.0, 2.0, 2.0), ("ITAU", 3.0, 3.0, 3.0, 3.0)]
+    return (
+        spark.createDataFrame(complaints, COMPLAINTS),
+        spark.createDataFrame(banks, BANKS),
+        spark.createDataFrame(employees, EMPLOYEES),
+    )
+
+
+def test_consolidate(bank_tables):
+    got = {(r.cnpj, r.ano, r.total_reclamacoes, r.segmento, r.avaliacao_geral) for r in consolidate(*bank_tables).collect()}
+    assert got == {
+        ("01", 2020, 3, "S3", 1.0),
+        ("01", 2020, 3, "S3", 2.0),
+        ("01", 2020, 3, "S2", 1.0),
+        ("01", 2020, 3, "S2", 2.0),
+        ("02", 2021, 5, None, None),
+        (None, 2021, 7, None, None),
+    }
+
+
+def test_consolidate_best(bank_tables):
+    rows = consolidate(*bank_tables, best=True)
+    got = {(r.cnpj, r.ano, r.segmento, r.avaliacao_geral) for r in rows.collect()}
+    assert got == {("01", 2020, "S2", 2.0), ("02", 2021, None, None), (None, 2021, None, None)}
+
+
+def test_consolidate_tables(spark, schema, bank_tables):
+    with pytest.raises(MissingTables):
+        consolidate_tables(spark, schema)
+    for name, df in zip(["reclamacoes", "bancos_enquadramento", "empregados_glassdoor"], bank_tables):
+        load_frame(df, f"{schema}.{name}")
+    assert consolidate_tables(spark, schema, best=True).rows_written == 3
+    assert consolidate_tables(spark, schema).rows_written == 6
+    assert spark.table(f"{schema}.dados_consolidados").count() == 6
+
+
+def test_shared_folder_is_the_named_one(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
