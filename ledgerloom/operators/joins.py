@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Rows one key may have on the right before they are split over several tasks.
 HOT_ROWS = 1_000_000
-# Copies of one joined row that a task writes at a time.
+# Equal right rows that are joined as one.
 COPIES_PER_TASK = 100_000
 
 
@@ -29,20 +29,28 @@ def left_join(
 
 
 def _salted_left_join(left, right, left_key, right_key, hot_rows):
-    # Equal rows first become one row with a count, which the map side of the grouping does.
-    # What is left of a hot key differs by content, so a content hash spreads it evenly.
-    rows = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # Equal rows become one row with a count, which the map side of the grouping does, and a
+    # count too large for one task becomes several rows. So no two rows are equal any more and a
+    # hash of their content spreads any key evenly.
+    copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    last = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK)
+    rest = F.col("_copies") - F.col("_chunk") * COPIES_PER_TASK
+    rows = copies.withColumn("_chunk", F.explode(F.sequence(F.lit(0), last))).withColumn(
+        "_copies", F.least(rest, F.lit(COPIES_PER_TASK))
+    )
+    # At most (rows of right / hot_rows) keys are hot and have twice as many parts in all, so
+    # both lists fit a broadcast.
     hot = (
-        rows.groupBy(F.col(right_key).alias("_hot_key"))
+        right.groupBy(F.col(right_key).alias("_hot_key"))
         .count()
         .where(F.col("count") > hot_rows)
         .select("_hot_key", F.ceil(F.col("count") / hot_rows).alias("_parts"))
     )
-    # At most (rows of right / hot_rows) keys are hot, so they fit a broadcast.
+    content = F.xxhash64(*right.columns, "_chunk")
     salted = (
         rows.join(F.broadcast(hot), F.col(right_key) == F.col("_hot_key"), "left")
-        .withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*right.columns), F.col("_parts")), F.lit(0)))
-        .drop("_hot_key")
+        .withColumn("_part", F.coalesce(F.pmod(content, F.col("_parts")), F.lit(0)))
+        .drop("_hot_key", "_chunk")
     )
     # A left row goes to the parts that exist for its key, so it finds a match in each of them
     # and never shows up as unmatched beside its matches.
@@ -54,11 +62,5 @@ def _salted_left_join(left, right, left_key, right_key, hot_rows):
     sent = left.join(F.broadcast(parts), F.col(left_key) == F.col("_hot_key"), "left").drop("_hot_key")
     same_part = F.coalesce(F.col("_to_part"), F.lit(0)) == F.col("_part")
     joined = sent.join(salted, (F.col(left_key) == F.col(right_key)) & same_part, "left")
-    joined = joined.drop(right_key, "_to_part", "_part", "_parts")
-    # Copies come back in chunks that may each go to another task.
-    copies = F.coalesce(F.col("_copies"), F.lit(1))
-    chunks = joined.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((copies - 1) / COPIES_PER_TASK))))
-    spread = chunks.repartition(F.col(left_key), F.col("_chunk"))
-    in_chunk = F.least(F.lit(COPIES_PER_TASK), copies - F.col("_chunk") * COPIES_PER_TASK)
-    again = F.explode(F.sequence(F.lit(1), in_chunk)).alias("_copy")
-    return spread.select("*", again).drop("_copies", "_chunk", "_copy")
+    again = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)))).alias("_copy")
+    return joined.select("*", again).drop(right_key, "_to_part", "_part", "_parts", "_copies", "_copy")

@@ -87,16 +87,15 @@ def with_lineage(scan: DataFrame) -> DataFrame:
     return scan.select("*", F.col("_metadata.file_name").alias(LINEAGE))
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
+def file_paths(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Paths of the files below ``folder``; their content is not read."""
-    listing = (
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(folder)
         .select("path")
     )
-    return sorted(row.path for row in listing.collect())
 
 
 def read_folder(
@@ -113,7 +112,7 @@ def read_folder(
     Files are grouped by separator and header, each group is one scan. Columns that a group
     lacks are null, so a value never lands in a column of another name.
     """
-    paths = list_files(spark, folder, glob)
+    paths = sorted(row.path for row in file_paths(spark, folder, glob).collect())
     if not paths:
         raise FileNotFoundError(f"no file matches {glob} in {folder}")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.delimited import list_files, read_delimited, separator_for
+from ledgerloom.sources.delimited import file_paths, read_delimited, separator_for
 
 # Rows per insert statement and isolation of the relational writes.
 JDBC_BATCH_ROWS = 1000
@@ -77,15 +77,16 @@ def catalogue_folder(
     folders take their columns from the header, typed by ``types[subfolder]`` or inferred.
     """
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}")
-    # The listing qualifies paths, so the subfolder is what follows the folder's own name.
-    base = folder.rstrip("/").rsplit("/", 1)[-1]
-    first_file: dict[str, str] = {}
-    for path in list_files(spark, folder):
-        subfolder = path.rsplit(f"/{base}/", 1)[-1].split("/", 1)[0]
-        if "/" in path.rsplit(f"/{base}/", 1)[-1]:
-            first_file.setdefault(subfolder, path)
+    # Listed paths are qualified, so a subfolder is what follows the folder's own name.
+    below = F.substring_index("path", f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    samples = (
+        file_paths(spark, folder)
+        .where(below.contains("/"))
+        .groupBy(F.substring_index(below, "/", 1).alias("subfolder"))
+        .agg(F.min("path").alias("path"))
+    )
     tables = []
-    for subfolder, sample in first_file.items():
+    for subfolder, sample in samples.orderBy("subfolder").collect():
         table, location = f"{schema}.{subfolder}", f"{folder.rstrip('/')}/{subfolder}"
         if sample.endswith(".parquet"):
             spark.catalog.createTable(table, location, "parquet")
@@ -94,7 +95,9 @@ def catalogue_folder(
         else:
             declared, sep = (types or {}).get(subfolder), separator_for(sample)
             columns = read_delimited(spark, sample if declared else location, sep, declared).schema
-            spark.catalog.createTable(table, location, "csv", columns, header="true", quote='"', escape='"', sep=sep)
+            # A file whose header differs must fail and not be read by position.
+            options = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "sep": sep}
+            spark.catalog.createTable(table, location, "csv", columns, **options)
         tables.append(table)
     return tables
 

@@ -3,7 +3,7 @@ import pytest
 from ledgerloom.operators.columns import accepted, clean_columns, conform
 from ledgerloom.schemas import RENAMES, TABLES, raw_types
 from ledgerloom.sources import tables
-from ledgerloom.sources.delimited import LINEAGE, list_files, read_delimited, read_folder, sniff_separator
+from ledgerloom.sources.delimited import LINEAGE, file_paths, read_delimited, read_folder, sniff_separator
 
 HEAD = "employer_name|reviews_count|employer-headquarters|employer-founded|employer-revenue|Geral|Remuneração e benefícios"
 WITH_SEGMENT = (
@@ -62,7 +62,7 @@ def test_a_differing_header_fails_instead_of_shifting(spark, folder):
 
 
 def test_glob_and_missing_files(spark, folder):
-    assert [p.rsplit("/", 1)[1] for p in list_files(spark, folder, "*.csv")] == ["a.csv", "b.csv"]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in file_paths(spark, folder, "*.csv").collect()) == ["a.csv", "b.csv"]
     with pytest.raises(FileNotFoundError):
         read_folder(spark, folder, "*.tsv")
 
