@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.schemas import target_columns
+
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create the schema if missing; ``location`` is the folder for its tables."""
@@ -32,6 +34,15 @@ def ensure_table(df: DataFrame, table: str) -> bool:
     return False
 
 
+def target_ddl(df: DataFrame, table: str, strict: bool = False) -> str:
+    """The statement that makes the table in a database with ``id`` as its enforced primary key.
+
+    Spark cannot declare that key; who wants the database to enforce it runs this first.
+    """
+    columns = ", ".join(f"{name} {kind}" for name, kind in target_columns(df.schema, strict))
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns})"
+
+
 def write_table(df: DataFrame, table: str, mode: str) -> None:
     """Append to an existing table or replace its rows, matching columns by name.
 

@@ -9,7 +9,7 @@ from ledgerloom.operators.checks import KeyViolation
 from ledgerloom.plans.consolidate import consolidate, consolidate_tables
 from ledgerloom.plans.load import load_files, load_frame
 from ledgerloom.session import shared_dir
-from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
+from ledgerloom.sinks.tables import ensure_schema, ensure_table, target_ddl, write_table
 from ledgerloom.sources.tables import MissingTables
 from ledgerloom.streaming.incremental import load_new_files
 
@@ -86,6 +86,13 @@ def test_columns_must_fit_the_table(spark, schema):
         write_table(spark.range(1), f"{schema}.t", "errorifexists")
 
 
+def test_target_ddl(spark):
+    df = spark.range(1).select(F.lit("x").alias("Nome"), F.lit(1.5).cast("decimal(10,2)").alias("saldo"))
+    assert target_ddl(df, "s.t") == (
+        "CREATE TABLE IF NOT EXISTS s.t (id BIGINT PRIMARY KEY, nome TEXT, saldo NUMERIC(10,2))"
+    )
+
+
 def test_a_failing_existence_check_raises(spark):
     with pytest.raises(PySparkException):
         ensure_table(spark.range(1), "a.b.c.`d")

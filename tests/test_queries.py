@@ -50,5 +50,16 @@ def test_query(spark, oracle, name):
     assert _rows(got.columns, got.collect()) == expected
 
 
+@pytest.mark.parametrize("name", ["consolidate", "consolidate_best", "left_equi_join", "id_generate"])
+def test_query_without_automatic_broadcasts(spark, oracle, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_query(spark, oracle, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
