@@ -182,7 +182,7 @@ def _folder_union_scan(spark, sf_dir):
 def _catalogue_folder(spark, sf_dir):
     folder = fresh_path(spark, "raw")
     orders = _table(spark, sf_dir, "orders").withColumn("ano", F.year("o_orderdate"))
-    orders.repartition("ano", "o_orderpriority").write.partitionBy("ano").parquet(f"{folder}/orders")
+    orders.write.partitionBy("ano").parquet(f"{folder}/orders")
     _write_csv(_table(spark, sf_dir, "customer"), f"{folder}/customer")
     schema = _fresh_schema(spark, "catalogue")
     found = [spark.table(t) for t in sorted(catalogue_folder(spark, folder, schema))]

@@ -29,20 +29,16 @@ def clean_names(raw: list[str], strict: bool = False) -> list[str]:
 
     A column already named ``id`` keeps that name whatever the others clean to.
     """
-    taken: set[str] = set()
+    taken = {"id"} if "id" in raw else set()
     out = []
-    if "id" in raw:
-        at = raw.index("id")
-        rest = clean_names(["id", *raw[:at], *raw[at + 1 :]], strict) if at else None
-        if rest:
-            return [*rest[1 : at + 1], "id", *rest[at + 1 :]]
-    for name in map(clean_name, raw):
-        if strict and name in taken:
-            raise ValueError(f"two columns are both named {name!r} after cleaning: {raw}")
-        unique, n = name, 1
-        while unique in taken:
+    for name in raw:
+        base = clean_name(name)
+        if strict and base in taken and name != "id":
+            raise ValueError(f"two columns are both named {base!r} after cleaning: {raw}")
+        unique, n = base, 1
+        while unique in taken and name != "id":
             n += 1
-            unique = f"{name}_{n}"
+            unique = f"{base}_{n}"
         taken.add(unique)
         out.append(unique)
     return out

@@ -37,6 +37,8 @@ def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int
     null. An empty needle is contained in every name. A name of n characters has at most
     n (n + 1) / 2 + 1 needles, whatever their number.
     """
+    # Staged, since it is read three times.
+    needles = stage(needles, "needles")
     length = F.length("needle")
     blank = F.col("needle") == ""
     facts = needles.agg(
@@ -44,13 +46,15 @@ def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int
         F.coalesce(F.bool_or(blank), F.lit(False)).alias("has_blank"),
         F.collect_set(F.when(~blank, _seed_size(length))).alias("seed_sizes"),
     ).first()
-    if facts["size"] <= broadcast_bytes:
-        ready, side = needles.where(~blank), F.broadcast
-    else:
-        ready, side = stage(needles.where(~blank), "needles"), lambda df: df
-
-    seeds = ready.select(F.col("needle").substr(F.lit(1), _seed_size(length)).alias("seed"), length.alias("span")).distinct()
+    small = facts["size"] <= broadcast_bytes
+    solid = needles.where(~blank)
+    seeds = solid.select(F.col("needle").substr(F.lit(1), _seed_size(length)).alias("seed"), length.alias("span")).distinct()
+    if small:
+        solid, seeds = F.broadcast(solid), F.broadcast(seeds)
     at = F.col("at")
+    # Few bytes of names give many lookups; by their bytes they would end up in too few tasks.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = names.repartition(tasks, "name")
     starts = names.where(F.col("name") != "").select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at"))
     # Texts of different sizes differ, so one join on the text serves all seed sizes.
     looked_up = [F.col("name").substr(at, F.lit(size)) for size in sorted(facts["seed_sizes"])]
@@ -58,10 +62,10 @@ def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int
     if looked_up:
         spots = starts.select("name", "at", F.explode(F.array_distinct(F.array(*looked_up))).alias("seed"))
         pairs = (
-            spots.join(side(seeds), "seed")
+            spots.join(seeds, "seed")
             .where(at + F.col("span") - 1 <= F.length("name"))
             .select("name", F.col("name").substr(at, F.col("span")).alias("needle"))
-            .join(side(ready), "needle", "left_semi")
+            .join(solid, "needle", "left_semi")
             .select("name", "needle")
             .distinct()
         )

@@ -47,9 +47,25 @@ def header_of(spark: SparkSession, path: str, sep: str, multi_line: bool = False
 
 
 def declared_schema(columns: list[str], types: dict[str, str]) -> str:
-    """Schema of a header, with the types given by cleaned name; other columns are text."""
-    quoted = ((name.replace("`", "``"), types.get(clean_name(name), "string")) for name in columns)
-    return ", ".join(f"`{name}` {kind}" for name, kind in quoted)
+    """Schema to read a header with, by cleaned name; other columns are text, and so are decimals."""
+    kinds = [types.get(clean_name(name), "string") for name in columns]
+    read_as = ["string" if kind.startswith("decimal") else kind for kind in kinds]
+    return ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in zip(columns, read_as))
+
+
+def parse_decimals(scan: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Declared decimals from their text; anything but a plain number fails.
+
+    The reader itself would drop commas, so that 1.234,56 came out as 1.23456.
+    """
+    parsed = {}
+    for name in scan.columns:
+        kind = types.get(clean_name(name), "string")
+        if kind.startswith("decimal"):
+            text = F.col(f"`{name}`")
+            fault = F.raise_error(F.concat(F.lit(f"column {name}: not a {kind}: "), text)).cast(kind)
+            parsed[name] = F.when(text.isNotNull(), F.coalesce(text.try_cast(kind), fault))
+    return scan.withColumns(parsed) if parsed else scan
 
 
 def read_delimited(
@@ -63,7 +79,9 @@ def read_delimited(
     """Scan delimited files that share one header.
 
     ``types`` maps cleaned column names to Spark types and spares the inference pass over the
-    data; columns it leaves out are text. Without it all types are inferred. ``multi_line``
+    data; columns it leaves out are text. A value that does not fit its type fails the read: to
+    divert such rows, read the column as text and use ``conform``. Without ``types`` all types are
+    inferred. ``multi_line``
     allows line breaks inside quotes and makes each file one task, so it is off by default.
     ``sep`` is a separator, None (told by the path) or "sniff" (told by the first line).
     """
@@ -78,8 +96,10 @@ def read_delimited(
     else:
         schema = declared_schema(header_of(spark, paths[0], sep, multi_line), types)
         # A file whose header differs must fail and not be read by position.
-        df = reader.option("enforceSchema", False).schema(schema).csv(paths)
-    return with_lineage(df) if lineage else df
+        df = reader.option("enforceSchema", False).option("mode", "FAILFAST").schema(schema).csv(paths)
+    if lineage:
+        df = with_lineage(df)
+    return df if types is None else parse_decimals(df, types)
 
 
 def with_lineage(scan: DataFrame) -> DataFrame:

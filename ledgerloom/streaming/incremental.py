@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from ledgerloom.operators.columns import drop_null_ids
 from ledgerloom.plans.load import transform
-from ledgerloom.sources.delimited import declared_schema, separator_for
+from ledgerloom.sources.delimited import declared_schema, parse_decimals, separator_for
 
 
 def load_new_files(
@@ -34,10 +34,11 @@ def load_new_files(
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("recursiveFileLookup", True)
         .csv(folder)
     )
-    cleaned, has_id = transform(scan, at)
+    cleaned, has_id = transform(parse_decimals(scan, types), at)
     if not has_id:
         raise ValueError(f"no id column among {columns}")
     query = (

@@ -1,5 +1,8 @@
 import pytest
 
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.values import decimal_comma
 from ledgerloom.operators.columns import accepted, clean_columns, conform
 from ledgerloom.schemas import RENAMES, TABLES, raw_types
 from ledgerloom.sources import tables
@@ -61,6 +64,17 @@ def test_a_differing_header_fails_instead_of_shifting(spark, folder):
         df.collect()
 
 
+def test_a_value_of_another_type_fails(spark, tmp_path):
+    path = tmp_path / "d.csv"
+    path.write_text('k,indice,n\n1,"1.234,56",x\n')
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD|MALFORMED_RECORD"):
+        read_delimited(spark, str(path), types={"k": "int", "n": "int"}).collect()
+    with pytest.raises(Exception, match="not a decimal"):
+        read_delimited(spark, str(path), types={"k": "int", "indice": "decimal(10,2)"}).collect()
+    as_text = read_delimited(spark, str(path), types={"k": "int"})
+    assert as_text.select(decimal_comma(F.col("indice")).cast("string")).first()[0] == "1234.56"
+
+
 def test_glob_and_missing_files(spark, folder):
     assert sorted(r.path.rsplit("/", 1)[1] for r in file_paths(spark, folder, "*.csv").collect()) == ["a.csv", "b.csv"]
     with pytest.raises(FileNotFoundError):
