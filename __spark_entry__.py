@@ -272,8 +272,8 @@ def _conform_schema(spark, sf_dir):
 def _conform_rejects(spark, sf_dir):
     raw = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     declared = {"o_orderkey": "bigint", "o_orderpriority": "varchar(8)", "o_totalprice": "decimal(7,2)"}
-    faults = columns.rejected(columns.conform(raw, declared)).select(F.explode(columns.REJECTS).alias("fault"))
-    return faults.groupBy("fault").agg(checks.row_count().alias("n"))
+    faults = columns.rejected(columns.conform(raw, declared)).select(F.explode(columns.REJECTS).alias("found"))
+    return faults.groupBy(F.col("found.column").alias("fault")).agg(checks.row_count().alias("n"))
 
 
 def _padded_keys(spark, sf_dir):
@@ -361,6 +361,18 @@ def _load_profile(spark, sf_dir):
     return summary.select("mode", "rows_in", "rows_dropped", "rows_written", "min_id", "max_id")
 
 
+def _load_declared(spark, sf_dir):
+    schema = _fresh_schema(spark, "declared")
+    target, rejects = f"{schema}.bancos_enquadramento", f"{schema}.rejeitados"
+    raw = _table(spark, sf_dir, "customer").selectExpr("c_mktsegment as Segmento", "c_custkey as CNPJ", "c_name as Nome")
+    keys = {"key_columns": ("cnpj",), "declared": "bancos_enquadramento"}
+    # The column takes ten characters; the other spelling has more in each of its rows.
+    load_frame(raw, target, **keys)
+    load_frame(raw.withColumn("Segmento", F.concat("Segmento", F.lit(" "), "CNPJ")), target, rejects=rejects, **keys)
+    kept = spark.table(target).select(F.lit(False).alias("diverted"), "segmento", "cnpj", "nome")
+    return kept.unionByName(spark.table(rejects).select(F.lit(True).alias("diverted"), "segmento", "cnpj", "nome"))
+
+
 def _post_load_verify(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "Key")
     target = f"{_fresh_schema(spark, 'verify')}.pedidos"
@@ -442,6 +454,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_append_twice": _load_append_twice,
         "load_overwrite": _load_overwrite,
         "load_profile": _load_profile,
+        "load_declared": _load_declared,
         "post_load_verify": _post_load_verify,
         "load_job": _load_job,
         "incremental_load": _incremental_load,
@@ -554,6 +567,13 @@ select 'overwrite' as mode, count(*) as rows_in, count(*) filter (o_orderstatus
   count(*) filter (o_orderstatus <> 'F') as rows_written,
   min(o_orderkey) filter (o_orderstatus <> 'F') as min_id, max(o_orderkey) filter (o_orderstatus <> 'F') as max_id
 from orders""",
+        "load_declared": """
+with raw as (
+  select c_mktsegment as segmento, c_custkey, c_name as nome from customer
+  union all select c_mktsegment || ' ' || c_custkey::varchar, c_custkey, c_name from customer)
+select length(segmento) > 10 as diverted, segmento,
+  case when length(c_custkey::varchar) < 8 then lpad(c_custkey::varchar, 8, '0') else c_custkey::varchar end as cnpj, nome
+from raw""",
         "post_load_verify": """
 select count(*) as source_rows, count(*) as target_rows, 8 as target_columns, true as matches from orders""",
         "load_job": _RAW_CUSTOMER_SQL,

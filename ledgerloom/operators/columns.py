@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.names import clean_names
 
 REJECTS = "_rejects"
+PROCESSED = "data_processamento"
 
 
 def load_time(at: datetime | None = None) -> Column:
@@ -22,7 +23,7 @@ def with_audit(df: DataFrame, at: Column) -> DataFrame:
     return df.withColumns({"created_at": at, "updated_at": at})
 
 
-def with_processing_time(df: DataFrame, at: Column, name: str = "data_processamento") -> DataFrame:
+def with_processing_time(df: DataFrame, at: Column, name: str = PROCESSED) -> DataFrame:
     """Fill the processing time where the data does not bring one."""
     return df.withColumn(name, F.coalesce(F.col(name), at) if name in df.columns else at)
 
@@ -39,9 +40,9 @@ def clean_columns(df: DataFrame, strict: bool = False) -> DataFrame:
 def conform(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | None = None) -> DataFrame:
     """``df`` in the declared columns, order and types.
 
-    A value that does not fit, by type or by length, becomes null or stays as it is, and
-    ``_rejects`` names its column: keep the rows where that array is empty and divert the rest.
-    Declared columns that ``df`` lacks are null; further ones are left out, but for ``id``.
+    A value that does not fit its type becomes null, one that is too long stays, and either is
+    listed in ``_rejects`` with its column: keep the rows where that array is empty and divert the
+    rest. Declared columns that ``df`` lacks are null; further ones are left out, but for ``id``.
     """
     renames = renames or {}
     source = {renames.get(name, name): F.col(f"`{name}`") for name in df.columns}
@@ -59,7 +60,8 @@ def conform(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | N
             value = raw.try_cast(kind)
             fault = raw.isNotNull() & value.isNull()
         columns.append(value.alias(name))
-        faults.append(F.when(fault, F.lit(name)))
+        as_read = F.struct(F.lit(name).alias("column"), raw.cast("string").alias("value"))
+        faults.append(F.when(fault, as_read))
     kept = [source["id"].alias("id")] if "id" in source and "id" not in declared else []
     return df.select(*kept, *columns, F.array_compact(F.array(*faults)).alias(REJECTS))
 

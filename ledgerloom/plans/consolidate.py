@@ -9,7 +9,7 @@ from ledgerloom.operators.aggregate import complaints_by_year
 from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import longest_substring_join, substring_join
 from ledgerloom.plans.load import LoadSummary, load_frame
-from ledgerloom.schemas import UNIQUE_KEYS
+from ledgerloom.schemas import RENAMES, UNIQUE_KEYS
 from ledgerloom.session import stage
 from ledgerloom.sources.tables import read_tables
 
@@ -56,8 +56,15 @@ def consolidate(complaints: DataFrame, banks: DataFrame, employees: DataFrame, b
 def consolidate_tables(
     spark: SparkSession, schema: str, best: bool = False, mode: str = "overwrite", **options
 ) -> LoadSummary:
-    """Consolidate the three tables of ``schema`` into its result table; all three must be there."""
-    inputs = read_tables(spark, [f"{schema}.{name}" for name in INPUTS])
+    """Consolidate the three tables of ``schema`` into its result table; all three must be there.
+
+    Tables loaded as declared are taken under their declared names.
+    """
+    tables = read_tables(spark, [f"{schema}.{name}" for name in INPUTS])
+    inputs = [
+        table.withColumnsRenamed({declared: raw for raw, declared in RENAMES[name].items()})
+        for name, table in zip(INPUTS, tables)
+    ]
     if best:
         options["unique"] = [keys for keys in UNIQUE_KEYS[RESULT] if keys != ["id"]]
     return load_frame(consolidate(*inputs, best=best), f"{schema}.{RESULT}", mode=mode, **options)

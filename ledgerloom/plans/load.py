@@ -14,13 +14,29 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import padded_key
 from ledgerloom.operators.checks import KeyViolation, assert_unique, checksum, row_count, verify
-from ledgerloom.operators.columns import clean_columns, drop_null_ids, load_time, with_audit
+from ledgerloom.operators.columns import (
+    PROCESSED,
+    REJECTS,
+    accepted,
+    clean_columns,
+    conform,
+    drop_null_ids,
+    load_time,
+    rejected,
+    with_audit,
+    with_processing_time,
+)
 from ledgerloom.operators.ids import next_id, number_scan, rename_id
+from ledgerloom.schemas import RENAMES, TABLES
 from ledgerloom.session import stage
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder
 
 
+class RejectedRows(ValueError):
+    """Some rows do not fit the declared table, and no table for them was named."""
+
+
 @dataclass(frozen=True)
 class LoadSummary:
     source: str
@@ -28,6 +44,7 @@ class LoadSummary:
     mode: str
     rows_in: int
     rows_dropped: int
+    rows_rejected: int
     rows_written: int
     min_id: int | None
     max_id: int | None
@@ -39,16 +56,49 @@ class LoadSummary:
 
 
 def transform(
-    df: DataFrame, at: datetime | None = None, key_columns: tuple[str, ...] = ()
+    df: DataFrame, at: datetime | None = None, key_columns: tuple[str, ...] = (), declared: str | None = None
 ) -> tuple[DataFrame, bool]:
     """Id column found and renamed, names cleaned, audit columns set; tells if an id was found.
 
-    ``key_columns`` are cleaned names of registration numbers, which get their leading zeros.
+    ``key_columns`` are cleaned names of registration numbers, which get their leading zeros. With
+    the name of a ``declared`` table the rows get its columns, see ``columns.conform``, and its
+    time of processing instead of the audit columns.
     """
     named = rename_id(df)
     cleaned = clean_columns(df if named is None else named)
     cleaned = cleaned.withColumns({name: padded_key(F.col(name)) for name in key_columns})
-    return with_audit(cleaned, load_time(at)), named is not None
+    if declared is None:
+        out = with_audit(cleaned, load_time(at))
+    else:
+        conformed = conform(cleaned, {**TABLES[declared], PROCESSED: "timestamp"}, RENAMES[declared])
+        out = with_processing_time(conformed, load_time(at))
+    return out, named is not None
+
+
+def _land(df: DataFrame, has_id: bool, declared: str | None) -> tuple[DataFrame, dict[str, int]]:
+    """The rows that have an id, or all where none was found, written once and counted on the way."""
+    with_id = F.col("id").isNotNull() if has_id else F.lit(True)
+    fits = F.size(REJECTS) == 0 if declared else F.lit(True)
+    seen = Observation("seen")
+    counted = df.observe(
+        seen,
+        row_count().alias("rows_in"),
+        F.count_if(~with_id).alias("rows_dropped"),
+        F.count_if(with_id & ~fits).alias("rows_rejected"),
+    )
+    landed = stage(drop_null_ids(counted) if has_id else counted, "landed")
+    return landed, seen.get
+
+
+def _divert(landed: DataFrame, rejects: str | None) -> DataFrame:
+    """The rows that fit, after the others went to the table for them."""
+    bad = rejected(landed)
+    if rejects is None:
+        examples = bad.select(REJECTS).take(3)
+        raise RejectedRows(f"rows do not fit, for example {[r[0] for r in examples]}")
+    ensure_table(bad, rejects)
+    write_table(bad, rejects, "append")
+    return stage(accepted(landed), "accepted")
 
 
 def load_frame(
@@ -61,27 +111,30 @@ def load_frame(
     log_table: str | None = None,
     key_columns: tuple[str, ...] = (),
     unique: list[list[str]] | None = None,
+    declared: str | None = None,
+    rejects: str | None = None,
 ) -> LoadSummary:
     """Load rows into a target table; see the module text for the steps.
 
     Without a ``mode`` an existing table is appended to and a new one filled. Rows with a null id
     are dropped and counted. Rows without an id column are numbered on from the ids the target
     has; given ids must be new and unique, or nothing is written, and likewise no key named in
-    ``unique`` may repeat among the rows. ``location`` is the folder for a
-    schema made by this call. The summary is also appended to ``log_table``, if named.
+    ``unique`` may repeat among the rows. ``declared`` and ``key_columns`` are those of
+    ``transform``; rows that do not fit the declared table are appended to the table ``rejects``,
+    or end the load if none is named. ``location`` is the folder for a schema made by this call.
+    The summary is also appended to ``log_table``, if named.
     """
     spark = df.sparkSession
     at = at or datetime.now().astimezone()
-    cleaned, has_id = transform(df, at, key_columns)
-    with_id = F.count("id") if has_id else row_count()
-    seen = Observation("seen")
-    cleaned = cleaned.observe(seen, row_count().alias("rows_in"), with_id.alias("with_id"))
-    landed = stage(drop_null_ids(cleaned) if has_id else cleaned, "landed")
-
+    shaped, has_id = transform(df, at, key_columns, declared)
+    landed, seen = _land(shaped, has_id, declared)
     if "." in target:
         ensure_schema(spark, target.rpartition(".")[0], location)
-    shape = landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*")
-    existed = ensure_table(shape, target)
+    if seen["rows_rejected"]:
+        landed = _divert(landed, rejects)
+    landed = landed.drop(REJECTS)
+
+    existed = ensure_table(landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*"), target)
     mode = mode or ("append" if existed else "overwrite")
     adds = existed and mode == "append"
     for keys in unique or []:
@@ -92,7 +145,9 @@ def load_frame(
             raise KeyViolation(f"{target} already has some of the ids")
         rows = landed
     else:
-        rows = number_scan(landed, next_id(spark.table(target)) if adds else 1)
+        start = next_id(spark.table(target)) if adds else 1
+        rows = number_scan(landed, start)
+    held_before = spark.table(target).count() if adds else 0
 
     columns = sorted(rows.columns)
     written = Observation("written")
@@ -101,16 +156,22 @@ def load_frame(
     write_table(rows.observe(written, *counts, *bounds), target, mode)
     facts = written.get
     held = spark.table(target)
+    verify(held, held_before + facts["rows"], None, columns)
     # The content of a database table would have to come back over its connections.
-    content = facts["content"] if target.count(".") < 2 else None
-    verify(held.where(F.col("created_at") == load_time(at)) if adds else held, facts["rows"], content, columns)
+    if target.count(".") < 2:
+        if adds and not has_id:
+            held = held.where(F.col("id") >= start)
+        elif adds:
+            held = held.join(rows.select("id"), "id", "left_semi")
+        verify(held, facts["rows"], facts["content"], columns)
 
     summary = LoadSummary(
         source=source,
         target=target,
         mode=mode,
-        rows_in=seen.get["rows_in"],
-        rows_dropped=seen.get["rows_in"] - seen.get["with_id"],
+        rows_in=seen["rows_in"],
+        rows_dropped=seen["rows_dropped"],
+        rows_rejected=seen["rows_rejected"],
         rows_written=facts["rows"],
         min_id=facts["min_id"],
         max_id=facts["max_id"],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.checks import KeyViolation
 from ledgerloom.plans.consolidate import consolidate, consolidate_tables
-from ledgerloom.plans.load import load_files, load_frame
+from ledgerloom.plans.load import RejectedRows, load_files, load_frame
 from ledgerloom.session import shared_dir
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, target_ddl, write_table
 from ledgerloom.sources.tables import MissingTables
@@ -71,6 +71,33 @@ def test_audit_replaces_source_columns_and_keys_are_padded(spark, schema):
     assert row.cnpj == "00655522" and row.created_at == AT.replace(tzinfo=None) and len(row) == 4
 
 
+def test_declared_table_diverts_rows_with_their_text(spark, schema):
+    rows = [("S1", "655522", "Um"), ("S123456789 too long", "1", "Dois"), (None, None, "Três")]
+    df = spark.createDataFrame(rows, "Segmento string, CNPJ string, Nome string")
+    options = {"declared": "bancos_enquadramento", "key_columns": ("cnpj",), "at": AT}
+    with pytest.raises(RejectedRows, match="too long"):
+        load_frame(df, f"{schema}.bancos", **options)
+    summary = load_frame(df, f"{schema}.bancos", rejects=f"{schema}.bad", **options)
+    assert (summary.rows_in, summary.rows_rejected, summary.rows_written, summary.max_id) == (3, 1, 2, 2)
+    held = spark.table(f"{schema}.bancos")
+    assert held.columns == ["id", "segmento", "cnpj", "nome", "data_processamento"]
+    assert held.where(F.col("data_processamento") == F.lit(AT)).count() == 2
+    (bad,) = spark.table(f"{schema}.bad").collect()
+    assert (bad.nome, bad["_rejects"][0].value) == ("Dois", "S123456789 too long")
+
+
+def test_consolidate_declared_tables(spark, schema, bank_tables):
+    for name, df in zip(["reclamacoes", "bancos_enquadramento", "empregados_glassdoor"], bank_tables):
+        load_frame(df, f"{schema}.{name}", declared=name)
+    summary = consolidate_tables(spark, schema, best=True, declared="dados_consolidados")
+    held = spark.table(f"{schema}.dados_consolidados")
+    assert summary.rows_written == 3 and "remuneracao_beneficios" in held.columns
+    assert dict(held.dtypes)["total_reclamacoes"] == "int"
+    assert {(r.cnpj, r.total_clientes, float(r.indice_reclamacoes)) for r in held.collect()} == {
+        ("01", 30, 1.5), ("02", 50, 3.0), (None, 70, 4.0)
+    }
+
+
 def test_unique_keys(spark, schema):
     df = spark.createDataFrame([("1", 2020), ("1", 2020)], "cnpj string, ano int")
     with pytest.raises(KeyViolation):

@@ -77,9 +77,9 @@ def test_conform_diverts_what_does_not_fit(spark):
     declared = {"t": "varchar(5)", "n": "int", "d": "decimal(3,1)", "absent": "bigint"}
     conformed = columns.conform(df, declared, {"raw": "t"})
     good = [tuple(r) for r in columns.accepted(conformed).collect()]
-    bad = {r.id: sorted(r[columns.REJECTS]) for r in columns.rejected(conformed).collect()}
+    bad = {r.id: sorted(map(tuple, r[columns.REJECTS])) for r in columns.rejected(conformed).collect()}
     assert good == [(3, None, None, None, None)]
-    assert bad == {1: ["t"], 2: ["d", "n"]}
+    assert bad == {1: [("t", "abcdef")], 2: [("d", "2000"), ("n", "x")]}
     assert conformed.dtypes[:3] == [("id", "int"), ("t", "string"), ("n", "int")]
 
 
