@@ -17,10 +17,14 @@ def padded_key(key: Column, width: int = 8) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
+def plain_number(text: Column) -> Column:
+    """``1.234,56`` as ``1234.56``; other texts come out as text that is no number either."""
+    return F.replace(F.replace(F.trim(text), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+
+
 def decimal_comma(text: Column, precision: int = 10, scale: int = 2) -> Column:
     """``1.234,56`` as a decimal; null where the text is no such number."""
-    plain = F.replace(F.replace(F.trim(text), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return plain.try_cast(f"decimal({precision},{scale})")
+    return plain_number(text).try_cast(f"decimal({precision},{scale})")
 
 
 def separator_of_path(path: Column) -> Column:

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.values import padded_key
+from ledgerloom.functions.values import padded_key, plain_number
 from ledgerloom.operators.checks import KeyViolation, assert_unique, checksum, row_count, verify
 from ledgerloom.operators.columns import (
     PROCESSED,
@@ -56,17 +56,23 @@ class LoadSummary:
 
 
 def transform(
-    df: DataFrame, at: datetime | None = None, key_columns: tuple[str, ...] = (), declared: str | None = None
+    df: DataFrame,
+    at: datetime | None = None,
+    key_columns: tuple[str, ...] = (),
+    comma_columns: tuple[str, ...] = (),
+    declared: str | None = None,
 ) -> tuple[DataFrame, bool]:
     """Id column found and renamed, names cleaned, audit columns set; tells if an id was found.
 
-    ``key_columns`` are cleaned names of registration numbers, which get their leading zeros. With
-    the name of a ``declared`` table the rows get its columns, see ``columns.conform``, and its
-    time of processing instead of the audit columns.
+    ``key_columns`` are cleaned names of registration numbers, which get their leading zeros, and
+    ``comma_columns`` those of texts like 1.234,56, which become 1234.56. With the name of a
+    ``declared`` table the rows get its columns, see ``columns.conform``, and its time of
+    processing instead of the audit columns.
     """
     named = rename_id(df)
     cleaned = clean_columns(df if named is None else named)
     cleaned = cleaned.withColumns({name: padded_key(F.col(name)) for name in key_columns})
+    cleaned = cleaned.withColumns({name: plain_number(F.col(name)) for name in comma_columns})
     if declared is None:
         out = with_audit(cleaned, load_time(at))
     else:
@@ -110,6 +116,7 @@ def load_frame(
     location: str | None = None,
     log_table: str | None = None,
     key_columns: tuple[str, ...] = (),
+    comma_columns: tuple[str, ...] = (),
     unique: list[list[str]] | None = None,
     declared: str | None = None,
     rejects: str | None = None,
@@ -119,14 +126,14 @@ def load_frame(
     Without a ``mode`` an existing table is appended to and a new one filled. Rows with a null id
     are dropped and counted. Rows without an id column are numbered on from the ids the target
     has; given ids must be new and unique, or nothing is written, and likewise no key named in
-    ``unique`` may repeat among the rows. ``declared`` and ``key_columns`` are those of
+    ``unique`` may repeat among the rows. ``declared`` and the columns are those of
     ``transform``; rows that do not fit the declared table are appended to the table ``rejects``,
     or end the load if none is named. ``location`` is the folder for a schema made by this call.
     The summary is also appended to ``log_table``, if named.
     """
     spark = df.sparkSession
     at = at or datetime.now().astimezone()
-    shaped, has_id = transform(df, at, key_columns, declared)
+    shaped, has_id = transform(df, at, key_columns, comma_columns, declared)
     landed, seen = _land(shaped, has_id, declared)
     if "." in target:
         ensure_schema(spark, target.rpartition(".")[0], location)

@@ -86,6 +86,14 @@ def test_declared_table_diverts_rows_with_their_text(spark, schema):
     assert (bad.nome, bad["_rejects"][0].value) == ("Dois", "S123456789 too long")
 
 
+def test_comma_columns(spark, schema):
+    df = spark.createDataFrame([(2020, "1.234,56"), (2021, "n/d"), (2022, None)], "ano int, Indice string")
+    options = {"declared": "reclamacoes", "comma_columns": ("indice",), "rejects": f"{schema}.bad"}
+    assert load_frame(df, f"{schema}.t", **options).rows_rejected == 1
+    got = {(r.ano, r.indice and str(r.indice)) for r in spark.table(f"{schema}.t").collect()}
+    assert got == {(2020, "1234.56"), (2022, None)}
+
+
 def test_consolidate_declared_tables(spark, schema, bank_tables):
     for name, df in zip(["reclamacoes", "bancos_enquadramento", "empregados_glassdoor"], bank_tables):
         load_frame(df, f"{schema}.{name}", declared=name)
