@@ -28,7 +28,7 @@ from ledgerloom.operators.columns import (
 )
 from ledgerloom.operators.ids import next_id, number_scan, rename_id
 from ledgerloom.schemas import RENAMES, TABLES
-from ledgerloom.session import stage
+from ledgerloom.session import discard, fresh_path, stage
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder
 
@@ -81,7 +81,7 @@ def transform(
     return out, named is not None
 
 
-def _land(df: DataFrame, has_id: bool, declared: str | None) -> tuple[DataFrame, dict[str, int]]:
+def _land(df: DataFrame, has_id: bool, declared: str | None, path: str) -> tuple[DataFrame, dict[str, int]]:
     """The rows that have an id, or all where none was found, written once and counted on the way."""
     with_id = F.col("id").isNotNull() if has_id else F.lit(True)
     fits = F.size(REJECTS) == 0 if declared else F.lit(True)
@@ -92,11 +92,11 @@ def _land(df: DataFrame, has_id: bool, declared: str | None) -> tuple[DataFrame,
         F.count_if(~with_id).alias("rows_dropped"),
         F.count_if(with_id & ~fits).alias("rows_rejected"),
     )
-    landed = stage(drop_null_ids(counted) if has_id else counted, "landed")
+    landed = stage(drop_null_ids(counted) if has_id else counted, "landed", path)
     return landed, seen.get
 
 
-def _divert(landed: DataFrame, rejects: str | None) -> DataFrame:
+def _divert(landed: DataFrame, rejects: str | None, path: str) -> DataFrame:
     """The rows that fit, after the others went to the table for them."""
     bad = rejected(landed)
     if rejects is None:
@@ -104,7 +104,7 @@ def _divert(landed: DataFrame, rejects: str | None) -> DataFrame:
         raise RejectedRows(f"rows do not fit, for example {[r[0] for r in examples]}")
     ensure_table(bad, rejects)
     write_table(bad, rejects, "append")
-    return stage(accepted(landed), "accepted")
+    return stage(accepted(landed), "accepted", path)
 
 
 def load_frame(
@@ -134,11 +134,12 @@ def load_frame(
     spark = df.sparkSession
     at = at or datetime.now().astimezone()
     shaped, has_id = transform(df, at, key_columns, comma_columns, declared)
-    landed, seen = _land(shaped, has_id, declared)
+    landing, fitting = fresh_path(spark, "landed"), fresh_path(spark, "fitting")
+    landed, seen = _land(shaped, has_id, declared, landing)
     if "." in target:
         ensure_schema(spark, target.rpartition(".")[0], location)
     if seen["rows_rejected"]:
-        landed = _divert(landed, rejects)
+        landed = _divert(landed, rejects, fitting)
     landed = landed.drop(REJECTS)
 
     existed = ensure_table(landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*"), target)
@@ -171,6 +172,9 @@ def load_frame(
         elif adds:
             held = held.join(rows.select("id"), "id", "left_semi")
         verify(held, facts["rows"], facts["content"], columns)
+    # After a failure the landing stays for a look at it.
+    for path in (landing, fitting):
+        discard(spark, path)
 
     summary = LoadSummary(
         source=source,

@@ -44,12 +44,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the files.
 
     Cuts the lineage (a lost executor costs a re-read, not a recomputation) and lets several
-    branches of a plan each read only the columns they need.
+    branches of a plan each read only the columns they need. Who names a ``fresh_path`` may
+    ``discard`` it when nothing reads it any more.
     """
-    path = fresh_path(df.sparkSession, label)
+    path = path or fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,5 +1,7 @@
+import os
 import uuid
 from datetime import datetime, timezone
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.checks import KeyViolation
 from ledgerloom.plans.consolidate import consolidate, consolidate_tables
 from ledgerloom.plans.load import RejectedRows, load_files, load_frame
-from ledgerloom.session import shared_dir
+from ledgerloom.session import discard, shared_dir
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, target_ddl, write_table
 from ledgerloom.sources.tables import MissingTables
 from ledgerloom.streaming.incremental import load_new_files
@@ -216,3 +218,19 @@ def test_consolidate_tables(spark, schema, bank_tables):
 
 def test_shared_folder_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    cluster = SimpleNamespace(
+        conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(cluster)
+
+
+def test_a_load_leaves_no_landing(spark, schema):
+    before = set(os.listdir(shared_dir(spark)))
+    load_frame(spark.range(5).select(F.col("id").alias("v")), f"{schema}.t")
+    assert set(os.listdir(shared_dir(spark))) == before
+    with pytest.raises(ValueError):
+        discard(spark, "/elsewhere")
