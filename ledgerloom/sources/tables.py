@@ -73,8 +73,9 @@ def catalogue_folder(
 ) -> list[str]:
     """Register every subfolder as a table of ``schema`` and return the table names.
 
-    Parquet folders become tables with their ``name=value`` folders as partitions. Delimited
-    folders take their columns from the header, typed by ``types[subfolder]`` or inferred.
+    Folders named ``name=value`` are partitions. Parquet brings its columns; delimited files take
+    them from the header, typed by ``types[subfolder]`` or inferred; their decimals stay text, since
+    the reader would drop commas from them.
     """
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}")
     # Listed paths are qualified, so a subfolder is what follows the folder's own name.
@@ -83,21 +84,34 @@ def catalogue_folder(
         file_paths(spark, folder)
         .where(below.contains("/"))
         .groupBy(F.substring_index(below, "/", 1).alias("subfolder"))
-        .agg(F.min("path").alias("path"))
+        .agg(F.min(below).alias("path"))
     )
     tables = []
     for subfolder, sample in samples.orderBy("subfolder").collect():
         table, location = f"{schema}.{subfolder}", f"{folder.rstrip('/')}/{subfolder}"
         if sample.endswith(".parquet"):
-            spark.catalog.createTable(table, location, "parquet")
-            if "=" in sample.rsplit(f"/{subfolder}/", 1)[-1]:
-                spark.catalog.recoverPartitions(table)
+            source, options = "parquet", {}
+            columns = spark.read.parquet(location).dtypes
         else:
-            declared, sep = (types or {}).get(subfolder), separator_for(sample)
-            columns = read_delimited(spark, sample if declared else location, sep, declared).schema
+            source, sep = "csv", separator_for(sample)
+            found = read_delimited(spark, location, sep, (types or {}).get(subfolder)).dtypes
+            columns = [(name, "string" if kind.startswith("decimal") else kind) for name, kind in found]
             # A file whose header differs must fail and not be read by position.
             options = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "sep": sep}
-            spark.catalog.createTable(table, location, "csv", columns, **options)
+        partitions = [step.split("=")[0] for step in sample.split("/") if "=" in step]
+        _create_table(spark, table, columns, source, options, partitions, location)
         tables.append(table)
     return tables
 
+
+def _create_table(spark, table, columns, source, options, partitions, location):
+    typed = ", ".join(f"`{name}` {kind}" for name, kind in columns)
+    quoted = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
+    spark.sql(
+        f"CREATE TABLE {table} ({typed}) USING {source}"
+        + (f" OPTIONS ({quoted})" if options else "")
+        + (f" PARTITIONED BY ({', '.join(partitions)})" if partitions else "")
+        + f" LOCATION '{location}'"
+    )
+    if partitions:
+        spark.catalog.recoverPartitions(table)

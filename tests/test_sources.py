@@ -104,14 +104,23 @@ def test_missing_tables_are_all_named(spark):
     assert tables.read_tables(spark, ["guard.here"])[0].count() == 0
 
 
+DECLARED = {"bancos": "bancos_enquadramento", "reclamacoes": "reclamacoes"}
+
+
 def test_catalogue_with_declared_and_inferred_columns(spark, tmp_path):
     raw = tmp_path / "raw"
     for name, text in {"bancos": "segmento\tcnpj\nS1\t00655522\n", "outros": "a\tb\n1\tx\n"}.items():
         (raw / name).mkdir(parents=True)
         (raw / name / "f.tsv").write_text(text)
+    for year in (2020, 2021):
+        (raw / "reclamacoes" / f"ano={year}").mkdir(parents=True)
+        (raw / "reclamacoes" / f"ano={year}" / "f.csv").write_text(f"cnpj_if,indice\n0{year},1.5\n")
     (raw / "loose.csv").write_text("x\n")
-    found = tables.catalogue_folder(spark, str(raw), "crawled", {"bancos": raw_types("bancos_enquadramento")})
-    assert sorted(found) == ["crawled.bancos", "crawled.outros"]
+    found = tables.catalogue_folder(spark, str(raw), "crawled", {name: raw_types(table) for name, table in DECLARED.items()})
+    assert found == ["crawled.bancos", "crawled.outros", "crawled.reclamacoes"]
+    complaints = spark.table("crawled.reclamacoes")
+    assert {tuple(r) for r in complaints.collect()} == {("02020", "1.5", 2020), ("02021", "1.5", 2021)}
+    assert "PartitionFilters: [isnotnull(ano" in complaints.where("ano = 2020")._jdf.queryExecution().toString()
     assert spark.table("crawled.bancos").first().cnpj == "00655522"
     assert dict(spark.table("crawled.outros").dtypes) == {"a": "int", "b": "string"}
 
