@@ -29,7 +29,7 @@ from ledgerloom.operators.columns import (
 from ledgerloom.operators.ids import next_id, number_scan, rename_id
 from ledgerloom.schemas import RENAMES, TABLES
 from ledgerloom.session import discard, fresh_path, stage
-from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
+from ledgerloom.sinks.tables import aligned, ensure_schema, ensure_table, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder
 
 
@@ -96,15 +96,13 @@ def _land(df: DataFrame, has_id: bool, declared: str | None, path: str) -> tuple
     return landed, seen.get
 
 
-def _divert(landed: DataFrame, rejects: str | None, path: str) -> DataFrame:
-    """The rows that fit, after the others went to the table for them."""
-    bad = rejected(landed)
-    if rejects is None:
-        examples = bad.select(REJECTS).take(3)
-        raise RejectedRows(f"rows do not fit, for example {[r[0] for r in examples]}")
-    ensure_table(bad, rejects)
-    write_table(bad, rejects, "append")
-    return stage(accepted(landed), "accepted", path)
+def _assert_new_keys(rows: DataFrame, keys: list[str], held: DataFrame | None) -> None:
+    """Raise if a key repeats among the rows or is held already."""
+    assert_unique(rows, keys)
+    if held is not None:
+        taken = rows.select(*keys).join(held.select(*keys), keys, "left_semi").take(3)
+        if taken:
+            raise KeyViolation(f"{', '.join(keys)} already in the target, for example {taken}")
 
 
 def load_frame(
@@ -125,10 +123,10 @@ def load_frame(
 
     Without a ``mode`` an existing table is appended to and a new one filled. Rows with a null id
     are dropped and counted. Rows without an id column are numbered on from the ids the target
-    has; given ids must be new and unique, or nothing is written, and likewise no key named in
-    ``unique`` may repeat among the rows. ``declared`` and the columns are those of
-    ``transform``; rows that do not fit the declared table are appended to the table ``rejects``,
-    or end the load if none is named. ``location`` is the folder for a schema made by this call.
+    has; given ids must be new and unique, and so must the keys named in ``unique``, or nothing is
+    written. ``declared`` and the columns are those of ``transform``; rows that do not fit the
+    declared table are appended to the table ``rejects``, or end the load if none is named.
+    ``location`` is the folder for a schema made by this call.
     The summary is also appended to ``log_table``, if named.
     """
     spark = df.sparkSession
@@ -136,26 +134,27 @@ def load_frame(
     shaped, has_id = transform(df, at, key_columns, comma_columns, declared)
     landing, fitting = fresh_path(spark, "landed"), fresh_path(spark, "fitting")
     landed, seen = _land(shaped, has_id, declared, landing)
-    if "." in target:
-        ensure_schema(spark, target.rpartition(".")[0], location)
-    if seen["rows_rejected"]:
-        landed = _divert(landed, rejects, fitting)
+    misfits = rejected(landed) if seen["rows_rejected"] else None
+    if misfits is not None:
+        if rejects is None:
+            examples = [row[0] for row in misfits.select(REJECTS).take(3)]
+            raise RejectedRows(f"{seen['rows_rejected']} rows do not fit {declared}, for example {examples}")
+        landed = stage(accepted(landed), "fitting", fitting)
     landed = landed.drop(REJECTS)
 
+    if "." in target:
+        ensure_schema(spark, target.rpartition(".")[0], location)
     existed = ensure_table(landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*"), target)
     mode = mode or ("append" if existed else "overwrite")
     adds = existed and mode == "append"
-    for keys in unique or []:
-        assert_unique(landed, keys)
-    if has_id:
-        assert_unique(landed, ["id"])
-        if adds and landed.join(spark.table(target).select("id"), "id", "left_semi").take(1):
-            raise KeyViolation(f"{target} already has some of the ids")
-        rows = landed
-    else:
-        start = next_id(spark.table(target)) if adds else 1
-        rows = number_scan(landed, start)
+    for keys in [*(unique or []), *([["id"]] if has_id else [])]:
+        _assert_new_keys(landed, keys, spark.table(target) if adds else None)
+    start = next_id(spark.table(target)) if adds and not has_id else 1
+    rows = aligned(landed if has_id else number_scan(landed, start), target)
     held_before = spark.table(target).count() if adds else 0
+    if misfits is not None:
+        ensure_table(misfits, rejects)
+        write_table(misfits, rejects, "append")
 
     columns = sorted(rows.columns)
     written = Observation("written")

@@ -8,6 +8,8 @@ isolation and number of connections come from the options given there.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerloom.schemas import target_columns
 
@@ -43,14 +45,32 @@ def target_ddl(df: DataFrame, table: str, strict: bool = False) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} ({columns})"
 
 
+def aligned(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the columns, order and types of an existing table, matched by name.
+
+    Columns the rows lack are null. Columns the table lacks are an error, and so is a text for a
+    column of another type or the other way round.
+    """
+    given = {field.name.lower(): field for field in df.schema.fields}
+    columns = []
+    for field in df.sparkSession.table(table).schema.fields:
+        found = given.pop(field.name.lower(), None)
+        if found is None:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        if isinstance(found.dataType, StringType) != isinstance(field.dataType, StringType):
+            raise ValueError(f"{table}.{field.name} is {field.dataType.simpleString()}, not {found.dataType.simpleString()}")
+        columns.append(F.col(f"`{found.name}`").cast(field.dataType).alias(field.name))
+    if given:
+        raise ValueError(f"table {table} has no columns {sorted(given)}")
+    return df.select(*columns)
+
+
 def write_table(df: DataFrame, table: str, mode: str) -> None:
-    """Append to an existing table or replace its rows, matching columns by name.
+    """Append to an existing table or replace its rows; see ``aligned`` for the columns.
 
     Replacing truncates: the table itself, with its types and keys, is kept.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
-    columns = df.sparkSession.table(table).columns
-    if {c.lower() for c in columns} != {c.lower() for c in df.columns}:
-        raise ValueError(f"columns {df.columns} do not fit table {table} with {columns}")
-    df.select(*[f"`{c}`" for c in columns]).write.insertInto(table, overwrite=mode == "overwrite")
+    aligned(df, table).write.insertInto(table, overwrite=mode == "overwrite")

@@ -115,6 +115,38 @@ def test_unique_keys(spark, schema):
     assert spark.table(f"{schema}.t").count() == 0
 
 
+def test_unique_keys_hold_across_appends(spark, schema):
+    df = spark.createDataFrame([("1", 2020), (None, 2020), (None, 2020)], "cnpj string, ano int")
+    load_frame(df, f"{schema}.t", unique=[["cnpj", "ano"]])
+    with pytest.raises(KeyViolation, match="already"):
+        load_frame(df.limit(1), f"{schema}.t", unique=[["cnpj", "ano"]])
+    assert spark.table(f"{schema}.t").count() == 3
+
+
+def test_rejects_are_not_written_when_the_load_fails(spark, schema):
+    df = spark.createDataFrame([("S1", "1"), ("S1", "1"), ("S12345678901", "2")], "segmento string, cnpj string")
+    options = {"declared": "bancos_enquadramento", "rejects": f"{schema}.bad"}
+    with pytest.raises(KeyViolation):
+        load_frame(df, f"{schema}.t", unique=[["cnpj"]], **options)
+    assert not spark.catalog.tableExists(f"{schema}.bad")
+    assert load_frame(df, f"{schema}.t", **options).rows_written == 2
+    assert spark.table(f"{schema}.bad").count() == 1
+
+
+def test_missing_columns_become_null(spark, schema):
+    load_frame(spark.createDataFrame([(1, "S1")], "x int, segmento string"), f"{schema}.t")
+    load_frame(spark.createDataFrame([(2,)], "x int"), f"{schema}.t")
+    assert {(r.x, r.segmento) for r in spark.table(f"{schema}.t").collect()} == {(1, "S1"), (2, None)}
+
+
+def test_types_follow_the_table(spark, schema):
+    load_frame(spark.createDataFrame([(1, 1)], "id bigint, x bigint"), f"{schema}.t")
+    load_frame(spark.createDataFrame([(2, 2)], "id int, x int"), f"{schema}.t")
+    assert dict(spark.table(f"{schema}.t").dtypes)["x"] == "bigint"
+    with pytest.raises(ValueError, match="not string"):
+        load_frame(spark.createDataFrame([(3, "3")], "id int, x string"), f"{schema}.t")
+
+
 def test_columns_must_fit_the_table(spark, schema):
     ensure_table(spark.range(1), f"{schema}.t")
     with pytest.raises(ValueError):
