@@ -130,7 +130,9 @@ def read_folder(
     """Union by column name of all files below ``folder``.
 
     Files are grouped by separator and header, each group is one scan. Columns that a group
-    lacks are null, so a value never lands in a column of another name.
+    lacks are null, so a value never lands in a column of another name. Only the first line of a
+    file is read for this, but file by file; a folder of very many files that share one header is
+    better read by ``read_delimited``, which fails if a header differs.
     """
     paths = sorted(row.path for row in file_paths(spark, folder, glob).collect())
     if not paths:
@@ -143,7 +145,7 @@ def read_folder(
             found = sep or separator_for(path)
         return found, tuple(header_of(spark, path, found, multi_line))
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
+    with ThreadPoolExecutor(max_workers=32) as pool:
         layouts = list(pool.map(layout, paths))
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for path, key in zip(paths, layouts):

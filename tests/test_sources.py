@@ -58,6 +58,15 @@ def test_folder_with_two_headers(spark, folder):
     assert "remuneracao_beneficios" in conformed.columns
 
 
+def test_folder_of_many_files(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"file {i}+ç%.csv").write_text("\n" * (i % 3) + f"k,h{i % 4}\n" + "1,2\n" * i)
+    rows = read_folder(spark, str(tmp_path), types={})
+    assert rows.count() == sum(range(40))
+    assert rows.columns == ["k", "h0", "h1", "h2", "h3"]
+    assert rows.where("h3 = '2'").count() == sum(range(3, 40, 4))
+
+
 def test_a_differing_header_fails_instead_of_shifting(spark, folder):
     df = read_delimited(spark, [f"{folder}/a.csv", f"{folder}/b.csv"], types=raw_types("empregados_glassdoor"))
     with pytest.raises(Exception, match="does not conform to the schema"):
