@@ -151,7 +151,10 @@ def load_frame(
         _assert_new_keys(landed, keys, spark.table(target) if adds else None)
     start = next_id(spark.table(target)) if adds and not has_id else 1
     rows = aligned(landed if has_id else number_scan(landed, start), target)
-    held_before = spark.table(target).count() if adds else 0
+    # The content of a database table would have to come back over its connections; its rows are
+    # counted on its own side.
+    in_database = target.count(".") > 1
+    held_before = spark.table(target).count() if adds and in_database else 0
     if misfits is not None:
         ensure_table(misfits, rejects)
         write_table(misfits, rejects, "append")
@@ -163,13 +166,13 @@ def load_frame(
     write_table(rows.observe(written, *counts, *bounds), target, mode)
     facts = written.get
     held = spark.table(target)
-    verify(held, held_before + facts["rows"], None, columns)
-    # The content of a database table would have to come back over its connections.
-    if target.count(".") < 2:
-        if adds and not has_id:
-            held = held.where(F.col("id") >= start)
-        elif adds:
+    if in_database:
+        verify(held, held_before + facts["rows"], None, columns)
+    else:
+        if adds and has_id:
             held = held.join(rows.select("id"), "id", "left_semi")
+        elif adds:
+            held = held.where(F.col("id") >= start)
         verify(held, facts["rows"], facts["content"], columns)
     # After a failure the landing stays for a look at it.
     for path in (landing, fitting):
