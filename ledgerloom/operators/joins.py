@@ -21,6 +21,9 @@ def left_join(
     at run time. A left outer join cannot be split on its right side, so that one is counted
     first, and its hot keys, if there are any, are salted.
     """
+    shared = set(left.columns) & set(right.columns)
+    if shared:
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
     keyed = right.where(F.col(right_key).isNotNull())
     hot = keyed.groupBy(right_key).count().where(F.col("count") > hot_rows)
     if not hot.isEmpty():

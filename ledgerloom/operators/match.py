@@ -100,10 +100,10 @@ def substring_join(
     )
     # Written once: its size on disk then tells Spark whether to broadcast it, and a lost
     # executor does not start the matching anew.
-    pairs = stage(pairs.withColumnRenamed("name", "_name"), "pairs")
+    pairs = stage(pairs.withColumnsRenamed({"name": "_name", "needle": "_needle"}), "pairs")
     found = left.withColumn("_name", match_key(F.col(left_name))).join(pairs, "_name", "left")
     keyed = right.withColumn("_right_needle", match_key(F.col(right_name)))
-    return left_join(found, keyed, "needle", "_right_needle", hot_rows).drop("_name", "needle")
+    return left_join(found, keyed, "_needle", "_right_needle", hot_rows).drop("_name", "_needle")
 
 
 def longest_substring_join(

@@ -53,6 +53,12 @@ def test_named_cases(spark, broadcast_bytes):
     assert {(6, "Banco Votorantim", "VOTORANTIM", 5), (6, "Banco Votorantim", "Votorantim", 6)} <= set(got)
 
 
+def test_columns_may_be_called_like_the_steps(spark):
+    left = spark.createDataFrame([("BANCO ALFA", 1)], "name string, needle int")
+    right = spark.createDataFrame([("alfa", 2)], "nome string, seed int")
+    assert [tuple(r) for r in substring_join(left, right, "name", "nome").collect()] == [("BANCO ALFA", 1, "alfa", 2)]
+
+
 def test_without_any_right_name(spark):
     assert joined(spark, CASES, [(None, 1)]) == brute(CASES, [])
     assert joined(spark, CASES, [(" ", 1)]) == brute(CASES, [(" ", 1)])

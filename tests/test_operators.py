@@ -135,6 +135,11 @@ def test_left_join_keeps_null_keys_and_multiplies(spark):
     assert _rows(left_join(left, right, "k", "rk")) == Counter([("a", 1, 1), ("a", 1, 2), ("b", 2, None), (None, 3, None)])
 
 
+def test_left_join_wants_differing_names(spark):
+    with pytest.raises(ValueError, match="both sides"):
+        left_join(spark.range(1), spark.range(1), "id", "id")
+
+
 @pytest.mark.parametrize("hot_rows", [1, 3, 50, 10_000])
 def test_hot_right_keys_give_the_same_rows(spark, hot_rows):
     """A third of the right side has one key; another key is a third of copies."""
