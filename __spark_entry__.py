@@ -27,6 +27,15 @@ from ledgerloom.sources.delimited import read_delimited, read_folder, with_linea
 from ledgerloom.sources.tables import catalogue_folder, read_tables
 from ledgerloom.streaming.incremental import load_new_files
 
+try:
+    import corpus_pipeline
+    from ledgerloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # Only their absence is passed over, and not an import that fails inside them.
+    if missing.name not in ("corpus_pipeline", "ledgerloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -417,6 +426,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {} if llm_queries is None else llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "consolidate": _consolidate,
         "consolidate_best": lambda spark, sf_dir: _consolidate(spark, sf_dir, best=True),
@@ -472,6 +489,17 @@ from customer where c_acctbal >= 0"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | _llm_sql()
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    piped = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return llm_queries.oracle_sql() | piped
+
+
+def _own_sql() -> dict[str, str]:
     return {
         "consolidate": _BANK_SQL + "select * exclude (nome) from result",
         "consolidate_best": _BANK_SQL
