@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
+from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.sharding import kd_shards
+from ledgerloom.llm.syncmers import fingerprints
+from ledgerloom.llm.warc import base32_of_hex, read_archives, write_archives
+from ledgerloom.session import fresh_path
 
 #: What both turns of the added conversation say: text like the marks of templates.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -18,6 +22,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    write_archives(_table(spark, sf_dir, "pages"), folder)
+    read = read_archives(spark, folder)
+    page_of = lambda name: F.regexp_extract(name, r"^<urn:page:(-?\d+)>$", 1).try_cast("bigint")
+    # Of a payload that is in the archive, what is returned comes from the payload as read.
+    unpacked = F.col("payload").isNotNull()
+    return read.select(
+        page_of("record_id").alias("page_id"),
+        F.when(unpacked, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("bigint").alias("payload_bytes"),
+        F.when(unpacked, base32_of_hex(F.sha1("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(
@@ -50,14 +78,31 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op6_best_fit_packing": op6_best_fit_packing,
+        "op8_warc": op8_warc,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_kd_sharding": op10_kd_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_formatting": _OP9_SQL}
-
+    return {"op8_warc": _OP8_SQL, "op9_chat_formatting": _OP9_SQL}
+
+
+_OP8_SQL = r"""
+with bits as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, upper(sha1(coalesce(html, ''))) as hex
+  from pages),
+named as (
+  select page_id, payload_bytes, hex, max(page_id) over (partition by hex) as kept,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+      list_transform(range(5), lambda j: (((instr('0123456789ABCDEF', substr(hex, ((i * 5 + j) // 4 + 1)::int, 1)) - 1)
+        >> (3 - (i * 5 + j) % 4)::int) & 1) * (16 >> j::int)))::int, 1)), '') as payload_digest
+  from bits)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  if(page_id = kept, 'response', 'revisit') as record_type, if(page_id = kept, null, kept) as refers_to
+from named"""
 
 _OP9_SQL = r"""
 with turns as (
