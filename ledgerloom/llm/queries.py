@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
+from ledgerloom.llm.ngram_join import jaccard_components
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.sharding import kd_shards
 from ledgerloom.llm.syncmers import fingerprints
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_warc": op8_warc,
