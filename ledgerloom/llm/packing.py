@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ledgerloom.llm.shipping import ship
 from ledgerloom.session import stage
 
 VOCABULARY = "byte_bpe_50k"
@@ -99,6 +100,7 @@ def cut_documents(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LE
     A document is its ids and then ``END_ID``; of a longer one all pieces but the first are full.
     A null text is an empty one, which is its end alone. ``with_ids`` adds the ids themselves.
     """
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     pieces = texts.mapInArrow(lambda batches: _cut(batches, vocabulary, limit, with_ids), _PIECE_SCHEMA)
     return pieces if with_ids else pieces.drop("ids")
@@ -164,6 +166,7 @@ def pack(pieces: DataFrame, limit: int = LENGTH) -> DataFrame:
     ``pieces`` has doc_id, piece and length (1 … ``limit``) and is read several times, so hand over
     staged rows; further columns are kept. Repeated rows get a place each, an empty table has none.
     """
+    ship(pieces.sparkSession)
     n = pieces.count()
     parts = max(PARTS, -(-n // RANK_ROWS))
     part = F.pmod(F.xxhash64("doc_id", "piece", "_at"), F.lit(parts)).cast("int")

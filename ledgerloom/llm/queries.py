@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
+from ledgerloom.llm.neighbours import nearest_neighbours
 from ledgerloom.llm.ngram_join import jaccard_components
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.sharding import kd_shards
@@ -27,6 +28,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_warc": op8_warc,

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.shipping import ship
+
 K, S = 12, 5
 ANCHORS = 48
 # Ends of the text are code points of their own, so short texts have k-mers too.
@@ -161,6 +163,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     bucket also go to the bucket before, so no window over all rows is needed. A task goes through
     its rows one by one.
     """
+    ship(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST))
     rows = docs.select(
         key.alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 from pyspark.sql.types import StructType
 
+from ledgerloom.llm.shipping import ship
 from ledgerloom.session import stage
 
 SUFFIX = ".warc.gz"
@@ -132,6 +133,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
 
     ``folder`` is one that all executors reach: ``file:``, ``hdfs:``, ``s3:`` or ``gs:``.
     """
+    ship(pages.sparkSession)
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
     known = pages.select(
@@ -342,6 +344,7 @@ def read_archives(spark: SparkSession, folder: str, columns: list[str] | None =
     Turns on the session's filter pushdown for Python sources, so that conditions on record type and
     header fields reach the reader.
     """
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     reader = spark.read.format("warc")
