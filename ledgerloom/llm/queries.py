@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.bpe import encode_and_decode
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
 from ledgerloom.llm.neighbours import nearest_neighbours
 from ledgerloom.llm.ngram_join import jaccard_components
@@ -36,6 +37,10 @@ def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op4_bpe": op4_bpe,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_warc": op8_warc,
         "op9_chat_formatting": op9_chat_formatting,
