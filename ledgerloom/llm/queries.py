@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import encode_and_decode
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
+from ledgerloom.llm.language import identify_languages
 from ledgerloom.llm.neighbours import nearest_neighbours
 from ledgerloom.llm.ngram_join import jaccard_components
 from ledgerloom.llm.packing import pack_documents
+from ledgerloom.llm.quality import score_quality
 from ledgerloom.llm.sharding import kd_shards
 from ledgerloom.llm.syncmers import fingerprints
 from ledgerloom.llm.warc import base32_of_hex, read_archives, write_archives
@@ -41,10 +43,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "warc")
     write_archives(_table(spark, sf_dir, "pages"), folder)
@@ -97,7 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op4_bpe": op4_bpe,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_language_id": op7_language_id,
         "op8_warc": op8_warc,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_kd_sharding": op10_kd_sharding,
