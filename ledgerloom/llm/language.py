@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shipping import ship
@@ -29,6 +30,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 #: Share of the sample that only the temperature sees.
 CALIBRATION = 5
 UNKNOWN = "und"
+#: Score from which the language of a text counts as known.
+LEAST_SCORE = 0.5
 _BMP = 1 << 16
 _BLANK = 32
 
@@ -58,7 +61,9 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     points = np.where(letters, points, np.uint32(_BLANK))
     kept = letters.copy()
     kept[1:] |= letters[:-1]
-    points = np.concatenate([[_BLANK], points[kept], [_BLANK]]).astype(np.uint32)
+    points = points[kept]
+    end = [_BLANK] if points[-1] != _BLANK else []
+    points = np.concatenate([[_BLANK], points, end]).astype(np.uint32)
     hashed, found = np.zeros(len(points), np.uint32), []
     for n in range(1, max(GRAMS) + 1):
         if len(points) < n:
@@ -200,14 +205,16 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
     return LanguageModel(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature)
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [model.value.predict(text.as_py()) for text in batch.column(2)]
-        columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], _NAMES)
+def language_of(spark: SparkSession, model: LanguageModel):
+    """A column function: lang_pred and score of a text."""
+    ship(spark)
+    sent = spark.sparkContext.broadcast(model)
 
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([sent.value.predict(t) for t in text], columns=["lang_pred", "score"])
 
-_NAMES = ["doc_id", "held_out", "lang_pred", "score"]
+    return predict
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
@@ -218,9 +225,13 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
     where there is nothing to learn from. Only the text is an input of a prediction. Repeated rows
     stay, further columns are ignored.
     """
-    model = fit_languages(docs) if model is None else model
-    ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _held_out(F.col("doc_id")).alias("held_out"), "text")
-    schema = "doc_id bigint, held_out boolean, lang_pred string, score double"
-    return rows.mapInArrow(lambda batches: _predicted(batches, sent), schema)
+    predict = language_of(docs.sparkSession, fit_languages(docs) if model is None else model)
+    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = known.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), predict("text").alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def known_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of ``least``, as they are."""
+    predict = language_of(docs.sparkSession, fit_languages(docs))
+    return docs.where(predict(F.col("text").cast("string"))["score"] >= least)
