@@ -12,6 +12,7 @@ that connect something leave the task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -23,18 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.filters import filter_words, may_hold
 from ledgerloom.llm.shingles import WORDS, mix, shingle_sets
+from ledgerloom.llm.shipping import ship
 from ledgerloom.session import stage
 
 # Similarity as a fraction: PART * |intersection| >= SHARE * |union|.
 SHARE, PART = 85, 100
 CELLS, SPARE = 3, 1
-# One part more than needed: see ``_signatures``.
-SLACK = 1
+# How far beyond their mean number parts with empty subsets are reckoned with, see ``_parts``.
+DEVIATIONS = 4
 # Sets and elements that one block of a comparison holds, about.
-BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 20
-# Bits of the filter that keeps texts without candidates from being shuffled; 4 MB whatever the data.
-FILTER_BITS = 25
+BLOCK_SETS, BLOCK_ELEMENTS = 2048, 1 << 21
 _LEAST = -(2**63)
 _U = np.uint64
 _SUBSETS = list(combinations(range(CELLS), CELLS - SPARE))
@@ -66,6 +67,27 @@ def _high(band: int) -> int:
     return high
 
 
+@lru_cache(maxsize=1024)
+def _parts(band: int) -> tuple[int, int]:
+    """How many parts a band has, and how many of them are more than needed.
+
+    The surplus is what the smallest sets of the band have in parts with an empty subset, by the law
+    of empty cells and with some standard deviations to spare.
+    """
+    needed = -(-(_most_different(2 * _high(band)) + 1) // (SPARE + 1))
+    least = _high(band - 2) + 1 if band > 1 else 1
+    surplus = 1
+    while surplus <= needed:
+        parts = needed + surplus
+        empty = math.exp(-least / (parts * CELLS))
+        lost = sum(math.comb(CELLS, n) * empty**n * (1 - empty) ** (CELLS - n) for n in range(CELLS - SPARE, CELLS + 1))
+        if surplus >= parts * lost + DEVIATIONS * math.sqrt(parts * lost * (1 - lost)):
+            return parts, surplus
+        surplus += 1
+    # Sets so small that no surplus is enough.
+    return needed + 1, 1
+
+
 def set_key(elements: np.ndarray) -> int:
     """A number that stands for a whole set; equal sets are one node of the graph."""
     total = mix(elements).sum(dtype=np.uint64) + _U(len(elements))
@@ -76,9 +98,9 @@ def _signatures(elements: np.ndarray) -> np.ndarray:
     """Signatures of a set in the band of its size and in the next one, where it may be the smaller set.
 
     Subsets without elements would bring unrelated sets together, so they give no signature. Two
-    linked sets agree on more than ``SLACK`` parts, so none is missed as long as one of the two has
-    no more than ``SLACK`` parts with such subsets; a set with more of them signs these as well, by a
-    signature that only sets of this kind have.
+    linked sets agree on more parts than there are too many, so none is missed as long as one of the
+    two has no more parts with such subsets than that; a set with more of them signs these as well,
+    by a signature that only sets of this kind have.
     """
     found = []
     own = _band(len(elements))
@@ -86,7 +108,7 @@ def _signatures(elements: np.ndarray) -> np.ndarray:
         most = _most_different(2 * _high(band))
         if most == 0:  # only equal sets are linked, and they are one node
             continue
-        parts = -(-(most + 1) // (SPARE + 1)) + SLACK
+        parts, surplus = _parts(band)
         place = mix(elements + _U(band + 1)) % _U(parts * CELLS)
         cells = np.zeros(parts * CELLS, np.uint64)
         np.add.at(cells, place.astype(np.int64), elements)
@@ -98,7 +120,7 @@ def _signatures(elements: np.ndarray) -> np.ndarray:
         salt = mix(number + (_U(band) << _U(32)) + _U(0x51ED2701))
         signed = mix(sums + salt)
         found.append(signed[~empty])
-        if empty.any(1).sum() > SLACK:
+        if empty.any(1).sum() > surplus:
             found.append(mix(salt + _U(0x2545F4914F6CDD1D))[empty])
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
@@ -152,17 +174,6 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["a", "b"])
 
 
-def _filter_bits(ids: DataFrame, column: str) -> np.ndarray:
-    """Bits at the hashes of the ids: which documents may be among them. Of one size for any number."""
-    at = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64L) as int))")
-    found = ids.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    rows = found.toPandas()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return bits.view(np.uint64)
-
-
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, rows = [], []
@@ -188,16 +199,17 @@ class _Forest:
         self._parent[self.root(i)] = self.root(j)
 
 
-def spanning_links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[int, int]]:
+def spanning_links(sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray) -> Iterator[tuple[int, int]]:
     """Links that connect ``sets`` as all links between them do.
 
-    ``side`` has 0 or 1 if only sets of different sides are compared, or all the same. Sets are
-    compared by parity first: bits that tell whether an odd number of elements falls on them differ
-    in no more places than the sets do. What passes is compared exactly.
+    ``side`` has 0 or 1 if only sets of different sides are compared, or all the same; two sets that
+    are both a ``guest`` are not compared. Sets are compared by parity first: bits that tell whether
+    an odd number of elements falls on them differ in no more places than the sets do. What passes
+    is compared exactly.
     """
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
-    sizes, side = sizes[order], side[order]
+    sizes, side, guest = sizes[order], side[order], guest[order]
     across = side.min() != side.max()
     reach = np.searchsorted(sizes, sizes * PART // SHARE, side="right")
     forest = _Forest(len(sets))
@@ -212,6 +224,8 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[i
         others = np.arange(i + 1, reach[i])
         if across:
             others = others[side[others] != side[i]]
+        if guest[i]:
+            others = others[~guest[others]]
         if parity is not None and len(others):
             apart = np.bitwise_count(parity[others] ^ parity[i]).sum(1)
             others = others[apart <= _most_different(sizes[others] + sizes[i])]
@@ -224,25 +238,30 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray) -> Iterator[tuple[i
                     yield int(order[i]), int(order[j])
 
 
+_BLOCK_COLUMNS = ["cluster", "band", "first", "second", "side", "guest", "node", "elements"]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links in every pair of blocks; rows come in order of cluster and pair."""
-    held, nodes, sets, sides = None, [], [], []
+    """Links in every pair of blocks; rows come in order of cluster, band and pair."""
+    held, nodes, sets, sides, guests = None, [], [], [], []
 
     def links() -> pa.RecordBatch:
-        found = list(spanning_links(sets, np.array(sides))) if len(sets) > 1 else []
+        found = list(spanning_links(sets, np.array(sides), np.array(guests)))
         columns = [pa.array([nodes[pair[i]] for pair in found], pa.int64()) for i in range(2)]
         return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     for batch in batches:
-        cluster, first, second, side, node = (batch.column(i).to_pylist() for i in range(5))
-        for at, group in enumerate(zip(cluster, first, second)):
+        keys = zip(*(batch.column(i).to_pylist() for i in range(4)))
+        side, guest, node = (batch.column(i).to_pylist() for i in range(4, 7))
+        for at, group in enumerate(keys):
             if group != held:
                 if len(sets) > 1:
                     yield links()
-                held, nodes, sets, sides = group, [], [], []
+                held, nodes, sets, sides, guests = group, [], [], [], []
             nodes.append(node[at])
             sides.append(side[at])
-            sets.append(np.frombuffer(batch.column(5)[at].as_buffer().to_pybytes(), np.uint64))
+            guests.append(guest[at])
+            sets.append(np.frombuffer(batch.column(7)[at].as_buffer().to_pybytes(), np.uint64))
     if len(sets) > 1:
         yield links()
 
@@ -260,13 +279,23 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
         first.select("node", "least.*").join(clusters, "node").select("node", "doc_key", "n_shingles", "cluster"),
         "clusters",
     )
-    totals = picked.groupBy("cluster").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_ELEMENTS)
-        ).alias("blocks")
+
+    @F.pandas_udf("int")
+    def band_of(size: pd.Series) -> pd.Series:
+        return size.map(_band)
+
+    # A set meets those of its own band, and as a guest those of the next one.
+    own = band_of("n_shingles")
+    bands = F.array(F.struct(own.alias("band"), F.lit(False).alias("guest")), F.struct((own + 1).alias("band"), F.lit(True).alias("guest")))
+    banded = picked.select("*", F.inline(bands))
+    totals = (
+        banded.groupBy("cluster", "band")
+        .agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("elements"), F.bool_or(~F.col("guest")).alias("any_own"))
+        .where("sets > 1 and any_own")
+        .select("cluster", "band", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).alias("blocks"))
     )
-    dealt = picked.join(totals, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Every block meets every block of its cluster, itself included: (first, second) with first <= second.
+    dealt = banded.join(totals, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # Every block meets every block of its band, itself included: (first, second) with first <= second.
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks").cast("int") - 1),
         lambda other: F.struct(
@@ -275,18 +304,17 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             (F.col("block") > other).cast("int").alias("side"),
         ),
     )
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(picked, "doc_key"))
+    bits = docs.sparkSession.sparkContext.broadcast(filter_words(picked, "doc_key"))
 
     @F.pandas_udf("boolean")
     def may_be(hashed: pd.Series) -> pd.Series:
-        at = hashed.to_numpy().view(np.uint64) & _U((1 << FILTER_BITS) - 1)
-        return pd.Series((bits.value[at >> _U(6)] >> (at & _U(63)) & _U(1)).astype(bool))
+        return pd.Series(may_hold(bits.value, hashed.to_numpy().view(np.uint64)))
 
     read = docs.where(may_be(F.xxhash64("doc_key")))
     sets = read.mapInArrow(lambda batches: _sets(batches, words), "doc_key bigint, node bigint, elements binary")
-    placed = dealt.join(sets, ["doc_key", "node"]).select("cluster", F.inline(pairs), "node", "elements")
-    blocks = placed.select("cluster", "first", "second", "side", "node", "elements")
-    ordered = blocks.repartition("cluster", "first", "second").sortWithinPartitions("cluster", "first", "second", "node")
+    placed = dealt.join(sets, ["doc_key", "node"]).select("cluster", "band", "guest", F.inline(pairs), "node", "elements")
+    together = _BLOCK_COLUMNS[:4]
+    ordered = placed.select(*_BLOCK_COLUMNS).repartition(*together).sortWithinPartitions(*together, "node")
     return ordered.mapInArrow(_compare, "a bigint, b bigint")
 
 
@@ -299,12 +327,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     only, are one node. A row without a doc_id takes part; it gets the component of its node, which
     is null if no other row of it has a doc_id. Further columns are ignored.
     """
+    ship(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST)).alias("doc_key")
     known = docs.select(key, F.col("text").cast("string").alias("text"))
     schema = "doc_key bigint, n_shingles bigint, node bigint"
     members = stage(known.mapInArrow(lambda batches: _nodes(batches, words), schema), "members")
     solid = members.where("node is not null")
-    links = connected_components(stage(_links(known, solid, words), "links"))
+    links = connected_components(_links(known, solid, words))
     doc_id = F.when(F.col("doc_key") != _LEAST, F.col("doc_key"))
     least = solid.groupBy("node").agg(F.min(doc_id).alias("least"))
     reached = links.join(least, "node").groupBy("component").agg(F.min("least").alias("reached"))
@@ -316,3 +345,25 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     alone = members.where("node is null").select("*", doc_id.alias("component_id"))
     columns = [doc_id.alias("doc_id"), F.col("n_shingles"), F.col("component_id")]
     return found.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each_group(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` without linked ones: of each component that with the smallest doc_id stays.
+
+    Of rows that repeat a doc_id and its text one stays; rows without a doc_id all stay. Only
+    documents that may go are shuffled, as a filter of fixed size tells.
+    """
+    found = stage(jaccard_components(docs.select("doc_id", "text"), words).where("doc_id is not null"), "components")
+    named = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
+    doubtful = named.where("rows > 1 or component_id <> doc_id")
+    bits = docs.sparkSession.sparkContext.broadcast(filter_words(doubtful, "doc_id"))
+
+    @F.pandas_udf("boolean")
+    def may_go(hashed: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(bits.value, hashed.to_numpy().view(np.uint64)))
+
+    doubted = may_go(F.xxhash64(F.col("doc_id").cast("bigint")))
+    kept = named.where("component_id = doc_id").select("doc_id")
+    looked_up = docs.where("doc_id is not null").where(doubted).join(kept, "doc_id", "left_semi")
+    sure = docs.where(F.col("doc_id").isNull() | ~doubted)
+    return sure.unionByName(looked_up.dropDuplicates(["doc_id", "text"]))
