@@ -34,6 +34,7 @@ SAMPLE = 2000
 #: Vectors and queries that meet in one task at once, about.
 BLOCK, CHUNK = 2048, 2048
 _REACH = 4
+_WHOLE_GROUPS = 16
 _CDF = NormalDist().cdf
 
 
@@ -227,19 +228,18 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, succes
     short = stage(asked.join(enough, "query_id", "left_anti"), "short")
     if short.isEmpty():
         return found.select("query_id", "rank", "vec_id", "score")
-    # Table 0 has every vector once, in the groups of its keys.
     first = stage(usable.select("vec_id", "embedding", _spread(usable).alias("group"), F.lit(0).cast("bigint").alias("cell")), "all")
     held = first.groupBy("group").agg(F.count(F.lit(1)).alias("held"))
-    all_cells = F.lit(None).cast("array<bigint>").alias("cells")
-    whole = short.join(F.broadcast(held.select("group"))).select("query_id", "query", "group", all_cells)
+    every_group = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_WHOLE_GROUPS - 1).cast("bigint"))).alias("group")
+    whole = short.select("query_id", "query", every_group, F.lit(None).cast("array<bigint>").alias("cells"))
     exact = _best(_meet(first, whole, held, k), k)
     kept = found.join(short.select("query_id").distinct(), "query_id", "left_anti")
     return kept.unionByName(exact).select("query_id", "rank", "vec_id", "score")
 
 
 def _spread(vectors: DataFrame) -> Column:
-    """One of 16 groups; blocks cut them further."""
-    return F.pmod(F.xxhash64("vec_id"), F.lit(16)).cast("bigint")
+    """One of a few groups; blocks cut them further."""
+    return F.pmod(F.xxhash64("vec_id"), F.lit(_WHOLE_GROUPS)).cast("bigint")
 
 
 def _index_schema(vectors: DataFrame) -> str:
