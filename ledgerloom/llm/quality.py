@@ -14,12 +14,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shingles import word_hashes
 from ledgerloom.llm.shipping import ship
-from ledgerloom.session import stage
 
 #: Labelled texts that the model learns from, about; those of the smallest hashes of their ids.
 SAMPLE = 30_000
@@ -242,6 +241,10 @@ def fit_additive(features: np.ndarray, labels: np.ndarray) -> AdditiveModel:
     return model
 
 
+def _held_out():
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+
+
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = text_features(batch.column(1))
@@ -249,31 +252,36 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), listed], ["doc_id", "features"])
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id and features of every row of ``docs`` (doc_id, text), written once."""
-    ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(_measured, "doc_id bigint, features array<double>"), "features")
-
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
+    """A model of ``quality`` learnt from the texts of ``docs`` that have a label and are not held out.
 
-def fit_quality(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
-    """A model of ``quality`` learnt from the measured rows that have a label and are not held out.
-
-    ``labels`` has doc_id and quality; null ones teach nothing. At most about ``sample`` rows come
-    to the driver.
+    ``labels`` has doc_id and quality; rows with a null teach nothing. Only documents of the sample
+    are measured, and about ``sample`` rows come to the driver.
     """
-    marked = labels.where("quality is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    ship(docs.sparkSession)
+    label = F.col("quality").cast("int").alias("label")
+    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), label).where("label is not null")
     marked = marked.where(~_held_out())
-    n = marked.count()
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < F.lit(min(1.0, sample / max(n, 1)) * (1 << 20))
-    rows = marked.where(drawn).join(measured, "doc_id").orderBy("doc_id", "label").toPandas()
+    share = min(1.0, sample / max(marked.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < F.lit(share * (1 << 20))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    measured = texts.where(drawn & ~_held_out()).mapInArrow(_measured, "doc_id bigint, features array<double>")
+    rows = marked.where(drawn).join(measured, "doc_id").orderBy("doc_id", "label", "features").toPandas()
     if not len(rows):
         return fit_additive(np.empty((0, len(FEATURES))), np.empty(0))
     return fit_additive(np.stack(rows["features"].to_numpy()), rows["label"].to_numpy(np.float64))
 
 
-def _held_out():
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+def quality_score(spark: SparkSession, model: AdditiveModel):
+    """A column function: the probability of label 1 for a text."""
+    ship(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.score(text_features(pa.array(text, pa.large_string(), from_pandas=True))))
+
+    return score
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -284,14 +292,13 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text is divisible by 5, null for a null doc_id; such rows teach nothing. Without labels every
     score is 0.5. Repeated rows stay, further columns are ignored.
     """
-    measured = measure(docs)
-    model = docs.sparkSession.sparkContext.broadcast(fit_quality(measured, labels))
+    score = quality_score(docs.sparkSession, fit_quality(docs, labels))
+    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = known.select("doc_id", _held_out().alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
-    @F.pandas_udf("double")
-    def score(features: pd.Series) -> pd.Series:
-        if not len(features):
-            return pd.Series([], dtype="float64")
-        return pd.Series(model.value.score(np.stack(features.to_numpy())))
 
-    scored = measured.select("doc_id", _held_out().alias("held_out"), score("features").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be good, as they are."""
+    score = quality_score(docs.sparkSession, fit_quality(docs, labels))
+    return docs.where(score(F.col("text").cast("string")) >= THRESHOLD)
