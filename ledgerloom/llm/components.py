@@ -44,15 +44,15 @@ def connected_components(edges: DataFrame, label: str = "component") -> DataFram
     """The nodes of ``edges`` (a, b: bigint, a and b not equal) with the smallest node that each can reach.
 
     Every task first contracts the edges that it has. Then come rounds of two steps, until there are
-    only stars: each node hands its larger neighbours to its smallest one, and then its smaller ones.
-    The number of rounds grows with the logarithm of the graph, and each writes its edges to the
-    shared folder. The smallest neighbours are aggregated before they are shuffled, and a node of
+    only stars: each node hands its smaller neighbours to the smallest of them, and then its larger
+    ones. The number of rounds grows with the logarithm of the graph, and each step writes its edges
+    to the shared folder. The smallest neighbours are aggregated before they are shuffled, and a node of
     many edges is a large key of one side of a join only, which adaptive execution splits.
     """
     ship(edges.sparkSession)
     current = stage(edges.select("a", "b").mapInArrow(_contracted, "a bigint, b bigint").distinct(), "edges")
-    while not _only_stars(current):
-        current = stage(_small_star(_large_star(current)), "edges")
+    while not _only_stars(current := stage(_small_star(current), "edges")):
+        current = stage(_large_star(current), "edges")
     # All edges now lead from a node to the smallest of its component.
     roots = current.select(F.col("b").alias("node"), F.col("b").alias(label)).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias(label)).unionByName(roots)
