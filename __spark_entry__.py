@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ledgerloom.operators import checks, columns, ids
 from ledgerloom.operators.aggregate import complaints_by_year
 from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import substring_join
-from ledgerloom.plans.consolidate import REVIEWS, consolidate
+from ledgerloom.plans.consolidate import INPUTS, RESULT, REVIEWS, consolidate, consolidate_tables
 from ledgerloom.plans.load import load_files, load_frame
 from ledgerloom.session import fresh_path, stage
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
@@ -414,12 +415,126 @@ def _load_job(spark, sf_dir):
 def _incremental_load(spark, sf_dir):
     folder, target = fresh_path(spark, "novos"), fresh_path(spark, "carregados")
     raw = _raw_customers(spark, sf_dir)
-    for part in (raw.where("`Nation-Key` < 10"), raw.where("`Nation-Key` >= 10")):
+    for part in (raw.where("`Nation-Key` < 10"), raw.where("`Nation-Key` >= 10 or `Nation-Key` is null")):
         _write_csv(part, f"{folder}/{uuid.uuid4().hex}")
         load_new_files(spark, folder, target, types=_RAW_TYPES, columns=raw.columns)
     return spark.read.parquet(target).drop("created_at", "updated_at")
 
 
+def _left_equi_join_salted(spark, sf_dir):
+    """The same rows as ``left_equi_join``, a third of the segments under one key and every key hot."""
+    segments = _banks(spark, sf_dir).withColumnRenamed("cnpj", "bank_cnpj")
+    third = segments.where("bank_cnpj % 3 = 0").withColumn("bank_cnpj", F.lit(1).cast("bigint"))
+    yearly = complaints_by_year(_complaints(spark, sf_dir))
+    return _rounded_index(left_join(yearly, segments.unionByName(third), "cnpj_if", "bank_cnpj", hot_rows=1))
+
+
+def _decimal_comma_mixed(spark, sf_dir):
+    """Prices with a comma, with a point, with junk and below zero; those that are no number counted."""
+    price = F.col("o_totalprice")
+    comma = F.translate(F.format_number(price, 2), ",.", ".,")
+    point = F.concat((F.col("o_orderkey") % 1000).cast("string"), F.lit(".5"))
+    kind = F.col("o_orderkey") % 5
+    text = (
+        F.when(kind == 0, comma).when(kind == 1, F.concat(F.lit("-"), comma)).when(kind == 2, point)
+        .when(kind == 3, F.concat(comma, F.lit("x"))).otherwise(F.concat(F.lit("1,"), comma))
+    )
+    parsed = _table(spark, sf_dir, "orders").select(kind.alias("kind"), decimal_comma(text, 15, 2).alias("price"))
+    return parsed.groupBy("kind").agg(
+        F.sum("price").cast("decimal(25,2)").alias("total"), F.count_if(F.col("price").isNull()).alias("rejected")
+    )
+
+
+def _conform_fractions(spark, sf_dir):
+    """Balances as whole numbers: fractions are rejected and not cut off."""
+    half = (F.round("c_acctbal") + F.when(F.col("c_custkey") % 3 == 0, 0.5).otherwise(0)).alias("saldo")
+    conformed = columns.conform(_table(spark, sf_dir, "customer").select("c_custkey", half), {"c_custkey": "int", "saldo": "int"})
+    kept = columns.accepted(conformed).agg(F.lit("kept").alias("part"), checks.row_count().alias("n"), F.sum("saldo").alias("total"))
+    faults = columns.rejected(conformed).agg(F.lit("rejected").alias("part"), checks.row_count().alias("n"), F.sum("saldo").alias("total"))
+    return kept.unionByName(faults)
+
+
+def _csv_untyped_folder(spark, sf_dir):
+    """Two headers in a folder, inferred types: values come under their own names."""
+    folder = fresh_path(spark, "untyped")
+    customers = _table(spark, sf_dir, "customer")
+    _write_csv(customers.selectExpr("c_custkey as chave", "c_acctbal as saldo"), f"{folder}/a")
+    _write_csv(customers.selectExpr("c_acctbal as outro", "c_custkey as chave"), f"{folder}/b")
+    return read_folder(spark, folder).selectExpr("cast(chave as bigint) as chave", "saldo", "outro")
+
+
+def _separator_sniff(spark, sf_dir):
+    """The separator as the first line tells it, for four files of one table."""
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    scans = []
+    for number, sep in enumerate((",", ";", "\t", "|")):
+        path = _write_csv(parts, fresh_path(spark, "sniffed"), sep)
+        read = read_delimited(spark, path, "sniff", {"p_partkey": "bigint"})
+        scans.append(read.select(F.lit(number).alias("variant"), "p_partkey", "p_brand"))
+    return scans[0].unionByName(scans[1]).unionByName(scans[2]).unionByName(scans[3])
+
+
+def _load_mixed_folder(spark, sf_dir):
+    """A folder with two headers into one table."""
+    folder = fresh_path(spark, "mixed")
+    _write_csv(_table(spark, sf_dir, "supplier").selectExpr("s_suppkey as ID", "s_name as Nome"), f"{folder}/a")
+    shifted = "c_custkey + 1000000 as ID"
+    _write_csv(_table(spark, sf_dir, "customer").selectExpr("c_mktsegment as Segmento", shifted), f"{folder}/b")
+    target = f"{_fresh_schema(spark, 'mixed')}.clientes"
+    load_files(spark, folder, target, glob="*.csv", types={"id": "bigint"})
+    return spark.table(target).select("id", "nome", "segmento")
+
+
+def _load_retry(spark, sf_dir):
+    """A load that was cut short after its write and is run again: every row and every reject once."""
+    schema = _fresh_schema(spark, "retry")
+    target, rejects = f"{schema}.bancos_enquadramento", f"{schema}.rejeitados"
+    raw = _table(spark, sf_dir, "customer").selectExpr(
+        "if(c_custkey % 7 = 0, concat(c_mktsegment, ' and more'), c_mktsegment) as Segmento", "c_custkey as CNPJ", "c_name as Nome"
+    )
+    options = {"declared": "bancos_enquadramento", "key_columns": ("cnpj",), "rejects": rejects, "at": datetime(2024, 1, 2, tzinfo=timezone.utc)}
+    load_frame(raw, target, **options)
+    spark.sql(f"TRUNCATE TABLE {rejects}")
+    for _ in range(2):
+        load_frame(raw, target, **options)
+    kept = spark.table(target).select(F.lit(False).alias("diverted"), "segmento", "cnpj", "nome")
+    return kept.unionByName(spark.table(rejects).select(F.lit(True).alias("diverted"), "segmento", "cnpj", "nome"))
+
+
+def _substring_join_long_names(spark, sf_dir):
+    """Words of the benchmark within whole documents: how many documents have each."""
+    words = _table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
+    needles = words.where("length(word) >= 4").select(F.upper("word").alias("palavra")).distinct()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    found = substring_join(docs, needles, "texto", "palavra")
+    return found.groupBy("palavra").agg(checks.row_count().alias("n"), F.sum("doc_id").alias("ids"))
+
+
+def _catalogue_refresh(spark, sf_dir):
+    """A second call over a folder that has got a partition and a subfolder."""
+    folder, schema = fresh_path(spark, "raw"), _fresh_schema(spark, "refresh")
+    orders = _table(spark, sf_dir, "orders").withColumn("ano", F.year("o_orderdate"))
+    last = orders.agg(F.max("ano")).first()[0]
+    orders.where(F.col("ano") < last).write.partitionBy("ano").parquet(f"{folder}/orders")
+    catalogue_folder(spark, folder, schema)
+    orders.where(F.col("ano") == last).write.partitionBy("ano").mode("append").parquet(f"{folder}/orders")
+    _write_csv(_table(spark, sf_dir, "customer"), f"{folder}/my-customers")
+    tables = catalogue_folder(spark, folder, schema)
+    n = checks.row_count().alias("n")
+    scans = [spark.table(t).groupBy(F.lit(t.split(".")[1]).alias("table_name")).agg(n) for t in tables]
+    return scans[0].unionByName(scans[1])
+
+
+def _consolidate_tables(spark, sf_dir):
+    """The three tables loaded, consolidated into one partitioned by year, and read back."""
+    schema = _fresh_schema(spark, "consolidated")
+    inputs = _complaints(spark, sf_dir), _banks(spark, sf_dir), _employees(spark, sf_dir)
+    for name, df in zip(INPUTS, inputs):
+        load_frame(df, f"{schema}.{name}")
+    consolidate_tables(spark, schema)
+    return _rounded_index(spark.table(f"{schema}.{RESULT}").drop("id", "created_at", "updated_at"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The consolidated table on the smallest test data."""
     return _consolidate(spark, "/root/testdata/sf0.001")
@@ -475,6 +590,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "post_load_verify": _post_load_verify,
         "load_job": _load_job,
         "incremental_load": _incremental_load,
+        "left_equi_join_salted": _left_equi_join_salted,
+        "decimal_comma_mixed": _decimal_comma_mixed,
+        "conform_fractions": _conform_fractions,
+        "csv_untyped_folder": _csv_untyped_folder,
+        "separator_sniff": _separator_sniff,
+        "load_mixed_folder": _load_mixed_folder,
+        "load_retry": _load_retry,
+        "substring_join_long_names": _substring_join_long_names,
+        "catalogue_refresh": _catalogue_refresh,
+        "consolidate_tables": _consolidate_tables,
     }
 
 
@@ -606,4 +731,42 @@ from raw""",
 select count(*) as source_rows, count(*) as target_rows, 8 as target_columns, true as matches from orders""",
         "load_job": _RAW_CUSTOMER_SQL,
         "incremental_load": _RAW_CUSTOMER_SQL,
+        "left_equi_join_salted": _BANK_SQL + """
+, doubled as (select * from banks union all select 1, segmento from banks where cnpj % 3 = 0)
+select agg.*, segmento from agg left join doubled on cnpj_if = cnpj""",
+        "decimal_comma_mixed": """
+select (o_orderkey % 5) as kind,
+  sum(case o_orderkey % 5 when 0 then o_totalprice when 1 then -o_totalprice end::decimal(15,2))::decimal(25,2) as total,
+  count(*) filter (o_orderkey % 5 > 1) as rejected
+from orders group by 1""",
+        "conform_fractions": """
+select 'kept' as part, count(*) as n, sum(round(c_acctbal))::bigint as total from customer where c_custkey % 3 <> 0
+union all
+select 'rejected', count(*), null from customer where c_custkey % 3 = 0""",
+        "csv_untyped_folder": """
+select c_custkey as chave, c_acctbal as saldo, null::double as outro from customer
+union all
+select c_custkey, null, c_acctbal from customer""",
+        "separator_sniff": """
+select variant::int as variant, p_partkey, p_brand from part, range(4) as variants(variant)""",
+        "load_mixed_folder": """
+select s_suppkey as id, s_name as nome, null::varchar as segmento from supplier
+union all
+select c_custkey + 1000000, null, c_mktsegment from customer""",
+        "load_retry": """
+with raw as (
+  select if(c_custkey % 7 = 0, c_mktsegment || ' and more', c_mktsegment) as segmento, c_custkey, c_name as nome from customer)
+select length(segmento) > 10 as diverted, segmento,
+  case when length(c_custkey::varchar) < 8 then lpad(c_custkey::varchar, 8, '0') else c_custkey::varchar end as cnpj, nome
+from raw""",
+        "substring_join_long_names": """
+with needles as (
+  select distinct upper(word) as palavra
+  from (select unnest(regexp_split_to_array(text, '[^A-Za-z]+')) as word from benchmark) where length(word) >= 4),
+docs as (select doc_id, upper(replace(text, 'ß', 'ss')) as texto from documents)
+select palavra, count(*) as n, sum(doc_id)::bigint as ids
+from docs left join needles on contains(texto, palavra) group by 1""",
+        "catalogue_refresh": """
+select 'orders' as table_name, count(*) as n from orders union all select 'my_customers', count(*) from customer""",
+        "consolidate_tables": _BANK_SQL + "select * exclude (nome) from result",
     }

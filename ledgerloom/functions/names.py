@@ -44,6 +44,14 @@ def clean_names(raw: list[str], strict: bool = False) -> list[str]:
     return out
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, or with underscores added until none of ``taken`` is called so."""
+    lowered = {t.lower() for t in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
+
+
 def id_position(columns: list[str]) -> int | None:
     """Position of the id column, by the order of ``ID_NAMES`` and not of the columns."""
     lowered = [c.strip().lower() for c in columns]

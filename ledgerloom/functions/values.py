@@ -12,14 +12,31 @@ def match_key(name: Column) -> Column:
 
 
 def padded_key(key: Column, width: int = 8) -> Column:
-    """Registration number as text, with the leading zeros a numeric reading loses; blank is null."""
+    """Registration number as text, with the leading zeros a numeric reading loses; blank is null.
+
+    A column of fractions is refused: 655522.0 is no registration number.
+    """
     text = F.nullif(F.trim(key.cast("string")), F.lit(""))
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    padded = F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    kind = F.typeof(key)
+    refused = F.raise_error(F.concat(F.lit("a registration number cannot be of type "), kind)).cast("string")
+    return F.when(kind.rlike(r"^(float|double|decimal\(\d+,[1-9])"), refused).otherwise(padded)
+
+
+# Fixed form: groups of three after points, or none, and decimals after a comma.
+_COMMA_DECIMAL = r"^-?(\d{1,3}(\.\d{3})+|\d+)(,\d+)?$"
+_NO_DECIMAL = " (no decimal with a comma)"
 
 
 def plain_number(text: Column) -> Column:
-    """``1.234,56`` as ``1234.56``; other texts come out as text that is no number either."""
-    return F.replace(F.replace(F.trim(text), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    """``1.234,56`` as ``1234.56``; any other text comes out with a remark, so that no cast takes it.
+
+    A point is only taken between groups of three digits: ``1.5`` is no number here, and ``1.234``
+    is one thousand two hundred and thirty-four.
+    """
+    trimmed = F.trim(text)
+    plain = F.replace(F.replace(trimmed, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.when(trimmed.rlike(_COMMA_DECIMAL), plain).otherwise(F.concat(text, F.lit(_NO_DECIMAL)))
 
 
 def decimal_comma(text: Column, precision: int = 10, scale: int = 2) -> Column:

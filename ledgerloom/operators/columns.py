@@ -6,11 +6,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ledgerloom.functions.names import clean_names
 
 REJECTS = "_rejects"
 PROCESSED = "data_processamento"
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_FRACTIONAL = (FloatType, DoubleType, DecimalType)
 
 
 def load_time(at: datetime | None = None) -> Column:
@@ -42,10 +45,12 @@ def conform(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | N
 
     A value that does not fit its type becomes null, one that is too long stays, and either is
     listed in ``_rejects`` with its column: keep the rows where that array is empty and divert the
-    rest. Declared columns that ``df`` lacks are null; further ones are left out, but for ``id``.
+    rest. Declared columns that ``df`` lacks are null; further ones are left out, but for ``id``, see
+    ``left_out``. A fraction does not fit a whole number.
     """
     renames = renames or {}
     source = {renames.get(name, name): F.col(f"`{name}`") for name in df.columns}
+    types = {renames.get(field.name, field.name): field.dataType for field in df.schema.fields}
     columns, faults = [], []
     for name, kind in declared.items():
         if name not in source:
@@ -58,6 +63,9 @@ def conform(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | N
             fault = F.length(value) > limit
         else:
             value = raw.try_cast(kind)
+            if kind in _WHOLE and isinstance(types[name], _FRACTIONAL):
+                # A cast would cut the fraction off; a decimal of fewer places is rounded.
+                value = F.when(raw == F.floor(raw), value)
             fault = raw.isNotNull() & value.isNull()
         columns.append(value.alias(name))
         as_read = F.struct(F.lit(name).alias("column"), raw.cast("string").alias("value"))
@@ -66,6 +74,12 @@ def conform(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | N
     return df.select(*kept, *columns, F.array_compact(F.array(*faults)).alias(REJECTS))
 
 
+def left_out(df: DataFrame, declared: dict[str, str], renames: dict[str, str] | None = None) -> list[str]:
+    """Columns of ``df`` that ``conform`` leaves out."""
+    named = [(renames or {}).get(name, name) for name in df.columns]
+    return [name for name in named if name not in declared and name != "id"]
+
+
 def accepted(conformed: DataFrame) -> DataFrame:
     return conformed.where(F.size(REJECTS) == 0).drop(REJECTS)
 

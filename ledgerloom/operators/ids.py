@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.names import id_position
+from ledgerloom.functions.names import clean_name, id_position, unused
 from ledgerloom.session import stage
 
-# Above this many files their offsets are joined by shuffle and not broadcast (about 30 MB).
-BROADCAST_FILES = 100_000
-
-
 def rename_id(df: DataFrame) -> DataFrame | None:
     """``df`` with its id column named ``id``, or None if no column is named like an id."""
     at = id_position(df.columns)
     if at is None:
         return None
-    names = list(df.columns)
+    # Another column that would be cleaned to the same name gives way.
+    names = [unused("id_2", df.columns) if clean_name(name) == "id" else name for name in df.columns]
     names[at] = "id"
     return df.toDF(*names)
 
@@ -36,12 +33,18 @@ def number_scan(scan: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
     task = F.regexp_extract(file_name, r"^part-(\d+)", 1).try_cast("int")
     # One row per file in this window: a list the driver holds anyway to plan the scan.
     earlier = Window.orderBy(task.asc_nulls_first(), "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    if len(scan.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    located = scan.select("*", path.alias("_file"), row.alias("_row"))
-    numbered = F.col("_offset") + F.col("_row") + F.lit(start)
-    return located.join(offsets, "_file").select(numbered.cast("bigint").alias(name), *scan.columns)
+    key, offset, at = (unused(n, scan.columns) for n in ("_file_key", "_offset", "_row"))
+    # A file is 16 bytes in the broadcast, some 13 MB for 100 TB in files of 128 MB. Two paths of one
+    # hash would end the job and not give wrong ids.
+    same = Window.partitionBy(F.xxhash64("_file"))
+    clash = F.raise_error(F.lit("two files have the same hash")).cast("bigint")
+    offsets = counts.select(
+        F.when(F.count(F.lit(1)).over(same) > 1, clash).otherwise(F.xxhash64("_file")).alias(key),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(offset),
+    )
+    located = scan.select("*", F.xxhash64(path).alias(key), row.alias(at))
+    numbered = F.col(offset) + F.col(at) + F.lit(start)
+    return located.join(F.broadcast(offsets), key).select(numbered.cast("bigint").alias(name), *scan.columns)
 
 
 def with_dense_id(df: DataFrame, start: int = 1, name: str = "id") -> DataFrame:

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloom.functions.names import unused
+from ledgerloom.session import stage
 
 # Rows one key may have on the right before they are split over several tasks.
 HOT_ROWS = 1_000_000
-# Equal right rows that are joined as one.
-COPIES_PER_TASK = 100_000
+# Hot keys and parts of them up to which their lists are broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 200_000
+
+
+def _kind(data_type: T.DataType) -> str:
+    if isinstance(data_type, (T.StringType, T.VarcharType, T.CharType)):
+        return "text"
+    return "whole number" if isinstance(data_type, T.IntegralType) else data_type.simpleString()
 
 
 def left_join(
@@ -16,14 +26,17 @@ def left_join(
 ) -> DataFrame:
     """``left`` with every matching row of ``right``; null keys match nothing.
 
-    The names of the two sides must differ; the right key is not in the result. Which join is
-    used is left to Spark: it broadcasts by measured size and splits hot keys of the left side
-    at run time. A left outer join cannot be split on its right side, so that one is counted
-    first, and its hot keys, if there are any, are salted.
+    The names of the two sides must differ, the keys be of one kind; the right key is not in the
+    result. Which join is used is left to Spark: it broadcasts by measured size and splits hot keys
+    of the left side at run time. A left outer join cannot be split on its right side, so that one is
+    counted first, and its hot keys, if there are any, are salted; the rows are the same either way.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
+    kinds = [_kind(df.schema[key].dataType) for df, key in ((left, left_key), (right, right_key))]
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"{left_key} is {kinds[0]} and {right_key} is {kinds[1]}")
     keyed = right.where(F.col(right_key).isNotNull())
     hot = keyed.groupBy(right_key).count().where(F.col("count") > hot_rows)
     if not hot.isEmpty():
@@ -31,39 +44,36 @@ def left_join(
     return left.join(keyed, F.col(left_key) == F.col(right_key), "left").drop(right_key)
 
 
+def _small(listed: DataFrame) -> DataFrame:
+    """A staged list of hot keys, to be broadcast if it is not too long."""
+    return F.broadcast(listed) if listed.count() <= BROADCAST_KEYS else listed
+
+
 def _salted_left_join(left, right, left_key, right_key, hot_rows):
-    # Equal rows become one row with a count, which the map side of the grouping does, and a
-    # count too large for one task becomes several rows. So no two rows are equal any more and a
-    # hash of their content spreads any key evenly.
-    copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    last = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK)
-    rest = F.col("_copies") - F.col("_chunk") * COPIES_PER_TASK
-    rows = copies.withColumn("_chunk", F.explode(F.sequence(F.lit(0), last))).withColumn(
-        "_copies", F.least(rest, F.lit(COPIES_PER_TASK))
-    )
-    # At most (rows of right / hot_rows) keys are hot and have twice as many parts in all, so
-    # both lists fit a broadcast.
-    hot = (
-        right.groupBy(F.col(right_key).alias("_hot_key"))
+    # A row's part follows from where it lies in the staged files. That spreads equal rows too, asks
+    # nothing of the types of the columns and is the same when a task is run again.
+    taken = [*left.columns, *right.columns]
+    hot_key, parts, part, to_part, sent_key = (unused(n, taken) for n in ("_hot_key", "_parts", "_part", "_to_part", "_sent_key"))
+    staged = stage(right, "right")
+    hot = stage(
+        staged.groupBy(F.col(right_key).alias(hot_key))
         .count()
         .where(F.col("count") > hot_rows)
-        .select("_hot_key", F.ceil(F.col("count") / hot_rows).alias("_parts"))
+        .select(hot_key, F.ceil(F.col("count") / hot_rows).alias(parts)),
+        "hot",
     )
-    content = F.xxhash64(*right.columns, "_chunk")
-    salted = (
-        rows.join(F.broadcast(hot), F.col(right_key) == F.col("_hot_key"), "left")
-        .withColumn("_part", F.coalesce(F.pmod(content, F.col("_parts")), F.lit(0)))
-        .drop("_hot_key", "_chunk")
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    located = staged.select("*", place.alias(part))
+    salted = located.join(_small(hot), F.col(right_key) == F.col(hot_key), "left").withColumn(
+        part, F.coalesce(F.pmod(part, parts), F.lit(0))
     )
     # A left row goes to the parts that exist for its key, so it finds a match in each of them
     # and never shows up as unmatched beside its matches.
-    parts = (
-        salted.where(F.col("_parts").isNotNull())
-        .select(F.col(right_key).alias("_hot_key"), F.col("_part").alias("_to_part"))
-        .distinct()
+    existing = stage(
+        salted.where(F.col(parts).isNotNull()).select(F.col(hot_key).alias(sent_key), F.col(part).alias(to_part)).distinct(),
+        "parts",
     )
-    sent = left.join(F.broadcast(parts), F.col(left_key) == F.col("_hot_key"), "left").drop("_hot_key")
-    same_part = F.coalesce(F.col("_to_part"), F.lit(0)) == F.col("_part")
-    joined = sent.join(salted, (F.col(left_key) == F.col(right_key)) & same_part, "left")
-    again = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)))).alias("_copy")
-    return joined.select("*", again).drop(right_key, "_to_part", "_part", "_parts", "_copies", "_copy")
+    sent = left.join(_small(existing), F.col(left_key) == F.col(sent_key), "left").drop(sent_key)
+    same_part = F.coalesce(F.col(to_part), F.lit(0)) == F.col(part)
+    joined = sent.join(salted.drop(hot_key, parts), (F.col(left_key) == F.col(right_key)) & same_part, "left")
+    return joined.drop(right_key, to_part, part)

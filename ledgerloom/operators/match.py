@@ -12,12 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.names import unused
 from ledgerloom.functions.values import match_key
 from ledgerloom.operators.joins import HOT_ROWS, left_join
 from ledgerloom.session import stage
 
 # Lengths of the beginnings that are looked up; a needle uses the longest that it has.
 SEED_SIZES = (1, 2, 4, 8, 16)
+# Characters of a name that one piece of it starts from, in the first and in the second cut.
+PIECES = (16_384, 128)
 # Estimated bytes up to which the searched names are broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES = 64
@@ -30,12 +33,24 @@ def _seed_size(length: Column) -> Column:
     return size
 
 
+def _cut(texts: DataFrame, size: int, overlap: int) -> DataFrame:
+    """Pieces of ``texts`` (key, text, starts): all starts of a piece lie in its first ``size`` characters."""
+    at = F.explode(F.sequence(F.lit(1), F.col("starts"), F.lit(size))).alias("at")
+    return texts.where("starts > 0").select("key", "text", "starts", at).select(
+        "key",
+        F.col("text").substr(F.col("at"), F.lit(size + overlap)).alias("text"),
+        F.least(F.lit(size), F.col("starts") - F.col("at") + 1).alias("starts"),
+    )
+
+
 def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Distinct pairs (name, needle) where the name contains the needle as a plain substring.
 
     ``names`` has a column ``name`` and ``needles`` a column ``needle``, both distinct and not
     null. An empty needle is contained in every name. A name of n characters has at most
-    n (n + 1) / 2 + 1 needles, whatever their number.
+    n (n + 1) / 2 + 1 needles, whatever their number. Names are cut into short pieces that overlap
+    by the longest needle and go on under a key of 128 bits, so long names spread over tasks and no
+    position carries its name along.
     """
     # Staged, since it is read three times.
     needles = stage(needles, "needles")
@@ -44,6 +59,7 @@ def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int
     facts = needles.agg(
         F.coalesce(F.sum(F.octet_length("needle") + _ROW_BYTES), F.lit(0)).alias("size"),
         F.coalesce(F.bool_or(blank), F.lit(False)).alias("has_blank"),
+        F.coalesce(F.max(length), F.lit(0)).alias("longest"),
         F.collect_set(F.when(~blank, _seed_size(length))).alias("seed_sizes"),
     ).first()
     small = facts["size"] <= broadcast_bytes
@@ -51,24 +67,27 @@ def containing_pairs(names: DataFrame, needles: DataFrame, broadcast_bytes: int
     seeds = solid.select(F.col("needle").substr(F.lit(1), _seed_size(length)).alias("seed"), length.alias("span")).distinct()
     if small:
         solid, seeds = F.broadcast(solid), F.broadcast(seeds)
-    at = F.col("at")
-    # Few bytes of names give many lookups; by their bytes they would end up in too few tasks.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = names.repartition(tasks, "name")
-    starts = names.where(F.col("name") != "").select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at"))
-    # Texts of different sizes differ, so one join on the text serves all seed sizes.
-    looked_up = [F.col("name").substr(at, F.lit(size)) for size in sorted(facts["seed_sizes"])]
     pairs = names.select("name", F.lit("").alias("needle")).where(F.lit(False))
-    if looked_up:
-        spots = starts.select("name", "at", F.explode(F.array_distinct(F.array(*looked_up))).alias("seed"))
-        pairs = (
+    if facts["seed_sizes"]:
+        keyed = stage(names.select("name", F.unhex(F.md5("name")).alias("key")), "names")
+        overlap = facts["longest"] - 1
+        whole = keyed.select("key", F.col("name").alias("text"), F.length("name").alias("starts"))
+        # Twice, so that neither step copies a long name for every small piece.
+        pieces = _cut(_cut(whole, PIECES[0], overlap), PIECES[1], overlap).repartition("key", "text")
+        at = F.col("at")
+        starts = pieces.select("key", "text", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at"))
+        # Texts of different sizes differ, so one join on the text serves all seed sizes.
+        looked_up = [F.col("text").substr(at, F.lit(size)) for size in sorted(facts["seed_sizes"])]
+        spots = starts.select("key", "text", "at", F.explode(F.array_distinct(F.array(*looked_up))).alias("seed"))
+        found = (
             spots.join(seeds, "seed")
-            .where(at + F.col("span") - 1 <= F.length("name"))
-            .select("name", F.col("name").substr(at, F.col("span")).alias("needle"))
+            .where(at + F.col("span") - 1 <= F.length("text"))
+            .select("key", F.col("text").substr(at, F.col("span")).alias("needle"))
             .join(solid, "needle", "left_semi")
-            .select("name", "needle")
+            .select("key", "needle")
             .distinct()
         )
+        pairs = found.join(keyed, "key").select("name", "needle")
     if facts["has_blank"]:
         pairs = pairs.unionByName(names.select("name", F.lit("").alias("needle")))
     return pairs
@@ -78,6 +97,17 @@ def _distinct_keys(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.select(match_key(F.col(column)).alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
+def _left_key(df: DataFrame, column: str) -> Column:
+    """The name to match. Rows without one, which match nothing, get keys of their own that no name
+    has, so that they do not meet in one task."""
+    nothing = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if _hashable(df, c)]), F.lit(10_007)))
+    return F.coalesce(match_key(F.col(column)), nothing)
+
+
+def _hashable(df: DataFrame, column: str) -> bool:
+    return "map<" not in df.schema[column].dataType.simpleString()
+
+
 def substring_join(
     left: DataFrame,
     right: DataFrame,
@@ -93,17 +123,22 @@ def substring_join(
     accents. A blank right name matches every left name; null matches nothing. All matches are
     kept. Matching runs on the distinct names: if ``left`` is more than a scan, pass as ``names``
     a scan or staged table that has the same left names, so that they are not worked out twice.
+    The matches are joined with the right rows first, so the left rows move once.
     """
     names = left if names is None else names
+    taken = [*left.columns, *right.columns]
+    name, needle, right_needle = (unused(n, taken) for n in ("_name", "_needle", "_right_needle"))
     pairs = containing_pairs(
         _distinct_keys(names, left_name, "name"), _distinct_keys(right, right_name, "needle"), broadcast_bytes
     )
+    matched_name = unused("_matched", taken)
+    pairs = pairs.withColumnsRenamed({"name": matched_name, "needle": needle})
+    keyed = right.withColumn(right_needle, match_key(F.col(right_name)))
     # Written once: its size on disk then tells Spark whether to broadcast it, and a lost
     # executor does not start the matching anew.
-    pairs = stage(pairs.withColumnsRenamed({"name": "_name", "needle": "_needle"}), "pairs")
-    found = left.withColumn("_name", match_key(F.col(left_name))).join(pairs, "_name", "left")
-    keyed = right.withColumn("_right_needle", match_key(F.col(right_name)))
-    return left_join(found, keyed, "_needle", "_right_needle", hot_rows).drop("_name", "_needle")
+    matches = stage(pairs.join(keyed, F.col(needle) == F.col(right_needle)).drop(needle, right_needle), "matches")
+    sought = left.withColumn(name, _left_key(left, left_name))
+    return left_join(sought, matches, name, matched_name, hot_rows).drop(name)
 
 
 def longest_substring_join(
@@ -120,18 +155,20 @@ def longest_substring_join(
     name as written and then by the other columns. Both choices are aggregates over names and
     over right rows, so matches are never multiplied out and then thrown away.
     """
+    names = left if names is None else names
+    taken = [*left.columns, *right.columns]
+    name, needle, matched, row = (unused(n, taken) for n in ("_name", "_needle", "_matched", "_row"))
     pairs = containing_pairs(
-        _distinct_keys(left, left_name, "name"), _distinct_keys(right, right_name, "needle"), broadcast_bytes
+        _distinct_keys(names, left_name, "name"), _distinct_keys(right, right_name, "needle"), broadcast_bytes
     )
     order = F.struct((-F.length("needle")).alias("shorter"), F.col("needle"))
-    longest = pairs.groupBy(F.col("name").alias("_name")).agg(F.min(order)["needle"].alias("_needle"))
-    longest = stage(longest, "longest")
+    longest = pairs.groupBy(F.col("name").alias(matched)).agg(F.min(order)["needle"].alias(needle))
     others = [c for c in right.columns if c != right_name]
-    row = F.struct(right_name, *others)
     first_row = (
-        right.groupBy(match_key(F.col(right_name)).alias("_needle"))
-        .agg(F.min(row).alias("_row"))
-        .select("_needle", "_row.*")
+        right.groupBy(match_key(F.col(right_name)).alias(needle))
+        .agg(F.min(F.struct(right_name, *others)).alias(row))
+        .select(needle, f"{row}.*")
     )
-    keyed = left.withColumn("_name", match_key(F.col(left_name)))
-    return keyed.join(longest, "_name", "left").join(first_row, "_needle", "left").drop("_name", "_needle")
+    matches = stage(longest.join(first_row, needle).drop(needle), "longest")
+    sought = left.withColumn(name, _left_key(left, left_name))
+    return sought.join(matches, F.col(name) == F.col(matched), "left").drop(name, matched)

@@ -10,7 +10,7 @@ from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import longest_substring_join, substring_join
 from ledgerloom.plans.load import LoadSummary, load_frame
 from ledgerloom.schemas import RENAMES, UNIQUE_KEYS
-from ledgerloom.session import stage
+from ledgerloom.session import scratch, stage
 from ledgerloom.sources.tables import read_tables
 
 # The input tables, the result table and the review columns of the result.
@@ -54,17 +54,27 @@ def consolidate(complaints: DataFrame, banks: DataFrame, employees: DataFrame, b
 
 
 def consolidate_tables(
-    spark: SparkSession, schema: str, best: bool = False, mode: str = "overwrite", **options
+    spark: SparkSession,
+    schema: str,
+    best: bool = False,
+    mode: str = "overwrite",
+    database: dict[str, str] | None = None,
+    split_by: str = "id",
+    **options,
 ) -> LoadSummary:
     """Consolidate the three tables of ``schema`` into its result table; all three must be there.
 
-    Tables loaded as declared are taken under their declared names.
+    Tables loaded as declared are taken under their declared names. Those of a ``database`` are read
+    over several connections, see ``read_tables``. A result table made by this call is partitioned
+    by year. Nothing that is staged meanwhile outlives the call.
     """
-    tables = read_tables(spark, [f"{schema}.{name}" for name in INPUTS])
+    options.setdefault("partition_by", ("ano",))
+    tables = read_tables(spark, [f"{schema}.{name}" for name in INPUTS], database, split_by)
     inputs = [
         table.withColumnsRenamed({declared: raw for raw, declared in RENAMES[name].items()})
         for name, table in zip(INPUTS, tables)
     ]
     if best:
         options["unique"] = [keys for keys in UNIQUE_KEYS[RESULT] if keys != ["id"]]
-    return load_frame(consolidate(*inputs, best=best), f"{schema}.{RESULT}", mode=mode, **options)
+    with scratch(spark):
+        return load_frame(consolidate(*inputs, best=best), f"{schema}.{RESULT}", mode=mode, **options)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import padded_key, plain_number
-from ledgerloom.operators.checks import KeyViolation, assert_unique, checksum, row_count, verify
+from ledgerloom.operators.checks import KeyViolation, LoadMismatch, assert_unique, checksum, row_count, verify
 from ledgerloom.operators.columns import (
     PROCESSED,
     REJECTS,
@@ -21,6 +21,7 @@ from ledgerloom.operators.columns import (
     clean_columns,
     conform,
     drop_null_ids,
+    left_out,
     load_time,
     rejected,
     with_audit,
@@ -29,7 +30,7 @@ from ledgerloom.operators.columns import (
 from ledgerloom.operators.ids import next_id, number_scan, rename_id
 from ledgerloom.schemas import RENAMES, TABLES
 from ledgerloom.session import discard, fresh_path, stage
-from ledgerloom.sinks.tables import aligned, ensure_schema, ensure_table, write_table
+from ledgerloom.sinks.tables import aligned, ensure_schema, ensure_table, is_database, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder
 
 
@@ -39,6 +40,8 @@ class RejectedRows(ValueError):
 
 @dataclass(frozen=True)
 class LoadSummary:
+    """What a load did. Texts of several values are joined by commas; ``sample`` is a JSON array."""
+
     source: str
     target: str
     mode: str
@@ -48,9 +51,18 @@ class LoadSummary:
     rows_written: int
     min_id: int | None
     max_id: int | None
+    columns_in: int = 0
+    columns_left_out: str = ""
+    rows_held_before: int = 0
+    target_columns: str = ""
+    sample: str = "[]"
+    #: Whether the rows were there from an earlier, interrupted run of the same load.
+    resumed: bool = False
+    #: Keys are checked by the load; the target itself does not enforce them.
+    key: str = "checked, not enforced"
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        kinds = {"int": "bigint", "str": "string"}
+        kinds = {"int": "bigint", "str": "string", "bool": "boolean"}
         schema = ", ".join(f"{f.name} {kinds[f.type.split(' ')[0]]}" for f in fields(self))
         return spark.createDataFrame([tuple(asdict(self).values())], schema)
 
@@ -105,6 +117,16 @@ def _assert_new_keys(rows: DataFrame, keys: list[str], held: DataFrame | None) -
             raise KeyViolation(f"{', '.join(keys)} already in the target, for example {taken}")
 
 
+def _of_load(table: DataFrame, stamp: str, at: datetime) -> DataFrame:
+    """The rows of one load. Row groups of other loads are passed over by their statistics."""
+    return table.where(F.col(stamp) == F.lit(at))
+
+
+def _found(rows: DataFrame, columns: list[str]) -> dict:
+    counts = [row_count().alias("rows"), checksum(columns).alias("content")]
+    return rows.agg(*counts, F.min("id").alias("min_id"), F.max("id").alias("max_id")).first().asDict()
+
+
 def load_frame(
     df: DataFrame,
     target: str,
@@ -118,6 +140,7 @@ def load_frame(
     unique: list[list[str]] | None = None,
     declared: str | None = None,
     rejects: str | None = None,
+    partition_by: tuple[str, ...] = (),
 ) -> LoadSummary:
     """Load rows into a target table; see the module text for the steps.
 
@@ -126,10 +149,15 @@ def load_frame(
     has; given ids must be new and unique, and so must the keys named in ``unique``, or nothing is
     written. ``declared`` and the columns are those of ``transform``; rows that do not fit the
     declared table are appended to the table ``rejects``, or end the load if none is named.
-    ``location`` is the folder for a schema made by this call.
-    The summary is also appended to ``log_table``, if named.
+    ``location`` is the folder for a schema made by this call, ``partition_by`` the partitions of a
+    table made by it. The summary is also appended to ``log_table``, if named.
+
+    ``at``, the time of the load, is in every row and is the key of the load. A load that was cut
+    short is run again with the same ``at``: rows it has written already are verified and not
+    written again, and so are its rejects, which come last.
     """
     spark = df.sparkSession
+    again = at is not None
     at = at or datetime.now().astimezone()
     shaped, has_id = transform(df, at, key_columns, comma_columns, declared)
     landing, fitting = fresh_path(spark, "landed"), fresh_path(spark, "fitting")
@@ -144,36 +172,52 @@ def load_frame(
 
     if "." in target:
         ensure_schema(spark, target.rpartition(".")[0], location)
-    existed = ensure_table(landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*"), target)
+    with_key = landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*")
+    existed = ensure_table(with_key, target, partition_by)
+    # Rows may bring their own time of processing; then nothing in them tells the load.
+    cleaned = clean_columns(df).columns
+    stamp = "created_at" if declared is None else None if PROCESSED in cleaned else PROCESSED
+    in_database = is_database(spark, target)
+    columns = sorted(spark.table(target).columns)
+    resumed = False
+    if again and existed and stamp and not in_database:
+        resumed = not _of_load(spark.table(target), stamp, at).isEmpty()
     mode = mode or ("append" if existed else "overwrite")
     adds = existed and mode == "append"
-    for keys in [*(unique or []), *([["id"]] if has_id else [])]:
-        _assert_new_keys(landed, keys, spark.table(target) if adds else None)
-    start = next_id(spark.table(target)) if adds and not has_id else 1
-    rows = aligned(landed if has_id else number_scan(landed, start), target)
-    # The content of a database table would have to come back over its connections; its rows are
-    # counted on its own side.
-    in_database = target.count(".") > 1
-    held_before = spark.table(target).count() if adds and in_database else 0
-    if misfits is not None:
-        ensure_table(misfits, rejects)
-        write_table(misfits, rejects, "append")
-
-    columns = sorted(rows.columns)
-    written = Observation("written")
-    counts = [row_count().alias("rows"), checksum(columns).alias("content")]
-    bounds = [F.min("id").alias("min_id"), F.max("id").alias("max_id")]
-    write_table(rows.observe(written, *counts, *bounds), target, mode)
-    facts = written.get
-    held = spark.table(target)
-    if in_database:
-        verify(held, held_before + facts["rows"], None, columns)
+    held_before = spark.table(target).count() if adds else 0
+    if resumed:
+        facts = _resumed(landed, _of_load(spark.table(target), stamp, at), target, has_id)
+        held_before -= facts["rows"] if adds else 0
     else:
-        if adds and has_id:
-            held = held.join(rows.select("id"), "id", "left_semi")
-        elif adds:
-            held = held.where(F.col("id") >= start)
-        verify(held, facts["rows"], facts["content"], columns)
+        for keys in [*(unique or []), *([["id"]] if has_id else [])]:
+            _assert_new_keys(landed, keys, spark.table(target) if adds else None)
+        start = next_id(spark.table(target)) if adds and not has_id else 1
+        rows = aligned(landed if has_id else number_scan(landed, start), target)
+        written = Observation("written")
+        counts = [row_count().alias("rows"), checksum(columns).alias("content")]
+        bounds = [F.min("id").alias("min_id"), F.max("id").alias("max_id")]
+        write_table(rows.observe(written, *counts, *bounds), target, mode)
+        facts = written.get
+        held = spark.table(target)
+        if in_database:
+            # The content of a database table would have to come back over its connections; its rows
+            # are counted on its own side.
+            verify(held, held_before + facts["rows"], None, columns)
+        else:
+            if adds and stamp:
+                held = _of_load(held, stamp, at)
+            elif adds and has_id:
+                held = held.join(rows.select("id"), "id", "left_semi")
+            elif adds:
+                held = held.where(F.col("id") >= start)
+            verify(held, facts["rows"], facts["content"], columns)
+    if misfits is not None:
+        known = ensure_table(misfits, rejects)
+        done = again and known and stamp and not _of_load(spark.table(rejects), stamp, at).isEmpty()
+        if not done:
+            write_table(misfits, rejects, "append")
+    own = _of_load(spark.table(target), stamp, at) if stamp and not in_database else spark.table(target)
+    sample = [row[0] for row in own.limit(5).select(F.to_json(F.struct("*"))).collect()]
     # After a failure the landing stays for a look at it.
     for path in (landing, fitting):
         discard(spark, path)
@@ -188,6 +232,12 @@ def load_frame(
         rows_written=facts["rows"],
         min_id=facts["min_id"],
         max_id=facts["max_id"],
+        columns_in=len(df.columns),
+        columns_left_out=",".join(left_out(clean_columns(df), TABLES[declared], RENAMES[declared]) if declared else []),
+        rows_held_before=held_before,
+        target_columns=",".join(spark.table(target).columns),
+        sample=f"[{','.join(sample)}]",
+        resumed=resumed,
     )
     if log_table:
         log = summary.frame(spark)
@@ -196,6 +246,16 @@ def load_frame(
     return summary
 
 
+def _resumed(landed: DataFrame, held: DataFrame, target: str, has_id: bool) -> dict:
+    """Facts on the rows that an earlier run of the load has written, which must be those that it would write now."""
+    columns = sorted(c for c in held.columns if has_id or c != "id")
+    given = landed if has_id else landed.select(F.lit(1).cast("bigint").alias("id"), "*")
+    wanted, found = _found(aligned(given, target), columns), _found(held, columns)
+    if [wanted[k] for k in ("rows", "content")] != [found[k] for k in ("rows", "content")]:
+        raise LoadMismatch(f"the load's time is taken by other rows: {found}, not {wanted}")
+    return found
+
+
 def load_files(
     spark: SparkSession,
     path: str,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +47,26 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Folders staged within ``scratch``.
+_kept: ContextVar[list[str] | None] = ContextVar("kept", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Discards on leaving, also by an error, what ``stage`` put into folders of its own meanwhile.
+
+    For work whose result is written by then: frames that read such folders end with them.
+    """
+    paths: list[str] = []
+    token = _kept.set(paths)
+    try:
+        yield
+    finally:
+        _kept.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the files.
 
@@ -51,7 +74,10 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     branches of a plan each read only the columns they need. Who names a ``fresh_path`` may
     ``discard`` it when nothing reads it any more.
     """
-    path = path or fresh_path(df.sparkSession, label)
+    if path is None:
+        path = fresh_path(df.sparkSession, label)
+        if (kept := _kept.get()) is not None:
+            kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -20,16 +20,28 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}{at}")
 
 
-def ensure_table(df: DataFrame, table: str) -> bool:
+def is_database(spark: SparkSession, table: str) -> bool:
+    """Whether the table belongs to a relational database, as the catalog of its name says."""
+    parts = table.split(".")
+    made_by = spark.conf.get(f"spark.sql.catalog.{parts[0]}", "") if len(parts) > 2 else ""
+    return made_by.endswith("JDBCTableCatalog")
+
+
+def ensure_table(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> bool:
     """Create the table from the columns of ``df``, ``id`` first, if missing.
 
+    A new table outside databases is partitioned by ``partition_by``, whose columns come last.
+
     Returns whether it was there before. If that cannot be told the error is raised: nothing is
     ever replaced because a check failed. Keys are checked before the write, see ``checks``.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return True
-    using = "" if table.count(".") > 1 else " USING parquet"
+    own_catalog = table.count(".") > 1 and table.split(".")[0] != "spark_catalog"
+    using = "" if own_catalog else " USING parquet"
+    if partition_by and not is_database(spark, table):
+        using += f" PARTITIONED BY ({', '.join(f'`{name}`' for name in partition_by)})"
     fields = sorted(df.schema.fields, key=lambda f: f.name.lower() != "id")
     columns = ", ".join(f"`{f.name.lower()}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(f"CREATE TABLE {table} ({columns}){using}")

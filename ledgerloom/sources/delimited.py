@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +22,13 @@ def separator_for(path: str) -> str:
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:
-    """Separator of one file, told by its first line."""
-    first = spark.read.text(path).limit(1).select(separator_of_header(F.col("value")))
-    row = first.first()
+    """Separator of one file, told by its first line that is not blank, as the reader takes it."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    row = lines.limit(1).select(separator_of_header(F.col("value"))).first()
     return row[0] if row else ","
 
 
-def _reader(spark: SparkSession, sep: str, multi_line: bool):
+def _reader(spark: SparkSession, sep: str, multi_line: bool, recursive: bool = False):
     # UTF-8, header row, quote and escape both the double quote.
     return (
         spark.read.option("header", True)
@@ -38,12 +37,13 @@ def _reader(spark: SparkSession, sep: str, multi_line: bool):
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("recursiveFileLookup", recursive)
     )
 
 
-def header_of(spark: SparkSession, path: str, sep: str, multi_line: bool = False) -> list[str]:
+def header_of(spark: SparkSession, path: str, sep: str, multi_line: bool = False, recursive: bool = False) -> list[str]:
     """Column names of one file; reads its first line only."""
-    return _reader(spark, sep, multi_line).csv(path).columns
+    return _reader(spark, sep, multi_line, recursive).csv(path).columns
 
 
 def declared_schema(columns: list[str], types: dict[str, str]) -> str:
@@ -75,14 +75,15 @@ def read_delimited(
     types: dict[str, str] | None = None,
     multi_line: bool = False,
     lineage: bool = False,
+    recursive: bool = False,
 ) -> DataFrame:
     """Scan delimited files that share one header.
 
     ``types`` maps cleaned column names to Spark types and spares the inference pass over the
     data; columns it leaves out are text. A value that does not fit its type fails the read: to
     divert such rows, read the column as text and use ``conform``. Without ``types`` all types are
-    inferred. ``multi_line``
-    allows line breaks inside quotes and makes each file one task, so it is off by default.
+    inferred in a pass of its own. A header that differs fails in either case. ``multi_line`` allows line breaks inside quotes and makes each file one task, so it is off by default.
+    ``recursive`` takes in the files of subfolders, which then are no partitions.
     ``sep`` is a separator, None (told by the path) or "sniff" (told by the first line).
     """
     paths = [path] if isinstance(path, str) else path
@@ -90,13 +91,15 @@ def read_delimited(
         sep = sniff_separator(spark, paths[0])
     elif sep is None:
         sep = separator_for(paths[0])
-    reader = _reader(spark, sep, multi_line)
+    reader = _reader(spark, sep, multi_line, recursive)
     if types is None:
-        df = reader.option("inferSchema", True).csv(paths)
+        schema = reader.option("inferSchema", True).csv(paths).schema
+        reader = _reader(spark, sep, multi_line, recursive)
     else:
-        schema = declared_schema(header_of(spark, paths[0], sep, multi_line), types)
-        # A file whose header differs must fail and not be read by position.
-        df = reader.option("enforceSchema", False).option("mode", "FAILFAST").schema(schema).csv(paths)
+        schema = declared_schema(header_of(spark, paths[0], sep, multi_line, recursive), types)
+    # A file whose header differs must fail and not be read by position, and so must a row of
+    # another number of fields.
+    df = reader.option("enforceSchema", False).option("mode", "FAILFAST").schema(schema).csv(paths)
     if lineage:
         df = with_lineage(df)
     return df if types is None else parse_decimals(df, types)
@@ -118,6 +121,38 @@ def file_paths(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
+def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line that is not blank of each file that tasks can open, by one job."""
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def first(path: str) -> str | None:
+            try:
+                store, place = fs.FileSystem.from_uri(path.replace(" ", "%20"))
+                with store.open_input_file(place) as file:
+                    held = b""
+                    while more := file.read(64 * 1024):
+                        held += more
+                        lines = held.split(b"\n")
+                        line = next((x for x in lines[:-1] if x.strip(b" \r")), None)
+                        if line is not None:
+                            return line.decode("utf-8").rstrip("\r")
+                    return next((x.decode("utf-8").rstrip("\r") for x in held.split(b"\n") if x.strip(b" \r")), "")
+            except (OSError, ValueError, pa.ArrowException):
+                return None
+
+        for batch in batches:
+            found = [first(path) for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "line"])
+
+    listed = spark.createDataFrame([(path,) for path in paths], "path string")
+    tasks = min(len(paths), spark.sparkContext.defaultParallelism * 4)
+    rows = listed.repartition(tasks).mapInArrow(read, "path string, line string").collect()
+    return {row["path"]: row["line"] for row in rows if row["line"] is not None}
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,
@@ -130,26 +165,25 @@ def read_folder(
     """Union by column name of all files below ``folder``.
 
     Files are grouped by separator and header, each group is one scan. Columns that a group
-    lacks are null, so a value never lands in a column of another name. Only the first line of a
-    file is read for this, but file by file; a folder of very many files that share one header is
-    better read by ``read_delimited``, which fails if a header differs.
+    lacks are null, so a value never lands in a column of another name. The first lines of all files
+    are read by one job, whose tasks open the files themselves and read no further; the driver has
+    the list of files, which it needs for the scan, and looks at one file for each distinct first
+    line. Files that tasks cannot open are looked at one by one.
     """
     paths = sorted(row.path for row in file_paths(spark, folder, glob).collect())
     if not paths:
         raise FileNotFoundError(f"no file matches {glob} in {folder}")
-
-    def layout(path: str) -> tuple[str, tuple[str, ...]]:
-        if sep == "sniff":
-            found = sniff_separator(spark, path)
-        else:
-            found = sep or separator_for(path)
-        return found, tuple(header_of(spark, path, found, multi_line))
-
-    with ThreadPoolExecutor(max_workers=32) as pool:
-        layouts = list(pool.map(layout, paths))
+    first_lines = _first_lines(spark, paths)
+    layouts: dict[tuple[str, str], tuple[str, tuple[str, ...]]] = {}
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for path, key in zip(paths, layouts):
-        groups.setdefault(key, []).append(path)
+    for path in paths:
+        line = first_lines.get(path)
+        known = (line, separator_for(path))
+        # A header may go on after a line break in quotes, so with ``multi_line`` the line tells little.
+        if line is None or multi_line or known not in layouts:
+            found = sniff_separator(spark, path) if sep == "sniff" else sep or known[1]
+            layouts[known] = found, tuple(header_of(spark, path, found, multi_line))
+        groups.setdefault(layouts[known], []).append(path)
     scans = [
         read_delimited(spark, members, found, types, multi_line, lineage)
         for (found, _), members in groups.items()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,20 @@ class MissingTables(LookupError):
         self.names = names
 
 
-def read_tables(spark: SparkSession, names: list[str]) -> list[DataFrame]:
-    """All the named tables, or an error that lists every missing one. Empty tables count as there."""
+def read_tables(
+    spark: SparkSession,
+    names: list[str],
+    database: dict[str, str] | None = None,
+    split_by: str = "id",
+    splits: int = 64,
+) -> list[DataFrame]:
+    """All the named tables, or an error that lists every missing one. Empty tables count as there.
+
+    Tables of a ``database`` (its ``jdbc_options``) are each read over ``splits`` connections, cut by
+    the numeric column ``split_by``; one that is missing there is an error of the database.
+    """
+    if database is not None:
+        return [read_jdbc(spark, database, name, split_by, splits) for name in names]
     missing = [name for name in names if not spark.catalog.tableExists(name)]
     if missing:
         raise MissingTables(missing)
@@ -49,23 +64,38 @@ def register_jdbc_catalog(spark: SparkSession, name: str, options: dict[str, str
     spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
 
 
+def bounds_query(table: str, column: str) -> str:
+    """What the database is asked for the smallest and largest value: one row comes back."""
+    return f"(select min({column}) as low, max({column}) as high from {table}) bounds"
+
+
+def split_options(column: str, low, high, splits: int) -> dict[str, str]:
+    """Options that cut a relational scan; values beyond the bounds fall into its first and last part."""
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(math.floor(low)),
+        "upperBound": str(math.floor(high) + 1),
+        "numPartitions": str(splits),
+    }
+
+
 def read_jdbc(
     spark: SparkSession, options: dict[str, str], table: str, split_by: str | None = None, splits: int = 64
 ) -> DataFrame:
     """Scan a relational table, over ``splits`` connections if a numeric ``split_by`` is given."""
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    if split_by is None:
-        return reader.load()
-    bounds = reader.load().agg(F.min(split_by), F.max(split_by)).first()
-    if bounds[0] is None:
-        return reader.load()
-    return (
-        reader.option("partitionColumn", split_by)
-        .option("lowerBound", bounds[0])
-        .option("upperBound", int(bounds[1]) + 1)
-        .option("numPartitions", splits)
-        .load()
-    )
+    reader = spark.read.format("jdbc").options(**options)
+    if split_by is not None:
+        low, high = reader.option("dbtable", bounds_query(table, split_by)).load().first()
+        if low is not None:
+            reader = reader.options(**split_options(split_by, low, high, splits))
+    return reader.option("dbtable", table).load()
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as listed paths name it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/")
 
 
 def catalogue_folder(
@@ -75,31 +105,50 @@ def catalogue_folder(
 
     Folders named ``name=value`` are partitions. Parquet brings its columns; delimited files take
     them from the header, typed by ``types[subfolder]`` or inferred; their decimals stay text, since
-    the reader would drop commas from them.
+    the reader would drop commas from them. Other formats are refused before anything is registered.
+    A table of a former call is refreshed and gets the partitions that were added since.
     """
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}")
-    # Listed paths are qualified, so a subfolder is what follows the folder's own name.
-    below = F.substring_index("path", f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    root = _qualified(spark, folder) + "/"
+    # Listed paths differ from qualified ones in the slashes after the scheme only.
+    plain = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    start = len(re.sub("^([a-z0-9]+):/+", r"\1:/", root)) + 1
+    below = F.substring(plain, start, 1 << 20)
     samples = (
         file_paths(spark, folder)
         .where(below.contains("/"))
         .groupBy(F.substring_index(below, "/", 1).alias("subfolder"))
-        .agg(F.min(below).alias("path"))
-    )
+        .agg(F.min(below).alias("path"), F.collect_set(F.lower(F.regexp_extract(below, r"\.([^./]+)$", 1))).alias("endings"))
+    ).orderBy("subfolder").collect()
+    odd = {r["subfolder"]: sorted(r["endings"]) for r in samples if set(r["endings"]) not in ({"parquet"}, {"csv"}, {"tsv"})}
+    if odd:
+        raise ValueError(f"neither Parquet nor delimited files, or of several formats: {odd}")
     tables = []
-    for subfolder, sample in samples.orderBy("subfolder").collect():
-        table, location = f"{schema}.{subfolder}", f"{folder.rstrip('/')}/{subfolder}"
-        if sample.endswith(".parquet"):
-            source, options = "parquet", {}
-            columns = spark.read.parquet(location).dtypes
+    for subfolder, sample, endings in samples:
+        # Catalogs take letters, digits and underscores only.
+        table, location = f"{schema}.{re.sub('[^0-9A-Za-z_]', '_', subfolder)}", f"{folder.rstrip('/')}/{subfolder}"
+        if table in tables:
+            raise ValueError(f"two subfolders are both named {table}")
+        partitions = [step.split("=")[0] for step in sample.split("/")[:-1] if "=" in step]
+        # Subfolders that are no partitions.
+        nested = any("=" not in step for step in sample.split("/")[1:-1])
+        if spark.catalog.tableExists(table):
+            spark.catalog.refreshTable(table)
+            if partitions:
+                spark.catalog.recoverPartitions(table)
         else:
-            source, sep = "csv", separator_for(sample)
-            found = read_delimited(spark, location, sep, (types or {}).get(subfolder)).dtypes
-            columns = [(name, "string" if kind.startswith("decimal") else kind) for name, kind in found]
-            # A file whose header differs must fail and not be read by position.
-            options = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "sep": sep}
-        partitions = [step.split("=")[0] for step in sample.split("/") if "=" in step]
-        _create_table(spark, table, columns, source, options, partitions, location)
+            if endings == ["parquet"]:
+                source, options = "parquet", {}
+                columns = spark.read.option("recursiveFileLookup", nested).parquet(location).dtypes
+            else:
+                source, sep = "csv", separator_for(sample)
+                found = read_delimited(spark, location, sep, (types or {}).get(subfolder), recursive=nested).dtypes
+                columns = [(name, "string" if kind.startswith("decimal") else kind) for name, kind in found]
+                # A file whose header differs must fail and not be read by position.
+                options = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "sep": sep}
+            if nested:
+                options["recursiveFileLookup"] = "true"
+            _create_table(spark, table, columns, source, options, partitions, location)
         tables.append(table)
     return tables
 
@@ -110,7 +159,7 @@ def _create_table(spark, table, columns, source, options, partitions, location):
     spark.sql(
         f"CREATE TABLE {table} ({typed}) USING {source}"
         + (f" OPTIONS ({quoted})" if options else "")
-        + (f" PARTITIONED BY ({', '.join(partitions)})" if partitions else "")
+        + (f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else "")
         + f" LOCATION '{location}'"
     )
     if partitions:

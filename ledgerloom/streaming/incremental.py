@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.columns import drop_null_ids
 from ledgerloom.plans.load import transform
@@ -19,12 +20,13 @@ def load_new_files(
     types: dict[str, str],
     sep: str | None = None,
     at: datetime | None = None,
-) -> None:
+) -> dict[str, int]:
     """Append the new files below ``folder`` to the Parquet folder ``target``, each file once.
 
     The steps are those of a load. As files are handled on their own, they must share the header
     ``columns`` and bring their id column; ids cannot be numbered on. Which files are done is kept
     beside the target, and a call that was cut short is taken up again by the next one.
+    Returns how many rows were read and how many of them dropped for want of an id.
     """
     scan = (
         spark.readStream.schema(declared_schema(columns, types))
@@ -41,11 +43,14 @@ def load_new_files(
     cleaned, has_id = transform(parse_decimals(scan, types), at)
     if not has_id:
         raise ValueError(f"no id column among {columns}")
+    counted = cleaned.observe("seen", F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("id").isNull()).alias("rows_dropped"))
     query = (
-        drop_null_ids(cleaned)
+        drop_null_ids(counted)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{target}/_progress")
         .format("parquet")
         .start(target)
     )
     query.awaitTermination()
+    seen = [progress.observedMetrics["seen"] for progress in query.recentProgress if "seen" in progress.observedMetrics]
+    return {name: sum(metrics[name] or 0 for metrics in seen) for name in ("rows_in", "rows_dropped")}

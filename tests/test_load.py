@@ -1,3 +1,4 @@
+import json
 import os
 import uuid
 from datetime import datetime, timezone
@@ -7,11 +8,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.checks import KeyViolation
+from ledgerloom.operators.checks import KeyViolation, LoadMismatch
 from ledgerloom.plans.consolidate import consolidate, consolidate_tables
 from ledgerloom.plans.load import RejectedRows, load_files, load_frame
 from ledgerloom.session import discard, shared_dir
-from ledgerloom.sinks.tables import ensure_schema, ensure_table, target_ddl, write_table
+from ledgerloom.sinks.tables import ensure_schema, ensure_table, is_database, target_ddl, write_table
 from ledgerloom.sources.tables import MissingTables
 from ledgerloom.streaming.incremental import load_new_files
 
@@ -155,6 +156,68 @@ def test_columns_must_fit_the_table(spark, schema):
         write_table(spark.range(1), f"{schema}.t", "errorifexists")
 
 
+@pytest.mark.parametrize("given", [True, False])
+def test_a_load_that_is_run_again(spark, schema, monkeypatch, given):
+    rows = [(i if given else None, "S1" if i % 3 else "S12345678901", str(i)) for i in range(1, 10)]
+    df = spark.createDataFrame(rows, "id bigint, segmento string, cnpj string")
+    df = df if given else df.drop("id")
+    options = {"declared": "bancos_enquadramento", "rejects": f"{schema}.bad", "at": AT}
+    load_frame(df.limit(0), f"{schema}.t", declared="bancos_enquadramento")
+
+    def cut_short(*args):
+        raise RuntimeError("cut short")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("ledgerloom.plans.load.verify", cut_short)
+        with pytest.raises(RuntimeError, match="cut short"):
+            load_frame(df, f"{schema}.t", **options)
+    assert spark.table(f"{schema}.t").count() == 6 and not spark.catalog.tableExists(f"{schema}.bad")
+    for _ in range(2):
+        summary = load_frame(df, f"{schema}.t", **options)
+        assert (summary.rows_written, summary.rows_rejected, summary.resumed) == (6, 3, True)
+        assert spark.table(f"{schema}.t").count() == 6 and spark.table(f"{schema}.bad").count() == 3
+    with pytest.raises(LoadMismatch):
+        load_frame(df.limit(5), f"{schema}.t", **options)
+
+
+def test_an_append_is_verified_on_its_own_rows(spark, schema, monkeypatch):
+    plans = []
+    monkeypatch.setattr("ledgerloom.plans.load.verify", lambda held, *rest: plans.append(held._jdf.queryExecution().executedPlan().toString()))
+    for at in (AT, AT.replace(year=2025)):
+        load_frame(spark.createDataFrame([(at.year, "x")], "id int, x string"), f"{schema}.t", at=at)
+    assert "Join" not in plans[1] and "EqualTo(created_at" in plans[1]
+
+
+def test_facts_of_a_load(spark, schema):
+    df = spark.createDataFrame([("S1", "1", "um", "z"), ("S2", "2", "dois", "z")], "Segmento string, CNPJ string, Nome string, Outra string")
+    load_frame(df, f"{schema}.t", declared="bancos_enquadramento")
+    summary = load_frame(df, f"{schema}.t", declared="bancos_enquadramento", log_table=f"{schema}.runs")
+    assert (summary.columns_in, summary.columns_left_out, summary.rows_held_before) == (4, "outra", 2)
+    assert summary.target_columns == "id,segmento,cnpj,nome,data_processamento"
+    assert {row["id"] for row in json.loads(summary.sample)} == {3, 4}
+    assert spark.table(f"{schema}.runs").first()["key"] == "checked, not enforced"
+
+
+def test_partitioned_targets_are_pruned(spark, schema):
+    df = spark.createDataFrame([(2020, "a"), (2021, "b"), (None, "c")], "ano int, x string")
+    for _ in range(2):
+        load_frame(df, f"{schema}.t", partition_by=("ano",))
+    held = spark.table(f"{schema}.t")
+    assert held.columns[-1] == "ano" and held.count() == 6 and held.where("ano is null").count() == 2
+    assert "PartitionFilters: [isnotnull(ano" in held.where("ano = 2020")._jdf.queryExecution().executedPlan().toString()
+    load_frame(df.where("ano = 2020"), f"{schema}.t", mode="overwrite")
+    assert spark.table(f"{schema}.t").count() == 1
+
+
+def test_a_database_is_what_its_catalog_says(spark):
+    assert not is_database(spark, "spark_catalog.s.t") and not is_database(spark, "s.t")
+    spark.conf.set("spark.sql.catalog.db_of_test", "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    try:
+        assert is_database(spark, "db_of_test.s.t")
+    finally:
+        spark.conf.unset("spark.sql.catalog.db_of_test")
+
+
 def test_target_ddl(spark):
     df = spark.range(1).select(F.lit("x").alias("Nome"), F.lit(1.5).cast("decimal(10,2)").alias("saldo"))
     assert target_ddl(df, "s.t") == (
@@ -183,7 +246,8 @@ def test_only_new_files_are_loaded(spark, tmp_path):
     folder.mkdir()
     for name, text in {"a": "id,x\n1,a\n", "b": "id,x\n2,b\n,c\n"}.items():
         (folder / f"{name}.csv").write_text(text)
-        load_new_files(spark, str(folder), target, columns=["id", "x"], types={"id": "int"})
+        seen = load_new_files(spark, str(folder), target, columns=["id", "x"], types={"id": "int"})
+        assert seen == {"a": {"rows_in": 1, "rows_dropped": 0}, "b": {"rows_in": 2, "rows_dropped": 1}}[name]
         load_new_files(spark, str(folder), target, columns=["id", "x"], types={"id": "int"})
     assert sorted(map(tuple, spark.read.parquet(target).select("id", "x").collect())) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
@@ -246,6 +310,9 @@ def test_consolidate_tables(spark, schema, bank_tables):
     assert consolidate_tables(spark, schema, best=True).rows_written == 3
     assert consolidate_tables(spark, schema).rows_written == 6
     assert spark.table(f"{schema}.dados_consolidados").count() == 6
+    before = set(os.listdir(shared_dir(spark)))
+    consolidate_tables(spark, schema, best=True)
+    assert set(os.listdir(shared_dir(spark))) == before
 
 
 def test_shared_folder_is_the_named_one(spark):

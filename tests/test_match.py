@@ -112,3 +112,40 @@ def test_one_name_on_a_third_of_the_rows(spark):
     got = {r["nome"]: r["count"] for r in counted}
     assert {k: got.get(k, 0) for k in expected} == expected
     assert got[None] == 6000 - expected["b1"]
+
+
+def test_long_names_in_small_pieces(spark, monkeypatch):
+    monkeypatch.setattr("ledgerloom.operators.match.PIECES", (50, 7))
+    rng = random.Random(3)
+    left = [(i, "".join(rng.choices("AB C", k=rng.randrange(1, 400)))) for i in range(12)]
+    right = [("".join(rng.choices("AB C", k=rng.randrange(1, 12))), i) for i in range(40)]
+    right += [(left[0][1][5:90], 99), (left[1][1], 100)]
+    assert joined(spark, left, right) == brute(left, right)
+
+
+def test_helper_columns_do_not_take_the_callers(spark):
+    left = spark.createDataFrame([("BANCO ALFA", 1), (None, 2)], "_name string, _needle int")
+    right = spark.createDataFrame([("alfa", 2)], "nome string, _matched int")
+    for join in (substring_join, longest_substring_join):
+        got = join(left, right, "_name", "nome")
+        assert got.columns == ["_name", "_needle", "nome", "_matched"]
+        assert sorted(map(tuple, got.collect()), key=str) == [("BANCO ALFA", 1, "alfa", 2), (None, 2, None, None)]
+
+
+def test_names_decide_what_is_matched(spark):
+    left = spark.createDataFrame([("BANCO ALFA", 1)], "name string, k int")
+    right = spark.createDataFrame([("alfa", 2)], RIGHT)
+    for join in (substring_join, longest_substring_join):
+        assert join(left, right, "name", "nome", names=left.limit(0)).first()["nota"] is None
+
+
+def test_left_rows_move_once(spark):
+    left = spark.createDataFrame(CASES, LEFT)
+    right = spark.createDataFrame(NAMES, RIGHT)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for join in (substring_join, longest_substring_join):
+            plan = join(left, right, "name", "nome")._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

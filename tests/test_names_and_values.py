@@ -80,6 +80,21 @@ def test_values(spark):
     assert spark.range(1).select(padded_key(F.lit(123456789))).first()[0] == "123456789"
 
 
+def test_only_decimals_with_a_comma(spark):
+    texts = {"1.5": None, "12.34": None, "0.5": None, "1,234.56": None, "1.2.3": None, "-1.234.567,8": "-1234567.80", "7": "7.00",
+             "1.234": "1234.00", "1,": None, "": None, "n/d": None, " 3,5 ": "3.50", "12.345,6": "12345.60", "1234.567,8": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", decimal_comma(F.col("t")).cast("string")).collect()}
+    assert got == texts
+
+
+def test_a_fraction_is_no_registration_number(spark):
+    for value in ("655522.0D", "cast(655522 as float)", "655522.5"):
+        with pytest.raises(Exception, match="registration number"):
+            spark.sql(f"select {value} as k").select(padded_key(F.col("k"))).collect()
+    assert spark.sql("select cast(655522 as decimal(9,0)) as k").select(padded_key(F.col("k"))).first()[0] == "00655522"
+
+
 def test_target_types():
     assert target_type(T.StringType()) == "TEXT"
     assert target_type(T.DecimalType(10, 2)) == "NUMERIC(10,2)"

@@ -41,17 +41,26 @@ def test_dense_ids_do_not_depend_on_the_split(spark, tmp_path):
     assert {i for _, i in once} == set(range(1, 50_001))
 
 
-def test_dense_ids_without_a_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ids, "BROADCAST_FILES", 0)
-    df = spark.range(0, 100, 1, 4).select(F.col("id").alias("v"))
-    assert {(r.v, r.id) for r in ids.with_dense_id(df).collect()} == {(i, i + 1) for i in range(100)}
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_no_rows_move_for_ids_of_many_files(spark, tmp_path, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        path = str(tmp_path / "many")
+        spark.range(0, 3000, 1, 200).select(F.col("id").alias("v"), F.lit(1).alias("_offset")).write.parquet(path)
+        df = ids.number_scan(spark.read.parquet(path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("BroadcastExchange")[0]
+        assert {(r.v, r.id) for r in df.collect()} == {(i, i + 1) for i in range(3000)}
+        assert df.columns == ["id", "v", "_offset"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_no_rows_move_for_ids(spark):
-    df = ids.with_dense_id(spark.range(100).withColumnRenamed("id", "v"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    above = plan.split("BroadcastExchange")[0]
-    assert "Exchange" not in above.replace("BroadcastExchange", "")
+def test_another_id_column_gives_way(spark):
+    for names in ([" ID", "id"], ["id", " ID"], ["x", "Id", "id_2", "ID "]):
+        df = columns.clean_columns(ids.rename_id(spark.createDataFrame([tuple(range(len(names)))], names)))
+        assert df.columns.count("id") == 1 and len(set(df.columns)) == len(names)
+        assert df.first()["id"] == names.index("Id" if "Id" in names else names[0])
 
 
 def test_next_id(spark):
@@ -83,6 +92,15 @@ def test_conform_diverts_what_does_not_fit(spark):
     assert conformed.dtypes[:3] == [("id", "int"), ("t", "string"), ("n", "int")]
 
 
+def test_a_fraction_is_no_whole_number(spark):
+    df = spark.sql("select 2020.7D a, cast(12.70 as decimal(5,2)) b, cast(12.5 as float) c, 3.0D d, 7.25D e")
+    declared = {"a": "int", "b": "bigint", "c": "smallint", "d": "int", "e": "decimal(5,1)"}
+    row = columns.conform(df, declared).first()
+    assert [f["column"] for f in row[columns.REJECTS]] == ["a", "b", "c"]
+    assert (row["a"], row["d"], str(row["e"])) == (None, 3, "7.3")
+    assert columns.left_out(df.withColumn("id", F.lit(1)), {"a": "int"}) == ["b", "c", "d", "e"]
+
+
 def test_too_long(spark):
     df = spark.createDataFrame([("abc", None), ("abcd", "x"), (None, "xyz")], "a string, b string")
     assert [tuple(r) for r in columns.too_long(df, {"a": 3, "b": 2}).collect()] == [("abcd", "x"), (None, "xyz")]
@@ -152,12 +170,22 @@ def test_hot_right_keys_give_the_same_rows(spark, hot_rows):
     assert _rows(left_join(left, right, "k", "rk", hot_rows=hot_rows)) == _rows(_plain(left, right))
 
 
-def test_many_copies_come_back_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr("ledgerloom.operators.joins.COPIES_PER_TASK", 10)
-    left = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "k int, v int")
-    right = spark.range(47).select(F.lit(1).alias("rk"), F.lit(5).alias("w"))
-    right = right.unionByName(spark.createDataFrame([(2, 6)], "rk int, w int"))
-    assert _rows(left_join(left, right, "k", "rk", hot_rows=5)) == Counter({(1, 1, 5): 47, (2, 2, 6): 1, (3, 3, None): 1})
+@pytest.mark.parametrize("hot_rows", [1, 10_000])
+def test_any_type_and_collation_on_the_right(spark, hot_rows):
+    left = spark.sql("select cast('A' as string collate UTF8_LCASE) k, 1 v")
+    right = spark.sql(
+        "select cast(t as string collate UTF8_LCASE) rk, cast(t as string collate UTF8_LCASE) w, map(t, n) m, n _part "
+        "from values ('a', 1), ('A', 2), ('A', 2), ('b', 3) as r(t, n)"
+    )
+    got = left_join(left, right, "k", "rk", hot_rows=hot_rows)
+    assert got.columns == ["k", "v", "w", "m", "_part"]
+    assert sorted((r.w, r._part, r.m[r.w]) for r in got.collect()) == [("A", 2, 2), ("A", 2, 2), ("a", 1, 1)]
+
+
+def test_left_join_wants_keys_of_one_kind(spark):
+    left, right = spark.sql("select 'abc' k, 1 v"), spark.sql("select 5 rk, 2 w")
+    with pytest.raises(TypeError, match="k is text and rk is whole number"):
+        left_join(left, right, "k", "rk")
 
 
 # --- checks ------------------------------------------------------------------------------------

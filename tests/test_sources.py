@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -11,10 +13,10 @@ from ledgerloom.sources.delimited import LINEAGE, file_paths, read_delimited, re
 HEAD = "employer_name|reviews_count|employer-headquarters|employer-founded|employer-revenue|Geral|Remuneração e benefícios"
 WITH_SEGMENT = (
     f"{HEAD}|Segmento|Nome|match_percent\r\n"
-    "Um Banco|13000|Paris, França|2000.0|Mais de US$ 10 bilhões|3.8|3.4|S3|UM BANCO|100\r\n"
-    "Outro|1600|São Paulo, Brasil||Desconhecida|4.0|4.4|S1|OUTRO|100\r\n"
+    "Um Banco|711|Praia Azul, Ilha Nova|1987.0|Perto de R$\u00a07\u00a0mil|2.1|4.9|S4|UM BANCO|88\r\n"
+    "Outro|52|Serra Alta, Vale||Nada consta|1.3|2.2|S2|OUTRO|88\r\n"
 )
-WITH_NUMBER = f"{HEAD}|CNPJ|Nome|match_percent\r\nTerceiro|450|Hamilton, Bermuda|2003.0|-|3.2|2.7|00655522|TERCEIRO|70\r\n"
+WITH_NUMBER = f"{HEAD}|CNPJ|Nome|match_percent\r\nTerceiro|9|Ponta Fina, Cabo|1999.0|-|4.6|1.8|00012345|TERCEIRO|71\r\n"
 
 
 @pytest.fixture
@@ -33,10 +35,10 @@ def test_pipe_file_with_declared_types(spark, folder):
     kinds = dict(df.dtypes)
     assert kinds["geral"] == "decimal(3,1)" and kinds["reviews_count"] == "int" and kinds["nome"] == "string"
     first, second = df.orderBy("employer_name").collect()[::-1]
-    assert first.employer_headquarters == "Paris, França"
-    assert first.employer_revenue == "Mais de US$ 10 bilhões"
+    assert first.employer_headquarters == "Praia Azul, Ilha Nova"
+    assert first.employer_revenue == "Perto de R$\u00a07\u00a0mil"
     assert second.employer_founded is None
-    assert [r.match_percent for r in (first, second)] == [100, 100]
+    assert [r.match_percent for r in (first, second)] == [88, 88]
 
 
 def test_inferred_types(spark, folder):
@@ -49,9 +51,9 @@ def test_folder_with_two_headers(spark, folder):
     df = clean_columns(read_folder(spark, folder, types=types, lineage=True))
     got = {r.nome: (r.segmento, r.cnpj, r[LINEAGE]) for r in df.collect()}
     assert got == {
-        "UM BANCO": ("S3", None, "a.csv"),
-        "OUTRO": ("S1", None, "a.csv"),
-        "TERCEIRO": (None, "00655522", "b.csv"),
+        "UM BANCO": ("S4", None, "a.csv"),
+        "OUTRO": ("S2", None, "a.csv"),
+        "TERCEIRO": (None, "00012345", "b.csv"),
     }
     conformed = conform(df, TABLES["empregados_glassdoor"], RENAMES["empregados_glassdoor"])
     assert accepted(conformed).count() == 3
@@ -104,6 +106,68 @@ def test_sniffed_separator(spark, tmp_path):
     assert read_delimited(spark, str(path), sep="sniff").columns == ["a", "b"]
 
 
+def test_sniffing_passes_over_blank_lines(spark, tmp_path):
+    path = tmp_path / "y.csv"
+    path.write_text("\n  \na;b\n1;2\n")
+    assert sniff_separator(spark, str(path)) == ";"
+
+
+def test_untyped_reads_fail_on_other_headers_and_ragged_rows(spark, tmp_path):
+    for name, text in {"a": "k,nome,segmento\n1,x,S1\n", "b": "k,nome,cnpj\n2,y,00012345\n"}.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="does not conform to the schema"):
+        read_delimited(spark, str(tmp_path)).collect()
+    rows = read_folder(spark, str(tmp_path)).orderBy("k").collect()
+    assert [(r.segmento, r.cnpj) for r in rows] == [("S1", None), (None, 12345)]
+    ragged = tmp_path / "ragged"
+    ragged.mkdir()
+    (ragged / "c.csv").write_text("a,b\n1,2,3\n4\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_delimited(spark, str(ragged)).collect()
+
+
+def test_headers_of_a_folder_are_read_by_one_job(spark, tmp_path):
+    for i in range(1000):
+        (tmp_path / f"f{i}.csv").write_text(f"k,h{i % 2}\n{i},1\n")
+    group = spark.sparkContext.statusTracker()
+    before = max(group.getJobIdsForGroup(), default=-1)
+    rows = read_folder(spark, str(tmp_path), types={})
+    assert max(group.getJobIdsForGroup()) - before < 20
+    assert rows.count() == 1000 and rows.columns == ["k", "h0", "h1"]
+
+
+def test_a_catalogue_can_be_made_again(spark, tmp_path):
+    raw = tmp_path / "raw"
+    (raw / "customer" / "raw").mkdir(parents=True)
+    (raw / "customer" / "raw" / "f.csv").write_text("a,b\n1,x\n")
+    (raw / "my-data" / "ano=2020").mkdir(parents=True)
+    (raw / "my-data" / "ano=2020" / "f.csv").write_text("a\n1\n")
+    assert tables.catalogue_folder(spark, str(raw), "again") == ["again.customer", "again.my_data"]
+    (raw / "my-data" / "ano=2021").mkdir()
+    (raw / "my-data" / "ano=2021" / "f.csv").write_text("a\n2\n3\n")
+    (raw / "other").mkdir()
+    (raw / "other" / "f.tsv").write_text("a\n1\n")
+    assert len(tables.catalogue_folder(spark, str(raw), "again")) == 3
+    assert spark.table("again.my_data").where("ano = 2021").count() == 2
+    (raw / "third").mkdir()
+    (raw / "third" / "f.json").write_text('{"a":1}')
+    with pytest.raises(ValueError, match="third.*json"):
+        tables.catalogue_folder(spark, str(raw), "again")
+
+
+def test_split_reads_ask_for_bounds_and_floor_them():
+    assert tables.bounds_query("s.t", "x") == "(select min(x) as low, max(x) as high from s.t) bounds"
+    options = tables.split_options("x", Decimal("-3.5"), Decimal("10.25"), 8)
+    assert options == {"partitionColumn": "x", "lowerBound": "-4", "upperBound": "11", "numPartitions": "8"}
+
+
+def test_database_tables_are_read_split(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(tables, "read_jdbc", lambda spark, options, name, split_by, splits: asked.append((options, name, split_by, splits)))
+    tables.read_tables(spark, ["s.a", "s.b"], {"url": "x"}, "chave", 5)
+    assert asked == [({"url": "x"}, "s.a", "chave", 5), ({"url": "x"}, "s.b", "chave", 5)]
+
+
 def test_missing_tables_are_all_named(spark):
     spark.sql("create namespace if not exists guard")
     spark.sql("create table if not exists guard.here (x int) using parquet")
