@@ -12,11 +12,17 @@ from pyspark.sql import SparkSession
 
 import ledgerloom
 
+#: Bytes of rows that a Python worker gets at once, so that long texts do not pile up in it.
+BATCH_BYTES = "8m"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the library's sources to the workers of ``spark``, once per application."""
+    """Send the library's sources to the workers of ``spark``, once per application.
+
+    Also sets how much the session hands to a worker at once.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
