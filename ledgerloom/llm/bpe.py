@@ -31,8 +31,8 @@ VOCABULARY = "word_bpe_49k"
 # A cut after one blank in ``SPACING`` on average, and no chunk shorter or, in bytes, longer than these.
 SPACING, SHORTEST, LONGEST = 96, 256, 8192
 _WINDOW = 16
-# Words whose ids a worker remembers.
-_REMEMBERED = 200_000
+# Words whose ids a worker remembers, about; as many again that it met before.
+_REMEMBERED = 100_000
 # Characters whose normal form, lower case and class are the same in all versions of Unicode.
 _SETTLED = regex.compile("[\x00-ɏ]*")
 # Fixed by the vocabulary: how a normalised text falls into words, and what is no text.
@@ -41,21 +41,6 @@ _SPECIAL = "<|"
 _GEAR = np.random.default_rng(0x6EA4).integers(0, 2**32, 256, np.uint32)
 
 
-class _Words(dict):
-    """Ids of single words, found once."""
-
-    def __init__(self, tokenizer: Tokenizer) -> None:
-        super().__init__()
-        self._tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
-        self[word] = ids
-        return ids
-
-
 class Bpe:
     """Ids (16 bits) and texts as the tokenizers library gives them, without added special tokens."""
 
@@ -65,13 +50,48 @@ class Bpe:
         self._tokenizer.no_padding()
         size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self._tokens = [self._tokenizer.id_to_token(i) for i in range(size)]
-        self._words = _Words(self._tokenizer)
+        self._ends = np.array([token.endswith("</w>") for token in self._tokens])
+        # Ids of words: those met lately, and those met before.
+        self._words: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of all ``words``; those that are not known are encoded at once."""
+        if len(self._words) > _REMEMBERED:
+            self._before, self._words = self._words, {}
+        known = self._words
+        new = []
+        for word in words.difference(known):
+            ids = self._before.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        if not new:
+            return
+        ids = self._encoded(" ".join(new))
+        # Every word ends with a token that says so, and no other does.
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) == len(new):
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(new, (ends * 2).tolist()):
+                known[word] = raw[start:end]
+                start = end
+        else:
+            known.update((word, self._encoded(word).tobytes()) for word in new)
 
     def ids(self, text: str) -> bytes:
-        if _SPECIAL not in text and _SETTLED.fullmatch(text):
-            words = self._words
-            return b"".join([words[word] for word in _WORDS.findall(text.lower())])
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        if _SPECIAL in text or not _SETTLED.fullmatch(text):
+            return self._encoded(text).tobytes()
+        words = _WORDS.findall(text.lower())
+        kinds = set(words)
+        if not kinds <= self._words.keys():
+            self._learn(kinds)
+        known = self._words
+        return b"".join([known[word] for word in words])
 
     def text(self, ids: np.ndarray) -> str:
         # This vocabulary has no decoder: its tokens stand side by side.
