@@ -23,7 +23,6 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 from pyspark.sql.types import StructType
 
 from ledgerloom.llm.shipping import ship
-from ledgerloom.session import stage
 
 SUFFIX = ".warc.gz"
 FILE_BYTES = 256 * 1024 * 1024
@@ -33,7 +32,7 @@ _DATE = "2000-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Subfield of the gzip header: compressed length of the member, plain length of its record.
 _SKIP = b"sl"
-_MANIFEST = "file string, records long, bytes long"
+_WRITTEN = "file string, records long, bytes long"
 
 SCHEMA = (
     "record_type string, record_id string, refers_to string, target_uri string, payload_digest string, "
@@ -122,8 +121,8 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int)
     )
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write a record per row of ``pages`` (page_id, url, html) into ``folder``; the list of files.
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> dict[str, int]:
+    """Write a record per row of ``pages`` (page_id, url, html) into ``folder``; how much was written.
 
     Among pages of equal payloads of at least ``min_bytes`` bytes, that with the largest page_id is
     a response and the others revisit it; smaller payloads are responses all. A null html is an
@@ -155,7 +154,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     joined = known.withColumn("digest", key).join(first, F.col("digest") == F.col("kept_digest"), "left")
     revisits = F.coalesce(F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept")), F.lit(False))
     rows = joined.select("page_id", "url", "payload", "kept", revisits.alias("revisits"))
-    return stage(rows.mapInArrow(lambda batches: _write_part(batches, folder, file_bytes), _MANIFEST), "warc-files")
+    parts = rows.mapInArrow(lambda batches: _write_part(batches, folder, file_bytes), _WRITTEN)
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("records", "bytes")]
+    return parts.agg(F.count("file").alias("files"), *sums).first().asDict()
 
 
 # --- reading -----------------------------------------------------------------------------------
