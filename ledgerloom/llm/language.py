@@ -232,6 +232,12 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
 
 
 def known_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is told with a score of ``least``, as they are."""
-    predict = language_of(docs.sparkSession, fit_languages(docs))
+    """The rows of ``docs`` whose language is told with a score of ``least``, as they are.
+
+    Where there is nothing to learn from, nothing is told about any row, and all stay.
+    """
+    model = fit_languages(docs)
+    if not model.languages:
+        return docs
+    predict = language_of(docs.sparkSession, model)
     return docs.where(predict(F.col("text").cast("string"))["score"] >= least)

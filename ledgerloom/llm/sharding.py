@@ -164,10 +164,10 @@ def kd_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
             spread(F.col("least.source")).alias("x_source"),
             F.coalesce((F.col("least.doc_id") - low) / F.lit(float(width)), F.lit(0.0)).alias("x_doc"),
             F.pmod(F.xxhash64("text_key"), F.lit(BUCKETS)).cast("int").alias("tie"),
+            F.lit(0).alias("node"),
         ),
         "shard-points",
     )
-    points = points.withColumn("node", F.lit(0))
     level = [_Node(0, shards)]
     while level := [n for n in level if n.shards > 1]:
         cut = _cut(points, level)
