@@ -12,7 +12,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,15 +45,21 @@ class ByteBpe:
     """
 
     def __init__(self, vocabulary: str) -> None:
-        self._exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        self._exact.no_truncation()
-        self._exact.no_padding()
+        self._vocabulary = vocabulary
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         special = {_END_OF_TEXT: _END_OF_TEXT_ID}
         pattern = public_tokenizers.PATTERN
         self._ranks = tiktoken.Encoding(vocabulary, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
+    @cached_property
+    def _exact(self) -> Tokenizer:
+        """Loaded by workers that meet a text which needs it."""
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{self._vocabulary}.json"))
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def ids(self, text: str) -> np.ndarray:
         if _SETTLED.fullmatch(text):
             return self._ranks.encode_to_numpy(text, allowed_special="all")

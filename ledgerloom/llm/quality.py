@@ -48,7 +48,7 @@ FEATURES = (
     "entropy",
     "foreign_share",
 )
-_BLOCK = 1 << 20
+_BLOCK = 256 * 1024
 _UPPER, _LOWER, _DIGIT = np.arange(65, 91), np.arange(97, 123), np.arange(48, 58)
 _SYMBOL = np.array([c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-?!()|"])
 

@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 WORDS = 4
-# Bytes of text that are hashed at once.
-_BLOCK = 2 * 1024 * 1024
+# Bytes of text that are hashed at once; a worker needs some hundred times as many.
+_BLOCK = 256 * 1024
 _U = np.uint64
 _GAMMA = _U(0x9E3779B97F4A7C15)
 # Fixed odd number, powers of which weigh the bytes of a word by their place.
