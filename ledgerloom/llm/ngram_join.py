@@ -145,7 +145,7 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             held.append(_signatures(elements))
             keys.append(np.full(len(held[-1]), key, np.int64))
             count += len(held[-1])
-            if count > 1 << 18:
+            if count > 1 << 15:
                 yield _signature_batch(held, keys)
                 held, keys, count = [], [], 0
         if held:
@@ -174,13 +174,16 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["a", "b"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], words: int, bits) -> Iterator[pa.RecordBatch]:
+    """The sets of documents that the filter lets pass; the last column has the hashes of their keys."""
     for batch in batches:
+        passed = np.flatnonzero(may_hold(bits.value, batch.column(2).to_numpy().view(np.uint64)))
+        chosen = batch.take(pa.array(passed))
         keys, rows = [], []
-        for elements in shingle_sets(batch.column(1), words):
+        for elements in shingle_sets(chosen.column(1), words):
             keys.append(set_key(elements) if len(elements) else None)
             rows.append(elements.tobytes())
-        arrays = [batch.column(0), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())]
+        arrays = [chosen.column(0), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "node", "elements"])
 
 
@@ -306,12 +309,9 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     )
     bits = docs.sparkSession.sparkContext.broadcast(filter_words(picked, "doc_key"))
 
-    @F.pandas_udf("boolean")
-    def may_be(hashed: pd.Series) -> pd.Series:
-        return pd.Series(may_hold(bits.value, hashed.to_numpy().view(np.uint64)))
-
-    read = docs.where(may_be(F.xxhash64("doc_key")))
-    sets = read.mapInArrow(lambda batches: _sets(batches, words), "doc_key bigint, node bigint, elements binary")
+    # Filtered where it is hashed: a task has one Python worker, not two in a row.
+    read = docs.select("doc_key", "text", F.xxhash64("doc_key").alias("hash"))
+    sets = read.mapInArrow(lambda batches: _sets(batches, words, bits), "doc_key bigint, node bigint, elements binary")
     placed = dealt.join(sets, ["doc_key", "node"]).select("cluster", "band", "guest", F.inline(pairs), "node", "elements")
     together = _BLOCK_COLUMNS[:4]
     ordered = placed.select(*_BLOCK_COLUMNS).repartition(*together).sortWithinPartitions(*together, "node")
