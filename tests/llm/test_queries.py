@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerloom.llm import language, packing, quality, queries, syncmers
+from ledgerloom.llm import language, quality, queries, syncmers
 from ledgerloom.session import stage
 from tests.llm import brute
 from tests.llm.conftest import SF_DIR
@@ -133,13 +133,19 @@ def test_op10(spark, documents):
     assert all(len(h) == 1 for h in homes.values())
 
 
-def test_pipeline(spark, documents):
-    """Every stage against a plain version of what it keeps, and the end of it against ``run``."""
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    named = dict(corpus_pipeline.STAGES)
-    assert list(named) == ["language_id", "quality_classifier", "ngram_jaccard_join", "best_fit_packing"]
-    kept = dict(documents)
-    for name, step in corpus_pipeline.STAGES[:-1]:
+def test_pipeline(spark, documents, monkeypatch):
+    """What every stage of a run keeps, against a plain version of it."""
+    kept_by = {}
+
+    def recorded(df, label):
+        kept_by[label] = stage(df, label)
+        return kept_by[label]
+
+    monkeypatch.setattr(corpus_pipeline, "stage", recorded)
+    rows = _run(spark, "pipeline").collect()
+    assert list(kept_by) == ["language_id", "quality_classifier", "ngram_jaccard_join", "best_fit_packing"]
+    docs, kept = spark.read.parquet(f"{SF_DIR}/documents.parquet"), dict(documents)
+    for name, left in list(kept_by.items())[:-1]:
         if name == "language_id":
             model = language.fit_languages(docs)
             kept = {i: t for i, t in kept.items() if model.predict(t)[1] >= language.LEAST_SCORE}
@@ -150,10 +156,8 @@ def test_pipeline(spark, documents):
         else:
             groups = {i: c for i, _, c in brute.components(list(kept.items()))}
             kept = {i: t for i, t in kept.items() if groups[i] == i}
-        before, docs = docs, stage(step(spark, docs, SF_DIR), name)
-        assert docs.columns == before.columns
-        assert sorted(r["doc_id"] for r in docs.select("doc_id").collect()) == sorted(kept), name
+        assert left.columns == docs.columns
+        assert sorted(r["doc_id"] for r in left.select("doc_id").collect()) == sorted(kept), name
+        docs = left
     assert 0 < len(kept) < len(documents)
-    rows = corpus_pipeline.run(spark, SF_DIR).collect()
     _check_packing(rows, kept)
-    assert packing.LENGTH == 2048
