@@ -16,7 +16,8 @@ from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.quality import good_documents
 from ledgerloom.session import stage
 
-
+#: Near duplicates share 80 of 100 of their five-word shingles, or more.
+NEAR_WORDS, NEAR_SHARE = 5, 80
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known stay."""
@@ -30,7 +31,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays, that with the smallest doc_id."""
-    return one_of_each_group(docs)
+    return one_of_each_group(docs, NEAR_WORDS, NEAR_SHARE)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

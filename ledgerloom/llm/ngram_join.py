@@ -1,8 +1,8 @@
 """Documents whose word shingles overlap, found by PartEnum signatures.
 
-Two sets of similarity 0.85 differ in few elements for their sizes. Sizes fall into bands, each as
-wide as the similarity allows, so two such sets lie in the same band or in neighbouring ones. For a
-band the domain of shingles is cut into parts, so many that in one of them the sets differ in at
+Two sets of similarity 0.85, or of the share that the caller wants, differ in few elements for their
+sizes. Sizes fall into bands, each as wide as the similarity allows, so two such sets lie in the same
+band or in neighbouring ones. For a band the domain of shingles is cut into parts, so many that in one of them the sets differ in at
 most ``SPARE`` elements, and that part into ``CELLS`` cells: they agree on all but ``SPARE`` of them.
 So they share the signature of some subset of cells of some part. No pair is missed.
 
@@ -29,7 +29,7 @@ from ledgerloom.llm.shingles import WORDS, mix, shingle_sets
 from ledgerloom.llm.shipping import ship
 from ledgerloom.session import stage
 
-# Similarity as a fraction: PART * |intersection| >= SHARE * |union|.
+# Similarity as a fraction: PART * |intersection| >= share * |union|; SHARE is that of operator 1.
 SHARE, PART = 85, 100
 CELLS, SPARE = 3, 1
 # How far beyond their mean number parts with empty subsets are reckoned with, see ``_parts``.
@@ -41,41 +41,41 @@ _U = np.uint64
 _SUBSETS = list(combinations(range(CELLS), CELLS - SPARE))
 
 
-def similar(common: int, a: int, b: int) -> bool:
-    return PART * common >= SHARE * (a + b - common)
+def similar(common: int, a: int, b: int, share: int = SHARE) -> bool:
+    return PART * common >= share * (a + b - common)
 
 
-def _most_different(total: int | np.ndarray):
+def _most_different(total: int | np.ndarray, share: int = SHARE):
     """Most elements in which two linked sets of ``total`` elements in all can differ."""
-    return (PART - SHARE) * total // (PART + SHARE)
+    return (PART - share) * total // (PART + share)
 
 
 @lru_cache(maxsize=4096)
-def _band(size: int) -> int:
+def _band(size: int, share: int = SHARE) -> int:
     """Number of the band in which sets of ``size`` elements lie."""
     band, low = 0, 1
-    while (high := low * PART // SHARE) < size:
+    while (high := low * PART // share) < size:
         band, low = band + 1, high + 1
     return band
 
 
 @lru_cache(maxsize=1024)
-def _high(band: int) -> int:
+def _high(band: int, share: int = SHARE) -> int:
     high = 1
     for _ in range(band):
-        high = (high + 1) * PART // SHARE
+        high = (high + 1) * PART // share
     return high
 
 
 @lru_cache(maxsize=1024)
-def _parts(band: int) -> tuple[int, int]:
+def _parts(band: int, share: int = SHARE) -> tuple[int, int]:
     """How many parts a band has, and how many of them are more than needed.
 
     The surplus is what the smallest sets of the band have in parts with an empty subset, by the law
     of empty cells and with some standard deviations to spare.
     """
-    needed = -(-(_most_different(2 * _high(band)) + 1) // (SPARE + 1))
-    least = _high(band - 2) + 1 if band > 1 else 1
+    needed = -(-(_most_different(2 * _high(band, share), share) + 1) // (SPARE + 1))
+    least = _high(band - 2, share) + 1 if band > 1 else 1
     surplus = 1
     while surplus <= needed:
         parts = needed + surplus
@@ -94,7 +94,7 @@ def set_key(elements: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def _signatures(elements: np.ndarray) -> np.ndarray:
+def _signatures(elements: np.ndarray, share: int = SHARE) -> np.ndarray:
     """Signatures of a set in the band of its size and in the next one, where it may be the smaller set.
 
     Subsets without elements would bring unrelated sets together, so they give no signature. Two
@@ -103,12 +103,12 @@ def _signatures(elements: np.ndarray) -> np.ndarray:
     by a signature that only sets of this kind have.
     """
     found = []
-    own = _band(len(elements))
+    own = _band(len(elements), share)
     for band in (own, own + 1):
-        most = _most_different(2 * _high(band))
+        most = _most_different(2 * _high(band, share), share)
         if most == 0:  # only equal sets are linked, and they are one node
             continue
-        parts, surplus = _parts(band)
+        parts, surplus = _parts(band, share)
         place = mix(elements + _U(band + 1)) % _U(parts * CELLS)
         cells = np.zeros(parts * CELLS, np.uint64)
         np.add.at(cells, place.astype(np.int64), elements)
@@ -135,14 +135,14 @@ def _nodes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "n_shingles", "node"])
 
 
-def _signed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], words: int, share: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         done, keys, held, count = set(), [], [], 0
         for elements in shingle_sets(batch.column(0), words):
             if not len(elements) or (key := set_key(elements)) in done:
                 continue
             done.add(key)
-            held.append(_signatures(elements))
+            held.append(_signatures(elements, share))
             keys.append(np.full(len(held[-1]), key, np.int64))
             count += len(held[-1])
             if count > 1 << 15:
@@ -202,7 +202,9 @@ class _Forest:
         self._parent[self.root(i)] = self.root(j)
 
 
-def spanning_links(sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray) -> Iterator[tuple[int, int]]:
+def spanning_links(
+    sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray, share: int = SHARE
+) -> Iterator[tuple[int, int]]:
     """Links that connect ``sets`` as all links between them do.
 
     ``side`` has 0 or 1 if only sets of different sides are compared, or all the same; two sets that
@@ -214,11 +216,11 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray)
     order = np.argsort(sizes, kind="stable")
     sizes, side, guest = sizes[order], side[order], guest[order]
     across = side.min() != side.max()
-    reach = np.searchsorted(sizes, sizes * PART // SHARE, side="right")
+    reach = np.searchsorted(sizes, sizes * PART // share, side="right")
     forest = _Forest(len(sets))
     parity = None
     if len(sets) > 8:
-        bits = 1 << max(6, int(16 * _most_different(2 * int(sizes[-1])) - 1).bit_length())
+        bits = 1 << max(6, int(16 * _most_different(2 * int(sizes[-1]), share) - 1).bit_length())
         parity = np.empty((len(sets), bits // 64), np.uint64)
         for row, i in enumerate(order.tolist()):
             hits = np.bincount((mix(sets[i] + _U(5)) & _U(bits - 1)).astype(np.int64), minlength=bits)
@@ -231,12 +233,12 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray)
             others = others[~guest[others]]
         if parity is not None and len(others):
             apart = np.bitwise_count(parity[others] ^ parity[i]).sum(1)
-            others = others[apart <= _most_different(sizes[others] + sizes[i])]
+            others = others[apart <= _most_different(sizes[others] + sizes[i], share)]
         for j in others.tolist():
             if forest.root(i) != forest.root(j):
                 a, b = sets[order[i]], sets[order[j]]
                 at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                if similar(int((b[at] == a).sum()), len(a), len(b)):
+                if similar(int((b[at] == a).sum()), len(a), len(b), share):
                     forest.join(i, j)
                     yield int(order[i]), int(order[j])
 
@@ -244,12 +246,12 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray)
 _BLOCK_COLUMNS = ["cluster", "band", "first", "second", "side", "guest", "node", "elements"]
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     """Links in every pair of blocks; rows come in order of cluster, band and pair."""
     held, nodes, sets, sides, guests = None, [], [], [], []
 
     def links() -> pa.RecordBatch:
-        found = list(spanning_links(sets, np.array(sides), np.array(guests)))
+        found = list(spanning_links(sets, np.array(sides), np.array(guests), share))
         columns = [pa.array([nodes[pair[i]] for pair in found], pa.int64()) for i in range(2)]
         return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
@@ -269,10 +271,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links()
 
 
-def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
     """Edges (a, b) between different sets, with the components that all links have."""
     texts = docs.select(F.col("text"))
-    signed = texts.mapInArrow(lambda batches: _signed(batches, words), "signature bigint, node bigint")
+    signed = texts.mapInArrow(lambda batches: _signed(batches, words, share), "signature bigint, node bigint")
     sorted_ = signed.repartition("signature").sortWithinPartitions("signature", "node")
     candidates = sorted_.mapInArrow(_stars, "a bigint, b bigint").distinct()
     clusters = connected_components(candidates, "cluster")
@@ -285,7 +287,7 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
     @F.pandas_udf("int")
     def band_of(size: pd.Series) -> pd.Series:
-        return size.map(_band)
+        return size.map(lambda n: _band(n, share))
 
     # A set meets those of its own band, and as a guest those of the next one.
     own = band_of("n_shingles")
@@ -315,14 +317,14 @@ def _links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     placed = dealt.join(sets, ["doc_key", "node"]).select("cluster", "band", "guest", F.inline(pairs), "node", "elements")
     together = _BLOCK_COLUMNS[:4]
     ordered = placed.select(*_BLOCK_COLUMNS).repartition(*together).sortWithinPartitions(*together, "node")
-    return ordered.mapInArrow(_compare, "a bigint, b bigint")
+    return ordered.mapInArrow(lambda batches: _compare(batches, share), "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """Every row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
-    Two documents are linked when their sets of ``words``-word shingles have 85 of 100 elements in
-    common. component_id is the smallest doc_id that links lead to. Null and empty texts and those
+    Two documents are linked when their sets of ``words``-word shingles have ``share`` of 100
+    elements in common. component_id is the smallest doc_id that links lead to. Null and empty texts and those
     without words have an empty set and no link. Copies, also of texts that differ in blanks or case
     only, are one node. A row without a doc_id takes part; it gets the component of its node, which
     is null if no other row of it has a doc_id. Further columns are ignored.
@@ -333,7 +335,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     schema = "doc_key bigint, n_shingles bigint, node bigint"
     members = stage(known.mapInArrow(lambda batches: _nodes(batches, words), schema), "members")
     solid = members.where("node is not null")
-    links = connected_components(_links(known, solid, words))
+    links = connected_components(_links(known, solid, words, share))
     doc_id = F.when(F.col("doc_key") != _LEAST, F.col("doc_key"))
     least = solid.groupBy("node").agg(F.min(doc_id).alias("least"))
     reached = links.join(least, "node").groupBy("component").agg(F.min("least").alias("reached"))
@@ -347,13 +349,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return found.select(*columns).unionByName(alone.select(*columns))
 
 
-def one_of_each_group(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def one_of_each_group(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """The rows of ``docs`` without linked ones: of each component that with the smallest doc_id stays.
 
     Of rows that repeat a doc_id and its text one stays; rows without a doc_id all stay. Only
     documents that may go are shuffled, as a filter of fixed size tells.
     """
-    found = stage(jaccard_components(docs.select("doc_id", "text"), words).where("doc_id is not null"), "components")
+    found = stage(jaccard_components(docs.select("doc_id", "text"), words, share).where("doc_id is not null"), "components")
     named = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
     doubtful = named.where("rows > 1 or component_id <> doc_id")
     bits = docs.sparkSession.sparkContext.broadcast(filter_words(doubtful, "doc_id"))

@@ -10,9 +10,9 @@ def shingles(text, n=4):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-def components(rows):
+def components(rows, n=4, share=85):
     """(doc_id, size, component) of rows (doc_id, text), every pair compared."""
-    sets = [shingles(text) for _, text in rows]
+    sets = [shingles(text, n) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -23,7 +23,7 @@ def components(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             common = len(a & sets[j])
-            if common and 100 * common >= 85 * (len(a) + len(sets[j]) - common):
+            if common and 100 * common >= share * (len(a) + len(sets[j]) - common):
                 parent[root(i)] = root(j)
     ids = {}
     for i, (doc_id, _) in enumerate(rows):

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from ledgerloom.llm import bpe, ngram_join, packing, shingles, syncmers
 from ledgerloom.llm.components import connected_components
 from tests.llm import brute
@@ -103,6 +104,38 @@ def test_one_document_of_each_group_stays(messy):
     assert kept.count(None) == 2
 
 
+@pytest.mark.parametrize("size", [3, 12, 40, 147, 700])
+def test_sets_of_similarity_80_share_a_signature(size):
+    random_ = np.random.default_rng(size)
+    for _ in range(60):
+        a = random_.integers(0, 2**63, size, dtype=np.uint64)
+        gone = size // 5
+        b = a[gone:] if random_.integers(2) else np.r_[a[size // 9 :], random_.integers(0, 2**63, size // 9, dtype=np.uint64)]
+        assert ngram_join.similar(len(np.intersect1d(a, b)), len(a), len(b), 80)
+        if not np.array_equal(a, b):
+            signed = [ngram_join._signatures(np.unique(s), 80) for s in (a, b)]
+            assert len(np.intersect1d(*signed))
+
+
+def test_stage_finds_near_copies_of_similarity_80_to_85(spark):
+    """400 words with one stretch of 30 to 40 replaced: 0.80 to 0.85 by five words, below 0.85 by four."""
+    rows = []
+    for at, stretch in enumerate(range(30, 44)):
+        words = prose(300 + at, 400).split()
+        rows.append((2 * at, " ".join(words)))
+        rows.append((2 * at + 1, " ".join(words[:150] + [f"new{at}x{i}" for i in range(stretch)] + words[150 + stretch :])))
+    groups = brute.components(rows, 5, 80)
+    wanted = sorted(i for i, _, c in groups if i == c)
+    assert len(rows) // 2 < len(wanted) < len(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()) == wanted
+    found = ngram_join.jaccard_components(docs, 5, 80).collect()
+    assert _sorted(tuple(r) for r in found) == _sorted(groups)
+    # Operator 1's own settings link the shortest stretches at most.
+    found = ngram_join.jaccard_components(docs).collect()
+    assert _sorted(tuple(r) for r in found) == _sorted(brute.components(rows))
+
+
 def test_no_documents(nothing):
     assert ngram_join.jaccard_components(nothing).collect() == []
     assert ngram_join.one_of_each_group(nothing).collect() == []
