@@ -1,6 +1,7 @@
 """Shards of near equal bytes by a k-d tree over the documents' metadata.
 
-Every group of equal texts is one point with its total bytes as weight, so copies never part. A
+Every group of equal texts is one point with its total bytes as weight, so copies never part. Groups
+that weigh a shard's share or more get shards of their own, the tree has the others. A
 node is cut at the weighted median of its widest dimension, found by counting weights in buckets:
 the first count finds the bucket in which the median lies, the second cuts that bucket by a hash of
 the group. Both counts are grouped sums, so no task holds the rows of a node, and what comes to the
@@ -122,11 +123,26 @@ def _cut(points: DataFrame, nodes: list[_Node]) -> list[_Node]:
     return done
 
 
+def _own_shards(points: DataFrame, shards: int) -> list[bytearray]:
+    """Groups that weigh at least the mean of the shards that are left for them and all smaller ones."""
+    rest = points.agg(F.sum("weight").alias("weight")).first()["weight"] or 0.0
+    # Not as many rows as shards come to the driver.
+    largest = points.select("text_key", "weight").orderBy(F.desc("weight"), "text_key").limit(shards - 1).collect()
+    own = []
+    for group in largest:
+        if group["weight"] * (shards - len(own)) < rest:
+            break
+        own.append(group["text_key"])
+        rest -= group["weight"]
+    return own
+
+
 def kd_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Every row of ``docs`` in one of ``shards`` shards of near equal bytes.
 
     ``docs`` has doc_id, text, lang, source; further columns are ignored. Rows of equal texts share
-    a shard, so one text with more than its share of bytes makes its shard larger. A null text
+    a shard; a text with at least its share of bytes has one to itself, and the other shards are near
+    equal among themselves. A text of nearly that much can put a cut off by half its bytes. A null text
     counts as empty, null metadata as a value of their own; repeated rows keep a slot each. An
     empty table gives no rows.
 
@@ -168,7 +184,12 @@ def kd_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
         ),
         "shard-points",
     )
-    level = [_Node(0, shards)]
+    own = _own_shards(points, shards)
+    node = F.col("node")
+    for shard, key in enumerate(own, shards - len(own)):
+        node = F.when(F.col("text_key") == F.lit(bytes(key)), shard).otherwise(node)
+    points = points.withColumn("node", node)
+    level = [_Node(0, shards - len(own))]
     while level := [n for n in level if n.shards > 1]:
         cut = _cut(points, level)
         points = _descend(points, cut) if cut else points

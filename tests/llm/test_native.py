@@ -2,6 +2,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
@@ -86,6 +87,24 @@ def test_shards_are_near_equal(spark, documents):
     assert max(len(t.encode()) for t in texts) / mean + 0.05 > max(sizes.values()) / mean - 1
 
 
+@pytest.mark.parametrize("hot", [[1 / 3], [0.1], [0.3, 0.06, 0.05]])
+def test_shards_beside_hot_texts_are_near_equal(spark, hot):
+    small = [f"text {i} " + "x" * (150 + i * 7919 % 100) for i in range(4000)]
+    texts = list(small)
+    for n, share in enumerate(hot):
+        texts += [f"hot {n} " + "y" * 200] * int(share / (1 - sum(hot)) * len(small))
+    rows = [(i, t, "en" if i % 3 else "de", f"s{i % 5}") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    found = sorted(kd_shards(df, 24).collect(), key=lambda r: r["doc_id"])
+    sizes = _check_shards(found, texts, 24)
+    assert len(sizes) == 24
+    homes = {r["shard"] for r, t in zip(found, texts) if t.startswith("hot")}
+    others = [size for shard, size in sizes.items() if shard not in homes]
+    assert len(homes) == len(hot) and sum(others) == sum(len(t) + 8 for t in small)
+    mean = sum(others) / len(others)
+    assert 0.9 * mean < min(others) and max(others) < 1.1 * mean
+
+
 def test_one_text_only(spark):
     df = spark.createDataFrame([(i, "same", None, None) for i in range(50)], "doc_id bigint, text string, lang string, source string")
     rows = kd_shards(df, 24).collect()
