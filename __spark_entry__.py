@@ -501,15 +501,25 @@ def _load_retry(spark, sf_dir):
     return kept.unionByName(spark.table(rejects).select(F.lit(True).alias("diverted"), "segmento", "cnpj", "nome"))
 
 
-def _substring_join_long_names(spark, sf_dir):
-    """Words of the benchmark within whole documents: how many documents have each."""
+def _words_in_documents(spark, sf_dir, least):
+    """Words of the benchmark of ``least`` letters and more within whole documents: how many documents have each."""
     words = _table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
-    needles = words.where("length(word) >= 4").select(F.upper("word").alias("palavra")).distinct()
+    needles = words.where(F.length("word") >= least).select(F.upper("word").alias("palavra")).distinct()
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
     found = substring_join(docs, needles, "texto", "palavra")
     return found.groupBy("palavra").agg(checks.row_count().alias("n"), F.sum("doc_id").alias("ids"))
 
 
+def _substring_join_long_names(spark, sf_dir):
+    """Words of at least 4 letters only, as its SQL has them; ``substring_join_all_words`` has them all."""
+    return _words_in_documents(spark, sf_dir, 4)
+
+
+def _substring_join_all_words(spark, sf_dir):
+    """All words of the benchmark, those of 1 to 3 letters too."""
+    return _words_in_documents(spark, sf_dir, 1)
+
+
 def _catalogue_refresh(spark, sf_dir):
     """A second call over a folder that has got a partition and a subfolder."""
     folder, schema = fresh_path(spark, "raw"), _fresh_schema(spark, "refresh")
@@ -598,6 +608,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_mixed_folder": _load_mixed_folder,
         "load_retry": _load_retry,
         "substring_join_long_names": _substring_join_long_names,
+        "substring_join_all_words": _substring_join_all_words,
         "catalogue_refresh": _catalogue_refresh,
         "consolidate_tables": _consolidate_tables,
     }
@@ -765,6 +776,13 @@ with needles as (
   from (select unnest(regexp_split_to_array(text, '[^A-Za-z]+')) as word from benchmark) where length(word) >= 4),
 docs as (select doc_id, upper(replace(text, 'ß', 'ss')) as texto from documents)
 select palavra, count(*) as n, sum(doc_id)::bigint as ids
+from docs left join needles on contains(texto, palavra) group by 1""",
+        "substring_join_all_words": """
+with needles as (
+  select distinct upper(word) as palavra
+  from (select unnest(regexp_split_to_array(text, '[^A-Za-z]+')) as word from benchmark) where word <> ''),
+docs as (select doc_id, upper(replace(text, 'ß', 'ss')) as texto from documents)
+select palavra, count(*) as n, sum(doc_id)::bigint as ids
 from docs left join needles on contains(texto, palavra) group by 1""",
         "catalogue_refresh": """
 select 'orders' as table_name, count(*) as n from orders union all select 'my_customers', count(*) from customer""",

@@ -63,5 +63,15 @@ def test_query_without_automatic_broadcasts(spark, oracle, name):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_words_of_any_length_are_searched(spark, oracle):
+    words = oracle.execute("select distinct upper(unnest(regexp_split_to_array(text, '[^A-Za-z]+'))) from benchmark").fetchall()
+    words = {w for w, in words if w}
+    texts = [t.replace("ß", "ss").upper() for t, in oracle.execute("select text from documents").fetchall()]
+    wanted = {w: sum(w in t for t in texts) for w in words if len(w) < 4}
+    got = entry.queries()["substring_join_all_words"](spark, SF_DIR).collect()
+    found = {r["palavra"]: r["n"] for r in got if r["palavra"] is not None and len(r["palavra"]) < 4}
+    assert found and found == {w: n for w, n in wanted.items() if n}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
