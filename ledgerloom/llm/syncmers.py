@@ -1,8 +1,8 @@
 """Document fingerprints of closed syncmers with their positions.
 
 A k-mer of code points is a closed syncmer if the smallest of its s-mers is its first or its last.
-That depends on the k-mer alone, so an edit moves no anchor away from it. A fingerprint keeps the
-anchors of the smallest hashes with their places; two of them are compared by the anchors they
+That depends on the k-mer alone, so an edit moves no anchor away from it. A fingerprint keeps all
+anchors with their places, so it grows with the text; two of them are compared by the anchors they
 share in the same order.
 """
 
@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shipping import ship
 
 K, S = 12, 5
-ANCHORS = 48
 # Ends of the text are code points of their own, so short texts have k-mers too.
 _PAD = np.full(K - 1, 0x110000, np.uint32)
 _ANCHOR = np.dtype([("hash", "<u4"), ("at", "<u4")])
 # Bytes of text that one bucket of neighbouring documents should have, and how many buckets there are.
 BUCKET_BYTES = 8 * 1024 * 1024
 BUCKETS = (64, 10_000)
+# Characters of fingerprints that a task hands over at once, about.
+HANDED = 4 * 1024 * 1024
 _LEAST = -(2**63)
 
 
@@ -66,8 +67,8 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return _mix(hashed * np.uint32(0x9E3779B1) + inner[closed + k - s]), closed
 
 
-def fingerprint(text: str, size: int = ANCHORS) -> str:
-    """The ``size`` anchors of smallest hash, with their places; empty for an empty text."""
+def fingerprint(text: str) -> str:
+    """All anchors in order of hash, with their places; empty for an empty text."""
     if not text:
         return ""
     hashes, places = anchors(text)
@@ -79,40 +80,34 @@ def fingerprint(text: str, size: int = ANCHORS) -> str:
     nth = np.arange(len(ordered)) - np.repeat(starts, np.diff(np.r_[starts, len(ordered)]))
     again = nth > 0
     ordered[again] = _mix(ordered[again] + nth[again].astype(np.uint32) * np.uint32(0x9E3779B1))
-    if len(ordered) > 2 * size:
-        least = np.argpartition(ordered, 2 * size)[: 2 * size]
-        ordered, order = ordered[least], order[least]
     found, first = np.unique(ordered, return_index=True)
-    kept = np.empty(min(size, len(found)), _ANCHOR)
-    kept["hash"], kept["at"] = found[: len(kept)], places[order[first[: len(kept)]]]
+    kept = np.empty(len(found), _ANCHOR)
+    kept["hash"], kept["at"] = found, places[order[first]]
     return base64.b64encode(kept.tobytes()).decode()
 
 
-def likeness(a: str, b: str, size: int = ANCHORS) -> float:
+def likeness(a: str, b: str) -> float:
     """Share of anchors that two texts have in common and in the same order, 0 to 1.
 
-    Estimated among the smallest hashes of both, as twice the common ones over those of either.
-    Two empty texts are alike, an empty one and another are not.
+    Twice the common ones over those of either. Two empty texts are alike, an empty one and another
+    are not.
     """
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
     x, y = (np.frombuffer(base64.b64decode(f), _ANCHOR) for f in (a, b))
-    both = np.union1d(x["hash"], y["hash"])
-    if len(x) >= size or len(y) >= size:
-        # Beyond the last hash of a full fingerprint its text may have anchors that are not listed.
-        full = [f["hash"][-1] for f in (x, y) if len(f) >= size]
-        both = both[both <= min(full)]
-    _, in_x, in_y = np.intersect1d(x["hash"], y["hash"], return_indices=True)
-    within = x["hash"][in_x] <= both[-1] if len(both) else np.zeros(0, bool)
-    order = np.argsort(x["at"][in_x[within]], kind="stable")
-    ends: list[int] = []
-    for place in y["at"][in_y[within]][order].tolist():
-        at = bisect_left(ends, place)
-        ends[at : at + 1] = [place]
-    common = len(ends)
-    return 2.0 * common / (len(both) + common) if len(both) else 0.0
+    _, in_x, in_y = np.intersect1d(x["hash"], y["hash"], assume_unique=True, return_indices=True)
+    either = len(x) + len(y) - len(in_x)
+    places = y["at"][in_y][np.argsort(x["at"][in_x], kind="stable")]
+    common = len(places)
+    if (places[1:] <= places[:-1]).any():
+        ends: list[int] = []
+        for place in places.tolist():
+            at = bisect_left(ends, place)
+            ends[at : at + 1] = [place]
+        common = len(ends)
+    return 2.0 * common / (either + common)
 
 
 def _edited(text: str, following: str) -> str:
@@ -124,7 +119,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one task in order of bucket and document; the rows that follow a bucket come last in it."""
     held = None
     for batch in batches:
-        out = []
+        out, size = [], 0
         for bucket, follows, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
             if held is not None and held[0] != bucket:
                 held = None
@@ -138,10 +133,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
                 near = likeness(before_print, edited_print), likeness(before_print, print_)
                 out.append((before_id, len(before), digest, before_print, edited_print, *near))
+                size += len(before_print) + len(edited_print)
+                if size > HANDED:
+                    yield _handed(out)
+                    out, size = [], 0
             held = None if follows else (bucket, doc_id, text, print_)
-        columns = list(zip(*out)) or [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _NAMES)
+        yield _handed(out)
+
+
+def _handed(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 7
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _NAMES)
 
 
 _NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -177,6 +177,24 @@ def test_likeness_follows_the_shared_part():
     assert syncmers.likeness("", "") == 1 and syncmers.likeness(syncmers.fingerprint("a"), "") == 0
 
 
+def test_small_edits_of_long_texts_are_told():
+    """One word in 500 edited: never the same, and like the definition says over all anchors."""
+    for seed in range(8):
+        words = prose(seed, 2500).split()
+        changed = [f"other{i}" if i % 500 == 250 else w for i, w in enumerate(words)]
+        a, b = (syncmers.fingerprint(" ".join(w)) for w in (words, changed))
+        assert 0.98 < syncmers.likeness(a, b) < 1
+
+
+def test_likeness_of_a_replaced_quarter_is_no_estimate():
+    found = []
+    for seed in range(20):
+        text, other = prose(seed, 2000), prose(seed + 100, 2000)
+        edited = text[: len(text) * 3 // 4] + other[: len(text) // 4]
+        found.append(syncmers.likeness(syncmers.fingerprint(text), syncmers.fingerprint(edited)))
+    assert np.std(found) < 0.02 and abs(np.mean(found) - 0.75) < 0.02
+
+
 def test_order_counts():
     words = BASE.split()
     turned = " ".join(words[60:] + words[:60])
