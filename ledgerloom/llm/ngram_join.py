@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components
@@ -131,8 +131,8 @@ def _nodes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
         for elements in shingle_sets(batch.column(1), words):
             sizes.append(len(elements))
             keys.append(set_key(elements) if len(elements) else None)
-        arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "n_shingles", "node"])
+        arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), *batch.columns[2:]]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "n_shingles", "node", *batch.schema.names[2:]])
 
 
 def _signed(batches: Iterator[pa.RecordBatch], words: int, share: int) -> Iterator[pa.RecordBatch]:
@@ -329,43 +329,59 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, share: int = SHARE)
     only, are one node. A row without a doc_id takes part; it gets the component of its node, which
     is null if no other row of it has a doc_id. Further columns are ignored.
     """
-    ship(docs.sparkSession)
+    doc_id = F.when(F.col("doc_key") != _LEAST, F.col("doc_key"))
+    found = _with_least(_known(docs), words, share, "", doc_id)
+    return found.select(doc_id.alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _known(docs: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST)).alias("doc_key")
-    known = docs.select(key, F.col("text").cast("string").alias("text"))
-    schema = "doc_key bigint, n_shingles bigint, node bigint"
+    return docs.select(key, F.col("text").cast("string").alias("text"))
+
+
+def _with_least(known: DataFrame, words: int, share: int, carried: str, value: Column) -> DataFrame:
+    """Every row of ``known`` (doc_key, text, then ``carried``): doc_key, n_shingles, node, what is carried,
+    and as ``least`` the smallest ``value`` of the rows that links lead to."""
+    ship(known.sparkSession)
+    schema = f"doc_key bigint, n_shingles bigint, node bigint{carried}"
     members = stage(known.mapInArrow(lambda batches: _nodes(batches, words), schema), "members")
     solid = members.where("node is not null")
-    links = connected_components(_links(known, solid, words, share))
-    doc_id = F.when(F.col("doc_key") != _LEAST, F.col("doc_key"))
-    least = solid.groupBy("node").agg(F.min(doc_id).alias("least"))
-    reached = links.join(least, "node").groupBy("component").agg(F.min("least").alias("reached"))
+    links = connected_components(_links(known.select("doc_key", "text"), solid, words, share))
+    least = solid.groupBy("node").agg(F.min(value).alias("own"))
+    reached = links.join(least, "node").groupBy("component").agg(F.min("own").alias("reached"))
     moved = links.join(reached, "component").select(F.col("node").alias("linked"), "reached")
     named = least.join(moved, F.col("node") == F.col("linked"), "left").select(
-        F.col("node").alias("of"), F.coalesce("reached", "least").alias("component_id")
+        F.col("node").alias("of"), F.coalesce("reached", "own").alias("least")
     )
-    found = solid.join(named, F.col("node") == F.col("of"))
-    alone = members.where("node is null").select("*", doc_id.alias("component_id"))
-    columns = [doc_id.alias("doc_id"), F.col("n_shingles"), F.col("component_id")]
-    return found.select(*columns).unionByName(alone.select(*columns))
+    found = solid.join(named, F.col("node") == F.col("of")).drop("of")
+    return found.unionByName(members.where("node is null").withColumn("least", value))
 
 
 def one_of_each_group(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """The rows of ``docs`` without linked ones: of each component that with the smallest doc_id stays.
 
+    Where a doc_id has several texts, each is decided by itself; of those in one component one stays.
     Of rows that repeat a doc_id and its text one stays; rows without a doc_id all stay. Only
     documents that may go are shuffled, as a filter of fixed size tells.
     """
-    found = stage(jaccard_components(docs.select("doc_id", "text"), words, share).where("doc_id is not null"), "components")
-    named = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
-    doubtful = named.where("rows > 1 or component_id <> doc_id")
-    bits = docs.sparkSession.sparkContext.broadcast(filter_words(doubtful, "doc_id"))
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    known = _known(docs.select("doc_id", "text")).withColumn("text_hash", text_hash)
+    row = F.struct("doc_key", "text_hash")
+    marked = _with_least(known, words, share, ", text_hash bigint", F.when(F.col("doc_key") != _LEAST, row))
+    marked = marked.where(F.col("doc_key") != _LEAST).select("doc_key", "text_hash", (F.col("least") == row).alias("stays"))
+    found = stage(marked, "components")
+    named = found.groupBy("doc_key", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("stays").alias("stays"))
+    doubtful = named.where("rows > 1 or not stays").select(F.xxhash64("doc_key", "text_hash").alias("row"))
+    bits = docs.sparkSession.sparkContext.broadcast(filter_words(doubtful, "row"))
 
     @F.pandas_udf("boolean")
     def may_go(hashed: pd.Series) -> pd.Series:
         return pd.Series(may_hold(bits.value, hashed.to_numpy().view(np.uint64)))
 
-    doubted = may_go(F.xxhash64(F.col("doc_id").cast("bigint")))
-    kept = named.where("component_id = doc_id").select("doc_id")
-    looked_up = docs.where("doc_id is not null").where(doubted).join(kept, "doc_id", "left_semi")
+    doc_key = F.col("doc_id").cast("bigint")
+    doubted = may_go(F.xxhash64(F.xxhash64(doc_key, text_hash)))
+    kept = named.where("stays").select(F.col("doc_key").alias("_kept_key"), F.col("text_hash").alias("_kept_text"))
+    same = (doc_key == kept["_kept_key"]) & (text_hash == kept["_kept_text"])
+    looked_up = docs.where("doc_id is not null").where(doubted).join(kept, same, "left_semi")
     sure = docs.where(F.col("doc_id").isNull() | ~doubted)
     return sure.unionByName(looked_up.dropDuplicates(["doc_id", "text"]))

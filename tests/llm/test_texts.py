@@ -136,6 +136,18 @@ def test_stage_finds_near_copies_of_similarity_80_to_85(spark):
     assert _sorted(tuple(r) for r in found) == _sorted(brute.components(rows))
 
 
+def test_texts_of_one_doc_id_are_decided_by_themselves(spark):
+    text = [prose(70 + i, 120) for i in range(7)]
+    near = [t.rsplit(" ", 2)[0] + " other end" for t in text]
+    rows = [(1, text[0]), (5, near[0]), (5, text[1]), (5, None), (5, ""), (8, text[2]), (8, text[2])]
+    rows += [(10, text[3]), (10, text[4]), (12, near[3]), (13, near[4]), (14, text[5]), (14, near[5]), (15, text[6].upper()), (15, text[6])]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    left = Counter(tuple(r) for r in ngram_join.one_of_each_group(df).collect())
+    sure = Counter([(1, text[0]), (5, text[1]), (5, None), (5, ""), (8, text[2]), (10, text[3]), (10, text[4])])
+    assert {row: n for row, n in left.items() if row[0] < 14} == sure
+    assert [sum(n for (i, _), n in left.items() if i == doc_id) for doc_id in (14, 15)] == [1, 1]
+
+
 def test_no_documents(nothing):
     assert ngram_join.jaccard_components(nothing).collect() == []
     assert ngram_join.one_of_each_group(nothing).collect() == []
