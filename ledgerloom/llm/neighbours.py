@@ -3,8 +3,9 @@
 A table hashes a vector by the slots in which ``FUNCTIONS`` random projections fall. Neighbours of a
 query fall near its projections by a known law, so the probability that one lies in a cell is known,
 and a query visits the cells in the order of that probability until they add up to the wanted
-success. Slot width and that law come from a bounded sample; every vector is indexed. What the tables
-find is compared exactly and merged.
+success. Slot width and that law come from a bounded sample; every vector of a length with a law is
+indexed. Queries of other lengths, of which the sample has too few, are compared with all vectors.
+What the tables find is compared exactly and merged.
 """
 
 from __future__ import annotations
@@ -77,7 +78,9 @@ def _vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _indexed(batches: Iterator[pa.RecordBatch], laws: dict[int, float]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, vectors in _vectors(batch.column(1)):
-            law = _Law(laws.get(vectors.shape[1], 1.0), vectors.shape[1])
+            if vectors.shape[1] not in laws:
+                continue
+            law = _Law(laws[vectors.shape[1]], vectors.shape[1])
             own = batch.take(pa.array(rows))
             for table in range(TABLES):
                 cells = np.floor(law.slots(vectors, table)).astype(np.int64)
@@ -102,7 +105,9 @@ def visits(places: np.ndarray, success: float) -> np.ndarray:
 def _probes(batches: Iterator[pa.RecordBatch], laws: dict[int, float], success: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, vectors in _vectors(batch.column(1)):
-            law = _Law(laws.get(vectors.shape[1], 1.0), vectors.shape[1])
+            if vectors.shape[1] not in laws:
+                continue
+            law = _Law(laws[vectors.shape[1]], vectors.shape[1])
             at, groups, cells = [], [], []
             for table in range(TABLES):
                 for row, places in zip(rows.tolist(), law.slots(vectors, table)):
@@ -166,16 +171,21 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _learn(vectors: DataFrame, k: int) -> dict[int, float]:
-    """For each length of vectors the distance within which neighbours lie, from the sample."""
+    """For each length of vectors the distance within which neighbours lie, from the sample.
+
+    Lengths of which the sample has no ``k`` neighbours of a vector have none.
+    """
     rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
     laws = {}
     for length in {len(r[0]) for r in rows}:
         x = np.array([r[0] for r in rows if len(r[0]) == length], np.float64)
+        if len(x) <= k:
+            continue
         squares = (x**2).sum(1)
         apart = np.maximum(squares[:, None] + squares - 2 * x @ x.T, 0)
         np.fill_diagonal(apart, np.inf)
-        nearest = np.sort(apart, axis=1)[:, min(k, max(len(x) - 1, 1)) - 1]
-        radius = float(np.sqrt(np.quantile(nearest, 0.9))) if len(x) > 1 else 0.0
+        nearest = np.sort(apart, axis=1)[:, k - 1]
+        radius = float(np.sqrt(np.quantile(nearest, 0.9)))
         laws[length] = radius if 0 < radius < float("inf") else 1.0
     return laws
 
@@ -210,7 +220,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, succes
     without an id and vectors that are null, zero, empty or hold a null or non-finite number take
     no part; only vectors of the same length are compared. Rows that share a vec_id are one
     candidate and one query at several places, of which the nearest counts. A query that finds fewer
-    than ``k`` is compared with all vectors, so it has fewer only if there are no more. Further
+    than ``k`` or whose length is rare is compared with all vectors, so it has fewer only if there are no more. Further
     columns are ignored; a table without queries gives no rows.
 
     Returns query_id, rank (from 1), vec_id, score.
@@ -223,8 +233,11 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, succes
     asked = _usable(vectors.where(is_query)).toDF("query_id", "query")
     probes = stage(asked.mapInArrow(lambda batches: _probes(batches, laws, success), _probe_schema(usable)), "probes")
     found = stage(_best(_meet(index, probes, sizes, k), k), "found")
-    # Queries that came to sparse cells, or all of them where there are few vectors.
+    # Queries that came to sparse cells, those of a length without a law, or all of them where there
+    # are few vectors.
     enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+    lawless = asked.where(~F.size("query").isin(list(laws))).select("query_id")
+    enough = enough.join(lawless, "query_id", "left_anti")
     short = stage(asked.join(enough, "query_id", "left_anti"), "short")
     if short.isEmpty():
         return found.select("query_id", "rank", "vec_id", "score")

@@ -65,6 +65,25 @@ def test_many_equal_vectors_in_small_blocks(spark, monkeypatch):
         assert [v for _, v, _ in got] == [i for i in range(7) if i != q][:5] and {s for *_, s in got} == {0.0}
 
 
+@pytest.mark.parametrize("sample", [20, 200])
+def test_rare_lengths_are_compared_exactly(spark, monkeypatch, sample):
+    """Vectors of a length that the sample lacks, or has few of, of a scale above a slot of 1."""
+    monkeypatch.setattr(neighbours, "SAMPLE", sample)
+    random_ = np.random.default_rng(3)
+    rows = [(i, random_.standard_normal(8).tolist()) for i in range(4000)]
+    rare = [(10_000 + i, (random_.standard_normal(6) * 3).tolist()) for i in range(150)]
+    # An id with vectors of both lengths is a query at both places.
+    rare.append((0, rare[0][1]))
+    found = {}
+    df = spark.createDataFrame(rows + rare, SCHEMA)
+    for r in nearest_neighbours(df, (F.col("vec_id") >= 10_000) | (F.col("vec_id") == 0), k=5).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    assert set(found) == {i for i, _ in rare}
+    for i, v in rare[:-1]:
+        wanted = _brute(rare, i, np.array(v, np.float32).astype(float), 5)
+        assert [j for _, _, j in sorted(found[i])] == [j for _, j in wanted]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])]])
 def test_too_few_vectors(spark, rows):
     assert nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect() == []
