@@ -51,6 +51,8 @@ class ByteBpe:
         special = {_END_OF_TEXT: _END_OF_TEXT_ID}
         pattern = public_tokenizers.PATTERN
         self._ranks = tiktoken.Encoding(vocabulary, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        #: The bytes of every id but that of the special token.
+        self.token_bytes = dict(sorted((rank, token) for token, rank in ranks.items()))
 
     @cached_property
     def _exact(self) -> Tokenizer:
@@ -60,6 +62,20 @@ class ByteBpe:
         tokenizer.no_padding()
         return tokenizer
 
+    @cached_property
+    def _exact_plain(self) -> Tokenizer:
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{self._vocabulary}.json"))
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    def plain_ids(self, text: str) -> np.ndarray:
+        """Ids where the strings of special tokens are text like any other."""
+        if _SETTLED.fullmatch(text):
+            return self._ranks.encode_to_numpy(text, disallowed_special=())
+        return np.array(self._exact_plain.encode(text, add_special_tokens=False).ids, "<u4")
+
     def ids(self, text: str) -> np.ndarray:
         if _SETTLED.fullmatch(text):
             return self._ranks.encode_to_numpy(text, allowed_special="all")

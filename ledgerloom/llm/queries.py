@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.alignment import alignment_statistics
 from ledgerloom.llm.bpe import encode_and_decode
 from ledgerloom.llm.chat import format_conversations, read_loss, read_turns
 from ledgerloom.llm.language import identify_languages
@@ -16,6 +17,7 @@ from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.quality import score_quality
 from ledgerloom.llm.sharding import kd_shards
 from ledgerloom.llm.syncmers import fingerprints
+from ledgerloom.llm.token_files import read_token_files, write_token_files
 from ledgerloom.llm.warc import base32_of_hex, read_archives, write_archives
 from ledgerloom.session import fresh_path
 
@@ -101,6 +103,16 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_statistics(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), folder)
+    return read_token_files(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -113,6 +125,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_kd_sharding": op10_kd_sharding,
+        "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+        "op13_token_files": op13_token_files,
     }
 
 

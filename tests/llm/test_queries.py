@@ -27,7 +27,7 @@ def _run(spark, name):
 def test_all_are_registered():
     names = {*queries.queries(), "pipeline"}
     assert names == {n for n in entry.queries() if n[:2] == "op" and n[2].isdigit()} | {"pipeline"}
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
