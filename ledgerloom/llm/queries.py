@@ -19,6 +19,7 @@ from ledgerloom.llm.sharding import kd_shards
 from ledgerloom.llm.syncmers import fingerprints
 from ledgerloom.llm.token_files import read_token_files, write_token_files
 from ledgerloom.llm.warc import base32_of_hex, read_archives, write_archives
+from ledgerloom.llm.whitening import whiten
 from ledgerloom.session import fresh_path
 
 #: What both turns of the added conversation say: text like the marks of templates.
@@ -103,6 +104,10 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_statistics(_table(spark, sf_dir, "documents"))
 
@@ -125,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_kd_sharding": op10_kd_sharding,
+        "op11_embedding_whitening": op11_embedding_whitening,
         "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
         "op13_token_files": op13_token_files,
     }
