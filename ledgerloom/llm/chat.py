@@ -12,13 +12,15 @@ undone one after the other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, HEAD_END, BETWEEN, CLOSE = "<turn:", ">\n", "<and>", "</turn>\n"
 # In this order; undone backwards.
 _ESCAPES = (("\\", "\\b"), ("<", "\\l"), (">", "\\g"))
 LEARNT = "assistant"
+# Code points of a chunk of a formatted conversation that is read back.
+_CHUNK = 1024
 
 
 def escape(text: Column) -> Column:
@@ -39,52 +41,42 @@ def format_conversations(turns: DataFrame, learnt: str = LEARNT) -> DataFrame:
     ``turns`` has conv_id, turn, role, text; further columns are ignored. Turns are ordered by turn,
     then role, then text, null turns first; repeated rows stay. Null roles and texts are empty; rows
     without a conv_id form one conversation. A conversation is one output row and so one task's; it
-    may have any number of turns that fits a row.
+    may have any number of turns that fits a row, and takes time in proportion to them.
+
+    Which turns open and close a block, and where each begins, is told by their neighbours in order;
+    then the turns are collected as structs, sorted, merged and joined.
     """
-    row = F.struct(
-        F.col("turn"),
-        F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
-    collected = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
-    turn = F.col("turns")
-    last = F.size(turn) - 1
-
-    def role_at(i: Column) -> Column:
-        return F.get(turn, i)["role"]
-
-    def piece(t: Column, i: Column) -> Column:
-        opens = F.coalesce(role_at(i - 1) != t["role"], F.lit(True))
-        closes = (i == last) | (role_at(i + 1) != t["role"])
-        head = F.when(opens, F.concat(F.lit(OPEN), escape(t["role"]), F.lit(HEAD_END))).otherwise(F.lit(BETWEEN))
-        return F.struct(
-            head.alias("head"),
-            escape(t["text"]).alias("body"),
-            F.when(closes, F.lit(CLOSE)).otherwise(F.lit("")).alias("tail"),
-            (t["role"] == learnt).alias("learnt"),
-        )
-
-    merged = collected.select("conv_id", F.transform(turn, piece).alias("pieces"))
-    joined = F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"]))
-    lengths = F.transform("pieces", lambda p: F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"]))
-    starts = F.aggregate(
-        lengths,
-        F.array(F.lit(0).cast("bigint")),
-        lambda ends, n: F.array_append(ends, F.element_at(ends, -1) + n),
+    role, text = (F.coalesce(F.col(name), F.lit("")).alias(name) for name in ("role", "text"))
+    known = turns.select("conv_id", "turn", role, text)
+    ordered = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    opens = ~F.lag("role").over(ordered).eqNullSafe(F.col("role"))
+    closes = ~F.lead("role").over(ordered).eqNullSafe(F.col("role"))
+    pieces = known.select(
+        "conv_id",
+        F.row_number().over(ordered).alias("number"),
+        F.when(opens, F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(HEAD_END))).otherwise(F.lit(BETWEEN)).alias("head"),
+        escape(F.col("text")).alias("body"),
+        F.when(closes, F.lit(CLOSE)).otherwise(F.lit("")).alias("tail"),
+        (F.col("role") == learnt).alias("learnt"),
     )
-    placed = merged.select(
-        "conv_id", "pieces", F.array_join(joined, "").alias("formatted"), starts.alias("starts")
+    length = lambda name: F.length(name).cast("bigint")
+    before = Window.partitionBy("conv_id").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(length("head") + length("body") + length("tail")).over(before), F.lit(0))
+    placed = pieces.select(
+        "conv_id",
+        F.struct(
+            "number",
+            F.concat("head", "body", "tail").alias("piece"),
+            F.struct((start + length("head")).alias("start"), length("body").alias("length")).alias("span"),
+            "learnt",
+        ).alias("placed"),
     )
-    spans = F.transform(
-        "pieces",
-        lambda p, i: F.struct(
-            (F.get("starts", i) + F.length(p["head"])).alias("start"),
-            F.length(p["body"]).cast("bigint").alias("length"),
-            p["learnt"].alias("learnt"),
-        ),
+    collected = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("placed")).alias("placed"))
+    return collected.select(
+        "conv_id",
+        F.array_join(F.col("placed.piece"), "").alias("formatted"),
+        F.transform(F.filter("placed", lambda p: p["learnt"]), lambda p: p["span"]).alias("loss"),
     )
-    loss = F.transform(F.filter(spans, lambda s: s["learnt"]), lambda s: F.struct(s["start"], s["length"]))
-    return placed.select("conv_id", "formatted", loss.alias("loss"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -103,6 +95,19 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, loss: Column) -> Column:
-    """The texts under the loss mask."""
-    cut = lambda s: F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
-    return F.transform(loss, lambda s: unescape(cut(s)))
+    """The texts under the loss mask.
+
+    The conversation is cut into chunks once, so that a span far from its start is not searched for
+    from there.
+    """
+    chunks = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+    def text_of(held: Column, span: Column) -> Column:
+        first = F.floor(span["start"] / _CHUNK).cast("int")
+        last = F.floor((span["start"] + span["length"]) / _CHUNK).cast("int")
+        near = F.array_join(F.slice(held, first + 1, last - first + 1), "")
+        return unescape(F.substring(near, (span["start"] % _CHUNK + 1).cast("int"), span["length"].cast("int")))
+
+    # As the element of an array the chunks are worked out once, and not again for every span.
+    texts = F.transform(F.array(chunks), lambda held: F.transform(loss, lambda span: text_of(held, span)))
+    return F.element_at(texts, 1)
