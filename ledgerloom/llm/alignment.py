@@ -15,6 +15,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
+from operator import add
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +33,7 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k", "piece_bpe_32k"
 #: Pairs of ids that are broadcast with their counts, 16 bytes each.
 FREQUENT_PAIRS = 1 << 21
 #: Windows that a worker remembers from one block of texts to the next.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 # Bytes of text that are aligned at once, and pairs that are counted at once.
 _BLOCK, _COUNTED = 2 << 20, 1 << 22
 _SPACE = ord(" ")
@@ -54,30 +55,53 @@ class _Pieces:
         return bytes([int(piece[3:5], 16)]) if self._model.is_byte(i) else piece.replace("▁", " ").encode()
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self._model.encode(text, num_threads=1), np.uint32)
+        return self._model.encode_as_numpy(text, num_threads=1).astype(np.uint32)
 
 
 def align_window(a: list[int], b: list[int], bytes_a: list[int], bytes_b: list[int]):
     """Groups, as text, and links of tokens that cover the same bytes; both have one token at least.
 
-    ``bytes_a`` and ``bytes_b`` are the lengths of all ids. Links are all pairs that share a byte.
+    ``bytes_a`` and ``bytes_b`` are the lengths of all ids. Links are all pairs that share a byte,
+    each as the number ``x * len(bytes_b) + y``.
     """
-    groups, links = [], []
-    i = j = from_a = from_b = 0
-    end_a, end_b = bytes_a[a[0]], bytes_b[b[0]]
-    while True:
-        links.append((a[i], b[j]))
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        i, j = i + step_a, j + step_b
-        if step_a and step_b:
-            groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-            from_a, from_b = i, j
-            if i == len(a):
-                return groups, links
-        if step_a:
-            end_a += bytes_a[a[i]]
-        if step_b:
-            end_b += bytes_b[b[j]]
+    groups, links, size_b = [], [], len(bytes_b)
+    i = j = 0
+    while i < len(a):
+        x, y = a[i], b[j]
+        i, j = i + 1, j + 1
+        links.append(x * size_b + y)
+        # Bytes by which the first's tokens are ahead of the second's.
+        ahead = bytes_a[x] - bytes_b[y]
+        if not ahead:
+            groups.append(f"{x}|{y}")
+            continue
+        of_a, of_b = f"{x}", f"{y}"
+        while ahead:
+            if ahead < 0:
+                x, i = a[i], i + 1
+                ahead += bytes_a[x]
+                of_a += f",{x}"
+            else:
+                y, j = b[j], j + 1
+                ahead -= bytes_b[y]
+                of_b += f",{y}"
+            links.append(x * size_b + y)
+        groups.append(f"{of_a}|{of_b}")
+    return groups, links
+
+
+def _flat(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens in a row, where each begins and how long it is."""
+    lengths = np.array([len(t) for t in tokens])
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def _covers(ids: np.ndarray, flat, data: np.ndarray) -> np.ndarray:
+    """At which bytes of ``data`` the tokens, which are as long in all, have another one."""
+    values, starts, lengths = flat
+    sizes = lengths[ids]
+    ends = np.cumsum(sizes)
+    return values[np.repeat((starts[ids] - (ends - sizes)).astype(np.int32), sizes) + np.arange(len(data), dtype=np.int32)] != data
 
 
 class Aligner:
@@ -85,12 +109,10 @@ class Aligner:
 
     def __init__(self, first: ByteBpe, second: _Pieces) -> None:
         self._first, self._second = first, second
-        self._bytes_a, self._bytes_b = first.token_bytes, second.token_bytes
-        self._sizes_a = [0] * (max(self._bytes_a) + 1)
-        for i, token in self._bytes_a.items():
-            self._sizes_a[i] = len(token)
-        self._sizes_b = [len(token) for token in self._bytes_b]
-        self._lengths_a, self._lengths_b = np.array(self._sizes_a), np.array(self._sizes_b)
+        tokens_a = [first.token_bytes.get(i, b"") for i in range(max(first.token_bytes) + 1)]
+        self._flat_a, self._flat_b = _flat(tokens_a), _flat(second.token_bytes)
+        self._lengths_a, self._lengths_b = self._flat_a[2], self._flat_b[2]
+        self._sizes_a, self._sizes_b = self._lengths_a.tolist(), self._lengths_b.tolist()
         self.size_b = len(self._sizes_b)
         self._forget()
 
@@ -106,19 +128,27 @@ class Aligner:
         self._groups.append(len(groups))
         self._links.append(len(links))
         self._starts.append(len(self._codes))
-        self._codes.extend(x * self.size_b + y for x, y in links)
+        self._codes.extend(links)
         self._windows[key] = number = len(self._windows)
         return number
 
-    def _tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray, bytes] | None:
-        """Ids of both and the bytes that they cover, or None where those are not the text's."""
-        if not text:
-            return None
-        data = b" " + text.encode()
-        a, b = self._first.plain_ids(" " + text), self._second.ids(text)
-        if b"".join(map(self._bytes_b.__getitem__, b.tolist())) != data:
-            return None
-        return (a, b, data) if b"".join(map(self._bytes_a.__getitem__, a.tolist())) == data else None
+    def _tokens(self, texts: list[str | None]) -> list[tuple[int, np.ndarray, np.ndarray, bytes]]:
+        """Of the texts that both give back byte by byte: place, ids of both and the bytes."""
+        found = []
+        for at, text in enumerate(texts):
+            if text:
+                data = b" " + text.encode()
+                a, b = self._first.plain_ids(" " + text), self._second.ids(text)
+                if self._lengths_a[a].sum() == len(data) == self._lengths_b[b].sum():
+                    found.append((at, a, b, data))
+        if not found:
+            return []
+        data = np.frombuffer(b"".join(f[3] for f in found), np.uint8)
+        other = _covers(np.concatenate([f[1] for f in found]), self._flat_a, data)
+        other |= _covers(np.concatenate([f[2] for f in found]), self._flat_b, data)
+        ends = np.cumsum([len(f[3]) for f in found])
+        wrong = np.diff(np.r_[0, np.r_[0, np.cumsum(other)][ends]])
+        return [f for f, n in zip(found, wrong.tolist()) if not n]
 
     def align(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """For each text (n_a, n_b, n_groups, n_links, groups_sha256), and the pairs linked in them.
@@ -128,16 +158,16 @@ class Aligner:
         """
         if len(self._windows) > REMEMBERED:
             self._forget()
-        found = [self._tokens(text) for text in texts]
         rows: list[tuple] = [(0, 0, 0, 0, "")] * len(texts)
-        at = [i for i, tokens in enumerate(found) if tokens]
-        if not at:
+        found = self._tokens(texts)
+        if not found:
             return rows, *(np.empty(0, np.int64),) * 3
-        a = np.concatenate([found[i][0] for i in at]).astype(np.uint32)
-        b = np.concatenate([found[i][1] for i in at])
-        data = np.frombuffer(b"".join(found[i][2] for i in at), np.uint8)
+        at = [f[0] for f in found]
+        a = np.concatenate([f[1] for f in found]).astype(np.uint32)
+        b = np.concatenate([f[2] for f in found])
+        data = np.frombuffer(b"".join(f[3] for f in found), np.uint8)
         ends_a, ends_b = np.cumsum(self._lengths_a[a]), np.cumsum(self._lengths_b[b])
-        document_ends = np.cumsum([len(found[i][2]) for i in at])
+        document_ends = np.cumsum([len(f[3]) for f in found])
         # A byte is an anchor where tokens of both end and the next ones have the space that follows;
         # the first byte of a text is its own space.
         of_a, of_b = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
@@ -178,15 +208,16 @@ class Aligner:
         stops_b = (4 * np.r_[0, np.searchsorted(ends_b, cuts) + 1]).tolist()
         # Ids of the second are marked, so that a window's bytes tell where they begin.
         data_a, data_b = a.tobytes(), (b | _B_MARK).tobytes()
-        keys = [data_a[p:q] + data_b[r:s] for (p, q), (r, s) in zip(pairwise(stops_a), pairwise(stops_b))]
-        get, numbers = self._windows.get, []
-        for k, key in enumerate(keys):
-            number = get(key)
-            if number is None:
-                own_a = a[stops_a[k] // 4 : stops_a[k + 1] // 4].tolist()
-                own_b = b[stops_b[k] // 4 : stops_b[k + 1] // 4].tolist()
-                number = self._learn(key, own_a, own_b)
-            numbers.append(number)
+        own_a = map(data_a.__getitem__, map(slice, stops_a, stops_a[1:]))
+        own_b = map(data_b.__getitem__, map(slice, stops_b, stops_b[1:]))
+        keys = list(map(add, own_a, own_b))
+        numbers = list(map(self._windows.get, keys))
+        ids_a, ids_b = a.tolist(), b.tolist()
+        for k in [k for k, number in enumerate(numbers) if number is None]:
+            if (number := self._windows.get(keys[k])) is None:
+                (p, q), (r, s) = stops_a[k : k + 2], stops_b[k : k + 2]
+                number = self._learn(keys[k], ids_a[p // 4 : q // 4], ids_b[r // 4 : s // 4])
+            numbers[k] = number
         return np.array(numbers, np.int64)
 
 
