@@ -21,10 +21,14 @@ from ledgerloom.operators.aggregate import complaints_by_year
 from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import substring_join
 from ledgerloom.plans.consolidate import INPUTS, RESULT, REVIEWS, consolidate, consolidate_tables
+from ledgerloom.plans.ledger import load_once
 from ledgerloom.plans.load import load_files, load_frame
+from ledgerloom.plans.refresh import consolidate_refresh
 from ledgerloom.session import fresh_path, stage
+from ledgerloom.sinks.key_index import files_that_may_hold
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder, with_lineage
+from ledgerloom.sources.splitting import read_split
 from ledgerloom.sources.tables import catalogue_folder, read_tables
 from ledgerloom.streaming.incremental import load_new_files
 
@@ -545,6 +549,76 @@ def _consolidate_tables(spark, sf_dir):
     return _rounded_index(spark.table(f"{schema}.{RESULT}").drop("id", "created_at", "updated_at"))
 
 
+def _append_key_index(spark, sf_dir):
+    """Appends that open the files which may hold one of their keys: none for new ids beyond the old ones."""
+    target = f"{_fresh_schema(spark, 'indexed')}.saldos"
+    keyed = lambda table, key, name, shift: _table(spark, sf_dir, table).select(
+        (F.col(key) + shift).alias("id"), F.col(name).alias("nome")
+    )
+    load_frame(keyed("customer", "c_custkey", "c_name", 0), target, indexed=True)
+    for shift in (10**9, 2 * 10**9):
+        load_frame(keyed("supplier", "s_suppkey", "s_name", shift), target, indexed=True)
+    # Ids between those that are held, which no range leaves out.
+    load_frame(_table(spark, sf_dir, "part").select((F.col("p_partkey") + 5 * 10**8).alias("id"), F.col("p_name").alias("nome")), target, indexed=True)
+    beyond = keyed("supplier", "s_suppkey", "s_name", 3 * 10**9)
+    opened = len(files_that_may_hold(beyond, target, ["id"]))
+    return spark.table(target).select("id", "nome", F.lit(opened).alias("opened"))
+
+
+def _load_ledger(spark, sf_dir):
+    """A load called twice without a time: every row once, and the states that it went through."""
+    schema = _fresh_schema(spark, "ledger")
+    path = _write_csv(_raw_customers(spark, sf_dir), fresh_path(spark, "clientes"))
+    for _ in range(2):
+        load_once(spark, path, f"{schema}.clientes", types=_RAW_TYPES)
+    rows = spark.table(f"{schema}.clientes").select(F.lit("row").alias("kind"), "id", "customer_name")
+    states = spark.table(f"{schema}.load_ledger").groupBy(F.col("state").alias("kind")).agg(checks.row_count().alias("id"))
+    return rows.unionByName(states.withColumn("customer_name", F.lit(None).cast("string")))
+
+
+def _consolidate_refresh(spark, sf_dir):
+    """Complaints loaded in three parts, of which the last has late rows, and the result brought up to date by each."""
+    schema = _fresh_schema(spark, "refreshed")
+    for name, df in zip(INPUTS[1:], (_banks(spark, sf_dir), _employees(spark, sf_dir))):
+        load_frame(df, f"{schema}.{name}")
+    complaints = stage(_complaints(spark, sf_dir), "complaints")
+    first, last = complaints.agg(F.min("ano"), F.max("ano")).first()
+    late = (F.col("ano") == first) & (F.col("trimestre") > 2)
+    for part in ((F.col("ano") < last) & ~late, F.col("ano") == last, late):
+        load_frame(complaints.where(part), f"{schema}.{INPUTS[0]}")
+        consolidate_refresh(spark, schema)
+    return _rounded_index(spark.table(f"{schema}.{RESULT}").drop("id", "created_at", "updated_at"))
+
+
+def _csv_multiline_split(spark, sf_dir):
+    """Texts with line breaks, read by a task for every so many bytes."""
+    path = _write_csv(_table(spark, sf_dir, "documents"), fresh_path(spark, "split"))
+    return read_split(spark, path, types={"doc_id": "bigint", "n_chars": "bigint"}, range_bytes=4 * 1024 * 1024)
+
+
+def _separator_vote(spark, sf_dir):
+    """The separator as the fields of the first lines tell it, where names and texts hold other separators."""
+    parts = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("key, of; the | part,,"), F.concat("p_brand", F.lit(",;|\t,,;;"), "p_name").alias("brand;and,name")
+    )
+    scans = []
+    for number, sep in enumerate((",", ";", "\t", "|")):
+        path = fresh_path(spark, "voted")
+        parts.write.option("header", True).option("sep", sep).option("quoteAll", True).option("escape", '"').csv(path)
+        read = read_delimited(spark, path, "vote").toDF("p_partkey", "label")
+        scans.append(read.select(F.lit(number).alias("variant"), F.col("p_partkey").cast("bigint").alias("p_partkey"), "label"))
+    return scans[0].unionByName(scans[1]).unionByName(scans[2]).unionByName(scans[3])
+
+
+def _load_sample(spark, sf_dir):
+    """The five rows of the target that a load shows."""
+    target = f"{_fresh_schema(spark, 'sample')}.regioes"
+    regions = _table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), "r_name")
+    shown = load_frame(regions, target).frame(spark)
+    rows = shown.select(F.explode(F.from_json("sample", "array<struct<id bigint, r_name string>>")).alias("row"))
+    return rows.select("row.*")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The consolidated table on the smallest test data."""
     return _consolidate(spark, "/root/testdata/sf0.001")
@@ -611,6 +685,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "substring_join_all_words": _substring_join_all_words,
         "catalogue_refresh": _catalogue_refresh,
         "consolidate_tables": _consolidate_tables,
+        "append_key_index": _append_key_index,
+        "load_ledger": _load_ledger,
+        "consolidate_refresh": _consolidate_refresh,
+        "csv_multiline_split": _csv_multiline_split,
+        "separator_vote": _separator_vote,
+        "load_sample": _load_sample,
     }
 
 
@@ -787,4 +867,18 @@ from docs left join needles on contains(texto, palavra) group by 1""",
         "catalogue_refresh": """
 select 'orders' as table_name, count(*) as n from orders union all select 'my_customers', count(*) from customer""",
         "consolidate_tables": _BANK_SQL + "select * exclude (nome) from result",
+        "append_key_index": """
+select c_custkey as id, c_name as nome, 0::int as opened from customer
+union all select s_suppkey + 1000000000, s_name, 0 from supplier
+union all select s_suppkey + 2000000000, s_name, 0 from supplier
+union all select p_partkey + 500000000, p_name, 0 from part""",
+        "load_ledger": """
+select 'row' as kind, c_custkey as id, c_name as customer_name from customer where c_acctbal >= 0
+union all select 'begun', 1, null union all select 'written', 1, null union all select 'verified', 1, null""",
+        "consolidate_refresh": _BANK_SQL + "select * exclude (nome) from result",
+        "csv_multiline_split": "select * from documents",
+        "separator_vote": """
+select variant::int as variant, p_partkey, p_brand || ',;|' || chr(9) || ',,;;' || p_name as label
+from part, range(4) as variants(variant)""",
+        "load_sample": "select r_regionkey as id, r_name from region",
     }

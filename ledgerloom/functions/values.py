@@ -54,10 +54,47 @@ def separator_of_path(path: Column) -> Column:
     )
 
 
+#: Separators that a content may tell, the preferred one first.
+SEPARATORS = (",", ";", "\t", "|")
+
+
 def separator_of_header(line: Column) -> Column:
     """Separator that occurs most often in a header line; comma wins a draw."""
     counted = [
         F.struct(F.regexp_count(line, F.lit(pattern)).alias("n"), F.lit(-rank).alias("rank"), F.lit(sep).alias("sep"))
-        for rank, (sep, pattern) in enumerate([(",", ","), (";", ";"), ("\t", "\t"), ("|", "[|]")])
+        for rank, (sep, pattern) in enumerate(zip(SEPARATORS, [",", ";", "\t", "[|]"]))
     ]
     return F.array_max(F.array(*counted))["sep"]
+
+
+def separator_of_lines(lines: Column) -> Column:
+    """Separator of the first lines of a file, an array: that which gives all of them as many fields.
+
+    What stands in quotes does not count, over line breaks too, and neither does a line that is cut
+    off within quotes. The separator with which most lines have as many fields as the first one wins,
+    then that of more fields; comma wins a draw, and where no separator is in the first line.
+    """
+    text = F.array_join(lines, "\n")
+    # Doubled quotes close and open again, so they need no rule of their own.
+    unquoted = F.regexp_replace(text, '"[^"]*"', "")
+    split = F.split(F.substring_index(unquoted, '"', 1), "\r?\n")
+    cut_off = F.contains(unquoted, F.lit('"')) & (F.size(split) > 1)
+    rows = F.filter(F.when(cut_off, F.slice(split, 1, F.size(split) - 1)).otherwise(split), lambda row: F.trim(row) != "")
+
+    def vote(held: Column, rank: int, sep: str) -> Column:
+        counts = F.transform(held, lambda row: F.length(row) - F.length(F.replace(row, F.lit(sep), F.lit(""))))
+        agreeing = F.transform(
+            F.array(counts),
+            lambda own: F.struct(
+                (F.get(own, F.lit(0)) > 0).alias("found"),
+                F.size(F.filter(own, lambda n: n == F.get(own, F.lit(0)))).alias("agreeing"),
+                F.get(own, F.lit(0)).alias("fields"),
+                F.lit(-rank).alias("rank"),
+                F.lit(sep).alias("sep"),
+            ),
+        )
+        return F.get(agreeing, F.lit(0))
+
+    votes = F.transform(F.array(rows), lambda held: F.array_max(F.array(*[vote(held, i, sep) for i, sep in enumerate(SEPARATORS)])))
+    won = F.get(votes, F.lit(0))
+    return F.when(won["found"], won["sep"]).otherwise(SEPARATORS[0])

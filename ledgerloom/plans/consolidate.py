@@ -28,7 +28,11 @@ def consolidate(complaints: DataFrame, banks: DataFrame, employees: DataFrame, b
     """
     # Aggregated first and staged: both the names to match and the joins start from this table,
     # and the complaints themselves are read once.
-    yearly = stage(complaints_by_year(complaints), "yearly")
+    return consolidate_yearly(stage(complaints_by_year(complaints), "yearly"), banks, employees, best)
+
+
+def consolidate_yearly(yearly: DataFrame, banks: DataFrame, employees: DataFrame, best: bool = False) -> DataFrame:
+    """The consolidated rows of yearly totals, which are read several times; see ``consolidate``."""
     segments = banks.select(F.col("cnpj").alias("_bank_cnpj"), "segmento")
     reviews = employees.select("nome", *REVIEWS)
     if best:
@@ -53,6 +57,11 @@ def consolidate(complaints: DataFrame, banks: DataFrame, employees: DataFrame, b
     )
 
 
+def raw_named(name: str, table: DataFrame) -> DataFrame:
+    """A table under the names that ``consolidate`` takes, also if it was loaded as declared."""
+    return table.withColumnsRenamed({declared: raw for raw, declared in RENAMES[name].items()})
+
+
 def consolidate_tables(
     spark: SparkSession,
     schema: str,
@@ -70,10 +79,7 @@ def consolidate_tables(
     """
     options.setdefault("partition_by", ("ano",))
     tables = read_tables(spark, [f"{schema}.{name}" for name in INPUTS], database, split_by)
-    inputs = [
-        table.withColumnsRenamed({declared: raw for raw, declared in RENAMES[name].items()})
-        for name, table in zip(INPUTS, tables)
-    ]
+    inputs = [raw_named(name, table) for name, table in zip(INPUTS, tables)]
     if best:
         options["unique"] = [keys for keys in UNIQUE_KEYS[RESULT] if keys != ["id"]]
     with scratch(spark):

@@ -6,6 +6,7 @@ ids, key checks and the write work on that landing, so the text is never parsed
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, fields
 from datetime import datetime
 
@@ -30,6 +31,7 @@ from ledgerloom.operators.columns import (
 from ledgerloom.operators.ids import next_id, number_scan, rename_id
 from ledgerloom.schemas import RENAMES, TABLES
 from ledgerloom.session import discard, fresh_path, stage
+from ledgerloom.sinks import key_index
 from ledgerloom.sinks.tables import aligned, ensure_schema, ensure_table, is_database, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder
 
@@ -141,6 +143,8 @@ def load_frame(
     declared: str | None = None,
     rejects: str | None = None,
     partition_by: tuple[str, ...] = (),
+    indexed: bool = False,
+    on_written: Callable[[], None] | None = None,
 ) -> LoadSummary:
     """Load rows into a target table; see the module text for the steps.
 
@@ -155,6 +159,11 @@ def load_frame(
     ``at``, the time of the load, is in every row and is the key of the load. A load that was cut
     short is run again with the same ``at``: rows it has written already are verified and not
     written again, and so are its rejects, which come last.
+
+    With ``indexed`` an append to a table outside databases opens only the files that may hold one of
+    its keys, as the index beside the table tells (``sinks.key_index``); ids are numbered on from the
+    index, and what was written is verified in the new files. ``on_written`` is called when the rows
+    are in the target and before they are verified.
     """
     spark = df.sparkSession
     again = at is not None
@@ -184,39 +193,62 @@ def load_frame(
         resumed = not _of_load(spark.table(target), stamp, at).isEmpty()
     mode = mode or ("append" if existed else "overwrite")
     adds = existed and mode == "append"
-    held_before = spark.table(target).count() if adds else 0
+    keeps_index = indexed and not in_database
+    indexed = keeps_index and adds and not resumed
+    if indexed:
+        held_before, first_id = key_index.indexed_facts(spark, target)
+        files_before = key_index.table_files(spark, target)
+    else:
+        held_before = spark.table(target).count() if adds else 0
     if resumed:
         facts = _resumed(landed, _of_load(spark.table(target), stamp, at), target, has_id)
         held_before -= facts["rows"] if adds else 0
     else:
         for keys in [*(unique or []), *([["id"]] if has_id else [])]:
-            _assert_new_keys(landed, keys, spark.table(target) if adds else None)
-        start = next_id(spark.table(target)) if adds and not has_id else 1
+            if indexed:
+                kinds = dict(spark.table(target).dtypes)
+                typed = landed.select(*[F.col(name).cast(kinds[name.lower()]).alias(name) for name in keys])
+                key_index.assert_new_keys(typed, target, keys)
+            else:
+                _assert_new_keys(landed, keys, spark.table(target) if adds else None)
+        if indexed:
+            start = first_id
+        else:
+            start = next_id(spark.table(target)) if adds and not has_id else 1
         rows = aligned(landed if has_id else number_scan(landed, start), target)
         written = Observation("written")
         counts = [row_count().alias("rows"), checksum(columns).alias("content")]
         bounds = [F.min("id").alias("min_id"), F.max("id").alias("max_id")]
         write_table(rows.observe(written, *counts, *bounds), target, mode)
         facts = written.get
+        if on_written:
+            on_written()
         held = spark.table(target)
         if in_database:
             # The content of a database table would have to come back over its connections; its rows
             # are counted on its own side.
             verify(held, held_before + facts["rows"], None, columns)
         else:
-            if adds and stamp:
+            if indexed:
+                held = key_index.rows_of_files(spark, target, key_index.table_files(spark, target) - files_before)
+            elif adds and stamp:
                 held = _of_load(held, stamp, at)
             elif adds and has_id:
                 held = held.join(rows.select("id"), "id", "left_semi")
             elif adds:
                 held = held.where(F.col("id") >= start)
             verify(held, facts["rows"], facts["content"], columns)
+    if keeps_index:
+        key_index.update_index(spark, target, [*(unique or []), ["id"]])
     if misfits is not None:
         known = ensure_table(misfits, rejects)
         done = again and known and stamp and not _of_load(spark.table(rejects), stamp, at).isEmpty()
         if not done:
             write_table(misfits, rejects, "append")
-    own = _of_load(spark.table(target), stamp, at) if stamp and not in_database else spark.table(target)
+    if indexed:
+        own = held
+    else:
+        own = _of_load(spark.table(target), stamp, at) if stamp and not in_database else spark.table(target)
     sample = [row[0] for row in own.limit(5).select(F.to_json(F.struct("*"))).collect()]
     # After a failure the landing stays for a look at it.
     for path in (landing, fitting):

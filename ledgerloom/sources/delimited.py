@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.names import clean_name
-from ledgerloom.functions.values import separator_of_header
+from ledgerloom.functions.values import separator_of_header, separator_of_lines
 
 LINEAGE = "arquivo_origem"
 
@@ -28,6 +28,14 @@ def sniff_separator(spark: SparkSession, path: str) -> str:
     return row[0] if row else ","
 
 
+def vote_separator(spark: SparkSession, path: str, lines: int = 20) -> str:
+    """Separator of one file, told by the fields of its first lines; see ``values.separator_of_lines``."""
+    first = spark.read.text(path).where(F.trim("value") != "").limit(lines)
+    # The lines of one task, in order.
+    row = first.coalesce(1).agg(F.collect_list("value").alias("lines")).select(separator_of_lines(F.col("lines"))).first()
+    return row[0]
+
+
 def _reader(spark: SparkSession, sep: str, multi_line: bool, recursive: bool = False):
     # UTF-8, header row, quote and escape both the double quote.
     return (
@@ -84,11 +92,15 @@ def read_delimited(
     divert such rows, read the column as text and use ``conform``. Without ``types`` all types are
     inferred in a pass of its own. A header that differs fails in either case. ``multi_line`` allows line breaks inside quotes and makes each file one task, so it is off by default.
     ``recursive`` takes in the files of subfolders, which then are no partitions.
-    ``sep`` is a separator, None (told by the path) or "sniff" (told by the first line).
+    ``sep`` is a separator, None (told by the path), "sniff" (told by the first line) or "vote" (told by
+    the number of fields in the first lines). ``sources.splitting`` reads large files with line
+    breaks inside quotes by many tasks.
     """
     paths = [path] if isinstance(path, str) else path
     if sep == "sniff":
         sep = sniff_separator(spark, paths[0])
+    elif sep == "vote":
+        sep = vote_separator(spark, paths[0])
     elif sep is None:
         sep = separator_for(paths[0])
     reader = _reader(spark, sep, multi_line, recursive)
@@ -153,6 +165,11 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     return {row["path"]: row["line"] for row in rows if row["line"] is not None}
 
 
+def headers_below(spark: SparkSession, folder: str) -> set[str]:
+    """The distinct first lines of the files below a folder that tasks can open."""
+    return set(_first_lines(spark, sorted(row.path for row in file_paths(spark, folder).collect())).values())
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,
@@ -181,7 +198,8 @@ def read_folder(
         known = (line, separator_for(path))
         # A header may go on after a line break in quotes, so with ``multi_line`` the line tells little.
         if line is None or multi_line or known not in layouts:
-            found = sniff_separator(spark, path) if sep == "sniff" else sep or known[1]
+            told = {"sniff": sniff_separator, "vote": vote_separator}.get(sep)
+            found = told(spark, path) if told else sep or known[1]
             layouts[known] = found, tuple(header_of(spark, path, found, multi_line))
         groups.setdefault(layouts[known], []).append(path)
     scans = [

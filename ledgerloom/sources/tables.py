@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ledgerloom.sources.delimited import file_paths, read_delimited, separator_for
+from ledgerloom.sources.delimited import file_paths, header_of, headers_below, read_delimited, separator_for
 
 # Rows per insert statement and isolation of the relational writes.
 JDBC_BATCH_ROWS = 1000
@@ -98,15 +100,118 @@ def _qualified(spark: SparkSession, folder: str) -> str:
     return store.makeQualified(path).toString().rstrip("/")
 
 
+#: Types that a column of the types before them is read as.
+_WIDER = [("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("tinyint", "smallint", "int", "double")]
+
+
+class SchemaClash(ValueError):
+    """Files of one folder have types of a column that no common one holds."""
+
+
+def wider_type(a: str, b: str) -> str | None:
+    """The type that holds the values of both, and as which Parquet files of either can be read."""
+    if a == b:
+        return a
+    for chain in _WIDER:
+        if a in chain and b in chain:
+            return chain[max(chain.index(a), chain.index(b))]
+    found = [re.fullmatch(r"decimal\((\d+),(\d+)\)", kind) for kind in (a, b)]
+    if all(found):
+        scale = max(int(m[2]) for m in found)
+        precision = scale + max(int(m[1]) - int(m[2]) for m in found)
+        return f"decimal({precision},{scale})" if precision <= 38 else None
+    return None
+
+
+def merged_columns(schemas: list[list[tuple[str, str]]]) -> list[tuple[str, str]]:
+    """The columns (name, type) of all schemas in the order they come, each in the widest type it has."""
+    kinds: dict[str, str] = {}
+    for name, kind in (column for columns in schemas for column in columns):
+        wider = wider_type(kinds.get(name, kind), kind)
+        if wider is None:
+            raise SchemaClash(f"column {name} is both {kinds[name]} and {kind}")
+        kinds[name] = wider
+    return list(kinds.items())
+
+
+def _parquet_schemas(spark: SparkSession, location: str) -> list[list[tuple[str, str]]]:
+    """The distinct schemas of the Parquet files below a folder, in order of their first files.
+
+    Footers are read by tasks, and only distinct schemas reach the driver.
+    """
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        def schema_of(path: str) -> str:
+            store, place = fs.FileSystem.from_uri(path.replace(" ", "%20"))
+            found = pq.read_schema(place, filesystem=store)
+            # Files that Spark wrote say what its types were.
+            own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+            return own.decode() if own else from_arrow_schema(found).json()
+
+        for batch in batches:
+            found = [schema_of(path) for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "schema"])
+
+    files = file_paths(spark, location, "*.parquet")
+    schemas = files.mapInArrow(read, "path string, schema string").groupBy("schema").agg(F.min("path").alias("path"))
+    rows = sorted(schemas.collect(), key=lambda r: r["path"])
+    return [[(f.name, f.dataType.simpleString()) for f in StructType.fromJson(json.loads(r["schema"]))] for r in rows]
+
+
+def _evolve(spark: SparkSession, table: str, endings: list[str], location: str, nested: bool, sample: str) -> None:
+    """Give a registered table the columns and wider types that its files have got since.
+
+    Columns that no file has any more stay. A delimited table takes another header only if all its
+    files have that one, since their columns are told by place.
+    """
+    held = [(c.name, c.dataType) for c in spark.catalog.listColumns(table) if not c.isPartition]
+    parted = [(c.name, c.dataType) for c in spark.catalog.listColumns(table) if c.isPartition]
+    partitions = [name for name, _ in parted]
+    if endings == ["parquet"]:
+        merged = merged_columns([held, *_parquet_schemas(spark, location)])
+        merged = [column for column in merged if column[0] not in partitions]
+        source, options = "parquet", {}
+        if merged[: len(held)] == held:
+            if added := merged[len(held) :]:
+                typed = ", ".join(f"`{name}` {kind}" for name, kind in added)
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({typed})")
+            return
+    else:
+        sep = separator_for(sample)
+        headers = headers_below(spark, location)
+        if len(headers) > 1:
+            raise SchemaClash(f"{table}: files of one folder have several headers: {sorted(headers)[:3]}")
+        names = header_of(spark, location, sep, recursive=nested)
+        if names == [name for name, _ in held]:
+            return
+        known = dict(held)
+        found = dict(read_delimited(spark, location, sep, recursive=nested).dtypes)
+        merged = [(name, known.get(name, "string" if found[name].startswith("decimal") else found[name])) for name in names]
+        source, options = "csv", {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"', "sep": sep}
+    if nested:
+        options["recursiveFileLookup"] = "true"
+    # A table with a location of its own leaves its files where they are.
+    spark.sql(f"DROP TABLE {table}")
+    _create_table(spark, table, merged + parted, source, options, partitions, location)
+
+
 def catalogue_folder(
-    spark: SparkSession, folder: str, schema: str, types: dict[str, dict[str, str]] | None = None
+    spark: SparkSession, folder: str, schema: str, types: dict[str, dict[str, str]] | None = None, evolve: bool = True
 ) -> list[str]:
     """Register every subfolder as a table of ``schema`` and return the table names.
 
     Folders named ``name=value`` are partitions. Parquet brings its columns; delimited files take
     them from the header, typed by ``types[subfolder]`` or inferred; their decimals stay text, since
     the reader would drop commas from them. Other formats are refused before anything is registered.
-    A table of a former call is refreshed and gets the partitions that were added since.
+    A table of a former call is refreshed and gets the partitions that were added since; with ``evolve``
+    also the columns that its files have got since, and wider types where they have such
+    (``wider_type``). Types without a common one raise ``SchemaClash``. Partitions have the schema of
+    their table; columns that their files lack are null.
     """
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {schema}")
     root = _qualified(spark, folder) + "/"
@@ -134,6 +239,8 @@ def catalogue_folder(
         nested = any("=" not in step for step in sample.split("/")[1:-1])
         if spark.catalog.tableExists(table):
             spark.catalog.refreshTable(table)
+            if evolve:
+                _evolve(spark, table, endings, location, nested, sample)
             if partitions:
                 spark.catalog.recoverPartitions(table)
         else:
