@@ -2,19 +2,28 @@
 
 Archives are gzip files with one member per record. Each member names its compressed length in an
 extra field of its header, so a reader steps over a record whose headers it does not want without
-inflating its payload; members of other writers are inflated to their end instead.
+inflating its payload; archives of other writers are inflated from start to end instead.
+
+A folder that was written to has a manifest of the files that its tasks finished. What lost attempts
+or an earlier run left beside them is not read. A folder of other writers has none; all archives below
+it are read, plain ones too.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import struct
+import time
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +32,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 from pyspark.sql.types import StructType
 
 from ledgerloom.llm.shipping import ship
+from ledgerloom.session import stage
 
-SUFFIX = ".warc.gz"
+SUFFIX, PLAIN_SUFFIX = ".warc.gz", ".warc"
+MANIFEST = "manifest-"
 FILE_BYTES = 256 * 1024 * 1024
 _CHUNK = 64 * 1024
 _BATCH_BYTES = 8 * 1024 * 1024
@@ -83,16 +94,16 @@ def gzip_member(record: bytes, level: int = 3) -> bytes:
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Write the pages of a task. A file gets its name when it is complete: a task that is run again
-    writes the same files over, and no reader sees half of one."""
+    """Write the pages of a task. A file gets its name when it is complete, and names hold the attempt:
+    a task that is run again writes other files, and those of the attempt that counts are returned."""
     store, root = fs.FileSystem.from_uri(folder)
-    context = TaskContext.get()
+    context, attempt = TaskContext.get(), uuid.uuid4().hex
     done: list[tuple[str, int, int]] = []
     out, records, size = None, 0, 0
 
     def name(final: bool) -> str:
-        base = f"part-{context.partitionId():05d}-{len(done):04d}"
-        return f"{root}/{base}{SUFFIX}" if final else f"{root}/.{base}-{context.taskAttemptId()}"
+        base = f"part-{context.partitionId():05d}-{len(done):04d}-{attempt}{SUFFIX}"
+        return f"{root}/{base}" if final else f"{root}/.{base}"
 
     def close() -> None:
         nonlocal out
@@ -130,10 +141,15 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     referred to unless all of their payload are, and rows that repeat the largest page_id are
     responses as it is. Further columns are ignored; an empty table writes no file.
 
-    ``folder`` is one that all executors reach: ``file:``, ``hdfs:``, ``s3:`` or ``gs:``.
+    ``folder`` is one that all executors reach: ``file:``, ``hdfs:``, ``s3:`` or ``gs:``. The manifest is
+    written last. Writing to a folder again replaces what is read from it; one that holds files and
+    no manifest is refused.
     """
     ship(pages.sparkSession)
     store, root = fs.FileSystem.from_uri(folder)
+    held = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    if held and not any(f.base_name.startswith(MANIFEST) for f in held):
+        raise FileExistsError(f"{folder} holds {held[0].base_name} and no manifest")
     store.create_dir(root, recursive=True)
     known = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
@@ -154,7 +170,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     joined = known.withColumn("digest", key).join(first, F.col("digest") == F.col("kept_digest"), "left")
     revisits = F.coalesce(F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept")), F.lit(False))
     rows = joined.select("page_id", "url", "payload", "kept", revisits.alias("revisits"))
-    parts = rows.mapInArrow(lambda batches: _write_part(batches, folder, file_bytes), _WRITTEN)
+    files = rows.mapInArrow(lambda batches: _write_part(batches, folder, file_bytes), _WRITTEN)
+    # Names of manifests are in order of time.
+    parts = stage(files, MANIFEST, f"{folder}/{MANIFEST}{time.time_ns():020d}-{uuid.uuid4().hex}")
     sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("records", "bytes")]
     return parts.agg(F.count("file").alias("files"), *sums).first().asDict()
 
@@ -266,6 +284,103 @@ class _Record:
             self._plain.clear()
 
 
+class _PlainRecord:
+    """A record of a stream that is read from start to end; ``finish`` steps to the next one."""
+
+    def __init__(self, source, head: bytes) -> None:
+        self._source, self._block = source, b""
+        lines = head.decode("utf-8", "replace").split("\r\n")
+        pairs = (line.partition(":") for line in lines[1:])
+        self.headers = {name.strip().lower(): value.strip() for name, _, value in pairs}
+        self._length = int(self.headers.get("content-length", 0))
+
+    def _fill(self, n: int) -> None:
+        while len(self._block) < n:
+            more = self._source.read(min(_CHUNK, n - len(self._block)))
+            if not more:
+                raise EOFError("archive ends inside a record")
+            self._block += more
+
+    def block(self) -> bytes:
+        pieces, n = [self._block], len(self._block)
+        while n < self._length:
+            pieces.append(self._source.read(min(4 * 1024 * 1024, self._length - n)))
+            if not pieces[-1]:
+                raise EOFError("archive ends inside a record")
+            n += len(pieces[-1])
+        self._block = b"".join(pieces)
+        return self._block
+
+    def http_head(self) -> tuple[dict[str, str], int]:
+        if not self.headers.get("content-type", "").startswith("application/http"):
+            return {}, 0
+        while (end := self._block.find(b"\r\n\r\n")) < 0:
+            if len(self._block) >= self._length:
+                return {}, 0
+            self._fill(min(self._length, len(self._block) + 4096))
+        lines = self._block[:end].decode("latin-1").split("\r\n")
+        pairs = (line.partition(":") for line in lines[1:])
+        return {name.strip().lower(): value.strip() for name, _, value in pairs}, end + 4
+
+    def finish(self) -> None:
+        left = self._length - len(self._block)
+        while left > 0:
+            skipped = len(self._source.read(min(4 * 1024 * 1024, left)))
+            if not skipped:
+                raise EOFError("archive ends inside a record")
+            left -= skipped
+
+
+def _plain_records(stream) -> Iterator[_PlainRecord]:
+    """The records of a stream without lengths of members: a plain archive, or one that is inflated."""
+    while True:
+        line = stream.readline()
+        while line in (b"\r\n", b"\n"):
+            line = stream.readline()
+        if not line:
+            return
+        head = [line]
+        while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+            head.append(line)
+        record = _PlainRecord(stream, b"".join(head).replace(b"\r\n", b"\n").replace(b"\n", b"\r\n"))
+        yield record
+        record.finish()
+
+
+def _records_of(source, path: str):
+    """The records of an open archive, of whatever form it is."""
+    if path.endswith(PLAIN_SUFFIX):
+        return _plain_records(io.BufferedReader(source, _CHUNK))
+    start = source.read_at(_CHUNK, 0)
+    if len(start) > 12 and start[3] & 4:
+        (extra,) = struct.unpack_from("<H", start, 10)
+        if _Members._length_in(start[12 : 12 + extra]) is not None:
+            return _Members(source)
+    return _plain_records(io.BufferedReader(gzip.GzipFile(fileobj=source), _CHUNK))
+
+
+def archive_files(folder: str) -> list[str]:
+    """The archives that a folder stands for: those of its last manifest, or else all below it.
+
+    Without a manifest, files that are no archives are named by an error; hidden ones are passed over.
+    """
+    store, root = fs.FileSystem.from_uri(folder)
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    manifests = sorted(f.path for f in found if f.base_name.startswith(MANIFEST))
+    # One without this mark was not finished.
+    whole = [m for m in manifests if store.get_file_info(f"{m}/_SUCCESS").type == fs.FileType.File]
+    if whole:
+        return sorted(pq.read_table(whole[-1], filesystem=store, columns=["file"])["file"].to_pylist())
+    if manifests:
+        raise ValueError(f"{folder} was written to, but not to the end")
+    below = store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
+    files = [f.path for f in below if f.type == fs.FileType.File and not f.base_name.startswith((".", "_"))]
+    odd = [path for path in files if not path.endswith((SUFFIX, PLAIN_SUFFIX))]
+    if odd:
+        raise ValueError(f"no archives: {sorted(odd)[:5]}")
+    return sorted(files)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, schema: StructType, options) -> None:
         self._columns = schema.names
@@ -283,10 +398,7 @@ class WarcReader(DataSourceReader):
                 yield each
 
     def partitions(self):
-        store, root = fs.FileSystem.from_uri(self._path)
-        found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
-        names = sorted(f.path for f in found if f.base_name.endswith(SUFFIX) and not f.base_name.startswith("."))
-        return [ArchiveFile(name) for name in names] or [ArchiveFile("")]
+        return [ArchiveFile(name) for name in archive_files(self._path)] or [ArchiveFile("")]
 
     def read(self, partition):
         if not partition.path:
@@ -294,7 +406,7 @@ class WarcReader(DataSourceReader):
         store, _ = fs.FileSystem.from_uri(self._path)
         rows, held = [], 0
         with store.open_input_file(partition.path) as source:
-            for record in _Members(source):
+            for record in _records_of(source, partition.path):
                 row = self._row(record)
                 if row is None:
                     continue
