@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.values import decimal_comma, padded_key, separator_of_path
 from ledgerloom.operators import checks, columns, ids
 from ledgerloom.operators.aggregate import complaints_by_year
+from ledgerloom.operators.fuzzy import fuzzy_pairs
 from ledgerloom.operators.joins import left_join
 from ledgerloom.operators.match import substring_join
 from ledgerloom.plans.consolidate import INPUTS, RESULT, REVIEWS, consolidate, consolidate_tables
@@ -25,12 +26,13 @@ from ledgerloom.plans.ledger import load_once
 from ledgerloom.plans.load import load_files, load_frame
 from ledgerloom.plans.refresh import consolidate_refresh
 from ledgerloom.session import fresh_path, stage
-from ledgerloom.sinks.key_index import files_that_may_hold
+from ledgerloom.sinks.clustered import files_of, lookup, write_clustered
+from ledgerloom.sinks.key_index import files_that_may_hold, table_files
 from ledgerloom.sinks.tables import ensure_schema, ensure_table, write_table
 from ledgerloom.sources.delimited import read_delimited, read_folder, with_lineage
 from ledgerloom.sources.splitting import read_split
 from ledgerloom.sources.tables import catalogue_folder, read_tables
-from ledgerloom.streaming.incremental import load_new_files
+from ledgerloom.streaming.incremental import load_new_files, load_new_into_table
 
 try:
     import corpus_pipeline
@@ -619,6 +621,51 @@ def _load_sample(spark, sf_dir):
     return rows.select("row.*")
 
 
+def _catalogue_evolve(spark, sf_dir):
+    """A folder whose later files have a column more and a wider key."""
+    folder, schema = fresh_path(spark, "raw"), _fresh_schema(spark, "evolve")
+    orders = _table(spark, sf_dir, "orders")
+    orders.where("o_orderstatus = 'F'").selectExpr("cast(o_orderkey as int) as o_orderkey", "o_orderstatus").write.parquet(f"{folder}/orders")
+    catalogue_folder(spark, folder, schema)
+    later = orders.where("o_orderstatus <> 'F'").select("o_orderpriority", "o_orderkey", "o_orderstatus")
+    later.write.mode("append").parquet(f"{folder}/orders")
+    (table,) = catalogue_folder(spark, folder, schema)
+    return spark.table(table)
+
+
+def _clustered_lookup(spark, sf_dir):
+    """The quarters of one institution, from a table along a curve of years and institutions."""
+    table = f"{_fresh_schema(spark, 'clustered')}.reclamacoes"
+    complaints = stage(_complaints(spark, sf_dir), "complaints")
+    write_clustered(complaints, table, ("ano", "cnpj_if"), 32, ("cnpj_if",))
+    key = complaints.agg(F.min("cnpj_if")).first()[0]
+    few = 2 * len(files_of(spark, table, {"cnpj_if": key})) <= len(table_files(spark, table))
+    found = lookup(spark, table, cnpj_if=key)
+    return found.select("cnpj_if", "ano", "trimestre", "quantidade_total_de_reclamacoes", F.lit(few).alias("few"))
+
+
+def _fuzzy_name_match(spark, sf_dir):
+    """Words of the benchmark that nearly are words of part names, or words of the benchmark with another letter."""
+    words = lambda table, column: _table(spark, sf_dir, table).select(F.explode(F.split(F.upper(column), "[^A-Z]+")).alias("key"))
+    left = words("benchmark", "text").where("key <> ''").distinct()
+    changed = left.select(F.concat(F.lit("X"), F.expr("substring(key, 2)")).alias("key"))
+    right = words("part", "p_name").where("key <> ''").unionByName(changed).distinct()
+    return fuzzy_pairs(stage(left, "left"), stage(right, "right"))
+
+
+def _incremental_table(spark, sf_dir):
+    """Files that arrive in two portions, loaded into a table that numbers their rows."""
+    folder, progress = fresh_path(spark, "novos"), fresh_path(spark, "progress")
+    target = f"{_fresh_schema(spark, 'stream')}.clientes"
+    raw = _raw_customers(spark, sf_dir).drop("PK")
+    for part in (raw.where("`Nation-Key` < 10"), raw.where("`Nation-Key` >= 10 or `Nation-Key` is null")):
+        _write_csv(part, f"{folder}/{uuid.uuid4().hex}")
+        load_new_into_table(spark, folder, target, raw.columns, _RAW_TYPES, progress)
+    held = spark.table(target)
+    n_ids, last_id = held.agg(F.count_distinct("id"), F.max("id")).first()
+    return held.select("customer_name", "nation_key", "acct_bal", F.lit(n_ids).alias("n_ids"), F.lit(last_id).alias("last_id"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The consolidated table on the smallest test data."""
     return _consolidate(spark, "/root/testdata/sf0.001")
@@ -691,6 +738,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_multiline_split": _csv_multiline_split,
         "separator_vote": _separator_vote,
         "load_sample": _load_sample,
+        "catalogue_evolve": _catalogue_evolve,
+        "clustered_lookup": _clustered_lookup,
+        "fuzzy_name_match": _fuzzy_name_match,
+        "incremental_table": _incremental_table,
     }
 
 
@@ -881,4 +932,27 @@ union all select 'begun', 1, null union all select 'written', 1, null union all
 select variant::int as variant, p_partkey, p_brand || ',;|' || chr(9) || ',,;;' || p_name as label
 from part, range(4) as variants(variant)""",
         "load_sample": "select r_regionkey as id, r_name from region",
+        "catalogue_evolve": """
+select o_orderkey, o_orderstatus, if(o_orderstatus = 'F', null, o_orderpriority) as o_orderpriority from orders""",
+        "clustered_lookup": _BANK_SQL + """
+select l_partkey as cnpj_if, ano, trimestre::int as trimestre, reclamacoes::bigint as quantidade_total_de_reclamacoes,
+  true as few
+from quarterly join part on l_partkey = p_partkey
+where l_partkey = (select min(l_partkey) from quarterly join part on l_partkey = p_partkey)""",
+        "fuzzy_name_match": """
+with words as (select distinct unnest(regexp_split_to_array(upper(replace(text, 'ß', 'ss')), '[^A-Z]+')) as w from benchmark),
+lefts as (select w as left_key from words where w <> ''),
+rights as (
+  select 'X' || substr(left_key, 2) as right_key from lefts
+  union select unnest(regexp_split_to_array(upper(p_name), '[^A-Z]+')) from part),
+scored as (
+  select left_key, right_key, greatest(length(left_key), length(right_key)) as longer,
+    levenshtein(left_key, right_key) as edits
+  from lefts, rights where right_key <> '')
+select left_key, right_key, floor(100 * (longer - edits) / longer)::int as match_percent
+from scored where floor(100 * (longer - edits) / longer) >= 80""",
+        "incremental_table": """
+select c_name as customer_name, c_nationkey::int as nation_key, c_acctbal as acct_bal,
+  (select count(*) from customer) as n_ids, (select count(*) from customer) as last_id
+from customer""",
     }
