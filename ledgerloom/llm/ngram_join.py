@@ -2,12 +2,14 @@
 
 Two sets of similarity 0.85, or of the share that the caller wants, differ in few elements for their
 sizes. Sizes fall into bands, each as wide as the similarity allows, so two such sets lie in the same
-band or in neighbouring ones. For a band the domain of shingles is cut into parts, so many that in one of them the sets differ in at
-most ``SPARE`` elements, and that part into ``CELLS`` cells: they agree on all but ``SPARE`` of them.
-So they share the signature of some subset of cells of some part. No pair is missed.
-
-Sets that share signatures are brought together in blocks, compared exactly there, and only links
-that connect something leave the task.
+band or in neighbouring ones. For a band the domain of shingles is cut into parts, so many that in
+one of them the sets differ in at most ``SPARE`` elements, and that part into cells: they agree on
+all but ``SPARE`` of them. So they share the signature of some subset of cells of some part. No pair
+is missed.
+
+Pairs of sets that share a signature are compared by sketches first, which differ no more than the
+sets do. What may be similar is brought together in blocks and compared exactly there, and only
+links that connect something leave the task.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
@@ -31,14 +33,33 @@ from ledgerloom.session import stage
 
 # Similarity as a fraction: PART * |intersection| >= share * |union|; SHARE is that of operator 1.
 SHARE, PART = 85, 100
-CELLS, SPARE = 3, 1
-# How far beyond their mean number parts with empty subsets are reckoned with, see ``_parts``.
-DEVIATIONS = 4
+SPARE = 1
+# Cells of a part for sets of up to so many elements, and for larger ones, which have fewer chance neighbours.
+SMALL_CELLS, LARGE_CELLS, LARGE = 3, 2, 400
+# How far beyond their mean number parts with empty subsets are reckoned with in bands of larger sets, see ``_parts``.
+DEVIATIONS = 1
+# Sets of so many elements are signed by their first ones, and how many of these make a signature.
+SMALL, TOGETHER = 36, 3
+# Empty subsets that make a signature, by the number of parts: fewer where there are many to choose from.
+_BARE_TOGETHER = ((128, 3), (1024, 2), (math.inf, 1))
 # Sets and elements that one block of a comparison holds, about.
 BLOCK_SETS, BLOCK_ELEMENTS = 2048, 1 << 21
+# Sets that share a signature are paired with each other, and if they are more than that with the first;
+# up to so many that have the same first one are compared by their sketches.
+PAIRED, COMPARED = 32, 8192
+# Elements for each number of a sketch, and numbers of the smallest and the largest.
+SKETCHED, SKETCH_LEAST, SKETCH_MOST = 8, 16, 4096
 _LEAST = -(2**63)
 _U = np.uint64
-_SUBSETS = list(combinations(range(CELLS), CELLS - SPARE))
+
+
+@lru_cache(maxsize=8)
+def _subsets(cells: int) -> list[list[int]]:
+    return [list(s) for s in combinations(range(cells), cells - SPARE)]
+
+
+def _cells(band: int, share: int) -> int:
+    return SMALL_CELLS if _high(band, share) <= LARGE else LARGE_CELLS
 
 
 def similar(common: int, a: int, b: int, share: int = SHARE) -> bool:
@@ -71,21 +92,20 @@ def _high(band: int, share: int = SHARE) -> int:
 def _parts(band: int, share: int = SHARE) -> tuple[int, int]:
     """How many parts a band has, and how many of them are more than needed.
 
-    The surplus is what the smallest sets of the band have in parts with an empty subset, by the law
-    of empty cells and with some standard deviations to spare.
+    The surplus is about what the smallest sets of the band have in parts with an empty subset, by
+    the law of empty cells.
     """
     needed = -(-(_most_different(2 * _high(band, share), share) + 1) // (SPARE + 1))
     least = _high(band - 2, share) + 1 if band > 1 else 1
-    surplus = 1
-    while surplus <= needed:
+    cells = _cells(band, share)
+    deviations = 0 if cells == SMALL_CELLS else DEVIATIONS
+    for surplus in range(1, needed + 1):
         parts = needed + surplus
-        empty = math.exp(-least / (parts * CELLS))
-        lost = sum(math.comb(CELLS, n) * empty**n * (1 - empty) ** (CELLS - n) for n in range(CELLS - SPARE, CELLS + 1))
-        if surplus >= parts * lost + DEVIATIONS * math.sqrt(parts * lost * (1 - lost)):
-            return parts, surplus
-        surplus += 1
-    # Sets so small that no surplus is enough.
-    return needed + 1, 1
+        empty = math.exp(-least / (parts * cells))
+        lost = sum(math.comb(cells, n) * empty**n * (1 - empty) ** (cells - n) for n in range(cells - SPARE, cells + 1))
+        if surplus >= parts * lost + deviations * math.sqrt(parts * lost * (1 - lost)):
+            break
+    return parts, surplus
 
 
 def set_key(elements: np.ndarray) -> int:
@@ -94,51 +114,170 @@ def set_key(elements: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def _signatures(elements: np.ndarray, share: int = SHARE) -> np.ndarray:
-    """Signatures of a set in the band of its size and in the next one, where it may be the smaller set.
+def _of_parts(elements: np.ndarray, band: int, share: int) -> list[np.ndarray]:
+    """Signatures in a band: of the subsets of cells of each part.
 
     Subsets without elements would bring unrelated sets together, so they give no signature. Two
-    linked sets agree on more parts than there are too many, so none is missed as long as one of the
-    two has no more parts with such subsets than that; a set with more of them signs these as well,
-    by a signature that only sets of this kind have.
+    linked sets agree on ``surplus + 1`` parts or more. One that has no more parts with empty subsets
+    than the surplus agrees on others as well; if both have more, and agree on empty ones only, they
+    have so many of them in common. So the first ones, a few at a time, are signed too.
+    """
+    parts, surplus = _parts(band, share)
+    width = _cells(band, share)
+    subsets = _subsets(width)
+    place = (mix(elements + _U(band + 1)) % _U(parts * width)).astype(np.int64)
+    cells = np.zeros(parts * width, np.uint64)
+    np.add.at(cells, place, elements)
+    held = np.bincount(place, minlength=parts * width).reshape(parts, width)
+    cells = cells.reshape(parts, width)
+    empty = np.stack([held[:, s].sum(1) == 0 for s in subsets], 1)
+    sums = np.stack([cells[:, s].sum(1) for s in subsets], 1)
+    number = np.arange(parts * len(subsets), dtype=np.uint64).reshape(parts, -1)
+    salt = mix(number + (_U(band) << _U(32)) + _U(0x51ED2701))
+    found = [mix(sums + salt)[~empty]]
+    bare = np.flatnonzero(empty.any(1))
+    if len(bare) > surplus:
+        together = min(next(n for most, n in _BARE_TOGETHER if parts <= most), surplus + 1)
+        first = bare[: len(bare) - surplus - 1 + together].tolist()
+        names = [salt[part][empty[part]].tolist() for part in first]
+        sets = [sum(chosen) % 2**64 for some in combinations(names, together) for chosen in product(*some)]
+        found.append(mix(np.array(sets, np.uint64) + _U(0x2545F4914F6CDD1D)))
+    return found
+
+
+@lru_cache(maxsize=256)
+def _choices(n: int, k: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), k)), np.int64).reshape(-1, k)
+
+
+def _of_first(elements: np.ndarray, share: int) -> np.ndarray:
+    """Signatures of a small set, whose parts would be single elements.
+
+    A set and one that it is linked with have ``common`` elements in common or more, so the first
+    ``TOGETHER`` of these, in the order of hashes, are among the first of either.
+    """
+    common = -(-share * len(elements) // PART)
+    together = min(TOGETHER, common)
+    choices = _choices(len(elements) - common + together, together)
+    return mix(elements[choices].sum(1) + _U(0x1B873593CC9E2D51))
+
+
+def _signatures(elements: np.ndarray, share: int = SHARE) -> np.ndarray:
+    """Signatures of a set: two linked ones that are not equal share one of them.
+
+    Sets are signed in the band of their size and in the next one, where they may be the smaller
+    one, and small ones and those that can be linked with such by their first elements.
     """
-    found = []
-    own = _band(len(elements), share)
-    for band in (own, own + 1):
-        most = _most_different(2 * _high(band, share), share)
-        if most == 0:  # only equal sets are linked, and they are one node
+    n = len(elements)
+    if _most_different(n + n * PART // share, share) == 0:  # only equal sets are linked, and they are one node
+        return np.empty(0, np.uint64)
+    found = [_of_first(elements, share)] if share * n <= PART * SMALL else []
+    if n > SMALL:
+        own = _band(n, share)
+        found += [signed for band in (own, own + 1) for signed in _of_parts(elements, band, share)]
+    return np.concatenate(found)
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """How many elements fall on each of a number of places that grows with the set, 255 at most.
+
+    The sketches of two sets differ, all numbers together, no more than the sets do.
+    """
+    wanted = len(elements) // SKETCHED
+    places = min(max(SKETCH_LEAST, 1 << max(0, wanted.bit_length() - 1)), SKETCH_MOST)
+    at = (mix(elements + _U(3)) & _U(places - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=places), 255).astype(np.uint8).tobytes()
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How much sketches, one a row, differ; the longer ones are folded to the length of the others."""
+
+    def folded(x: np.ndarray, width: int) -> np.ndarray:
+        return x.reshape(len(x), -1, width).sum(1, dtype=np.int32)
+
+    width = min(a.shape[1], b.shape[1])
+    return np.abs(folded(a, width) - folded(b, width)).sum(1)
+
+
+def _near(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b, size_a, sketch_a, size_b, sketch_b) that may be linked by sizes and sketches."""
+    for batch in batches:
+        sizes_a, sizes_b = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+        fits = PART * np.minimum(sizes_a, sizes_b) >= share * np.maximum(sizes_a, sizes_b)
+        batch = batch.filter(pa.array(fits))
+        most = _most_different((sizes_a + sizes_b)[fits], share)
+        sketches = [[np.frombuffer(s, np.uint8) for s in batch.column(i).to_pylist()] for i in (3, 5)]
+        widths = np.array([[len(s) for s in side] for side in sketches]).reshape(2, -1)
+        near = np.zeros(len(most), bool)
+        for kind in np.unique(widths, axis=1).T:
+            at = np.flatnonzero((widths == kind[:, None]).all(0))
+            near[at] = _apart(*(np.stack([side[i] for i in at]) for side in sketches)) <= most[at]
+        yield batch.select(["a", "b"]).filter(pa.array(near))
+
+
+def near_links(sizes: np.ndarray, sketches: list[np.ndarray], share: int) -> Iterator[tuple[int, int]]:
+    """Pairs that connect sets as all pairs that may be linked, by sizes and sketches, do."""
+    widths = np.array([len(s) for s in sketches])
+    component = np.arange(len(sizes))
+    # For each width the sets whose sketches are as wide or wider, folded to it.
+    folded = {}
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths >= width)
+        folded[width] = at, np.stack([sketches[i].reshape(-1, width).sum(0, dtype=np.int32) for i in at])
+    for i, width in enumerate(widths.tolist()):
+        at, rows = folded[width]
+        open_ = (component[at] != component[i]) & ((widths[at] > width) | (at > i))
+        open_ &= PART * np.minimum(sizes[at], sizes[i]) >= share * np.maximum(sizes[at], sizes[i])
+        if not open_.any():
             continue
-        parts, surplus = _parts(band, share)
-        place = mix(elements + _U(band + 1)) % _U(parts * CELLS)
-        cells = np.zeros(parts * CELLS, np.uint64)
-        np.add.at(cells, place.astype(np.int64), elements)
-        held = np.bincount(place.astype(np.int64), minlength=parts * CELLS).reshape(parts, CELLS)
-        cells = cells.reshape(parts, CELLS)
-        empty = np.stack([held[:, s].sum(1) == 0 for s in map(list, _SUBSETS)], 1)
-        sums = np.stack([cells[:, s].sum(1) for s in map(list, _SUBSETS)], 1)
-        number = np.arange(parts * len(_SUBSETS), dtype=np.uint64).reshape(parts, -1)
-        salt = mix(number + (_U(band) << _U(32)) + _U(0x51ED2701))
-        signed = mix(sums + salt)
-        found.append(signed[~empty])
-        if empty.any(1).sum() > surplus:
-            found.append(mix(salt + _U(0x2545F4914F6CDD1D))[empty])
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        others = at[open_]
+        apart = np.abs(rows[open_] - rows[np.searchsorted(at, i)]).sum(1)
+        for j in others[apart <= _most_different(sizes[others] + sizes[i], share)].tolist():
+            if component[j] != component[i]:
+                component[component == component[j]] = component[i]
+                yield i, j
+
+
+def _near_within(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """Edges between the nodes (b, size, sketch) of a group (a); rows come in order of a."""
+    group, nodes, sizes, sketches = None, [], [], []
+
+    def edges() -> pa.RecordBatch:
+        found = list(near_links(np.array(sizes), sketches, share))
+        columns = [pa.array([nodes[pair[i]] for pair in found], pa.int64()) for i in range(2)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    for batch in batches:
+        for a, node, size, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if a != group:
+                if len(nodes) > 1:
+                    yield edges()
+                group, nodes, sizes, sketches = a, [], [], []
+            nodes.append(node)
+            sizes.append(size)
+            sketches.append(np.frombuffer(packed, np.uint8))
+    if len(nodes) > 1:
+        yield edges()
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, keys = [], []
+        sizes, keys, sketches = [], [], []
         for elements in shingle_sets(batch.column(1), words):
             sizes.append(len(elements))
             keys.append(set_key(elements) if len(elements) else None)
-        arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), *batch.columns[2:]]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "n_shingles", "node", *batch.schema.names[2:]])
+            sketches.append(sketch(elements) if len(elements) else None)
+        columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())]
+        names = ["doc_key", "n_shingles", "node", "sketch", *batch.schema.names[2:]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], names)
 
 
-def _signed(batches: Iterator[pa.RecordBatch], words: int, share: int) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], words: int, share: int, bits) -> Iterator[pa.RecordBatch]:
+    """Signatures of the sets of (text, hash): of the documents that the filter lets pass."""
     for batch in batches:
+        passed = np.flatnonzero(may_hold(bits.value, batch.column(1).to_numpy().view(np.uint64)))
         done, keys, held, count = set(), [], [], 0
-        for elements in shingle_sets(batch.column(0), words):
+        for elements in shingle_sets(batch.column(0).take(pa.array(passed)), words):
             if not len(elements) or (key := set_key(elements)) in done:
                 continue
             done.add(key)
@@ -157,21 +296,47 @@ def _signature_batch(signatures: list, keys: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["signature", "node"])
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from the first node of each signature to its others; rows come in order of both."""
-    last, centre = None, 0
+def _paired(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b, whole) of nodes of one signature; rows are whole groups in order of both.
+
+    ``whole`` is 1 where a group is too large to pair all of it: its nodes are paired with the first.
+    """
+    stays = np.r_[True, (signature[1:] != signature[:-1]) | (node[1:] != node[:-1])]
+    signature, node = signature[stays], node[stays]
+    first = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]])
+    sizes = np.diff(np.r_[first, len(node)])
+    size, start = np.repeat(sizes, sizes), np.repeat(first, sizes)
+    place = np.arange(len(node)) - start
+    found = [np.stack([node[start], node, np.ones(len(node), np.int64)], 1)[(size > PAIRED) & (place > 0)]]
+    for step in range(1, min(int(sizes.max()), PAIRED)):
+        at = np.flatnonzero((size[step:] <= PAIRED) & (place[step:] >= step))
+        found.append(np.stack([node[at], node[at + step], np.zeros(len(at), np.int64)], 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes that share a signature; rows come in order of signature and node."""
+
+    def batch_of(found: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in range(3)], ["a", "b", "whole"])
+
+    signature = node = np.empty(0, np.int64)
     for batch in batches:
-        signature, node = (batch.column(i).to_numpy() for i in range(2))
+        signature, node = (np.r_[h, batch.column(i).to_numpy()] for i, h in enumerate((signature, node)))
         if not len(signature):
             continue
-        new = np.r_[last is None or signature[0] != last, signature[1:] != signature[:-1]]
-        group = np.cumsum(new)
-        # Group 0 goes on from the batch before.
-        centres = np.r_[np.int64(centre), node[new]][group]
-        last, centre = signature[-1], centres[-1]
-        edges = np.unique(np.stack([node, centres], 1)[node != centres], axis=0)
-        if len(edges):
-            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["a", "b"])
+        # The last group may go on in the next batch.
+        last = int(np.searchsorted(signature, signature[-1]))
+        if last:
+            yield batch_of(_paired(signature[:last], node[:last]))
+        signature, node = signature[last:], np.unique(node[last:])
+        if len(node) > PAIRED + 1:
+            # So many tell that it is large; the others are paired at once.
+            yield batch_of(_paired(signature[: len(node)], node))
+            node = node[: PAIRED + 1]
+        signature = signature[: len(node)]
+    if len(signature):
+        yield batch_of(_paired(signature, node))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int, bits) -> Iterator[pa.RecordBatch]:
@@ -179,11 +344,16 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int, bits) -> Iterator[pa.Re
     for batch in batches:
         passed = np.flatnonzero(may_hold(bits.value, batch.column(2).to_numpy().view(np.uint64)))
         chosen = batch.take(pa.array(passed))
-        keys, rows = [], []
-        for elements in shingle_sets(chosen.column(1), words):
-            keys.append(set_key(elements) if len(elements) else None)
+        keys, rows, done, first = [], [], set(), []
+        doc_keys = chosen.column(0).to_pylist()
+        for at, elements in enumerate(shingle_sets(chosen.column(1), words)):
+            if not len(elements) or (key := (doc_keys[at], set_key(elements))) in done:
+                continue
+            done.add(key)
+            first.append(at)
+            keys.append(key[1])
             rows.append(elements.tobytes())
-        arrays = [chosen.column(0), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())]
+        arrays = [chosen.column(0).take(pa.array(first, pa.int64())), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_key", "node", "elements"])
 
 
@@ -202,19 +372,16 @@ class _Forest:
         self._parent[self.root(i)] = self.root(j)
 
 
-def spanning_links(
-    sets: list[np.ndarray], side: np.ndarray, guest: np.ndarray, share: int = SHARE
-) -> Iterator[tuple[int, int]]:
+def spanning_links(sets: list[np.ndarray], side: np.ndarray, share: int = SHARE) -> Iterator[tuple[int, int]]:
     """Links that connect ``sets`` as all links between them do.
 
-    ``side`` has 0 or 1 if only sets of different sides are compared, or all the same; two sets that
-    are both a ``guest`` are not compared. Sets are compared by parity first: bits that tell whether
-    an odd number of elements falls on them differ in no more places than the sets do. What passes
-    is compared exactly.
+    ``side`` has 0 or 1 if only sets of different sides are compared, or all the same. Sets are
+    compared by parity first: bits that tell whether an odd number of elements falls on them differ
+    in no more places than the sets do. What passes is compared exactly.
     """
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
-    sizes, side, guest = sizes[order], side[order], guest[order]
+    sizes, side = sizes[order], side[order]
     across = side.min() != side.max()
     reach = np.searchsorted(sizes, sizes * PART // share, side="right")
     forest = _Forest(len(sets))
@@ -229,8 +396,6 @@ def spanning_links(
         others = np.arange(i + 1, reach[i])
         if across:
             others = others[side[others] != side[i]]
-        if guest[i]:
-            others = others[~guest[others]]
         if parity is not None and len(others):
             apart = np.bitwise_count(parity[others] ^ parity[i]).sum(1)
             others = others[apart <= _most_different(sizes[others] + sizes[i], share)]
@@ -243,80 +408,125 @@ def spanning_links(
                     yield int(order[i]), int(order[j])
 
 
-_BLOCK_COLUMNS = ["cluster", "band", "first", "second", "side", "guest", "node", "elements"]
+_BLOCK_COLUMNS = ["cluster", "first", "second", "side", "node", "elements"]
 
 
 def _compare(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
-    """Links in every pair of blocks; rows come in order of cluster, band and pair."""
-    held, nodes, sets, sides, guests = None, [], [], [], []
+    """Links in every block; rows come in order of cluster and block."""
+    held, nodes, sets, sides = None, [], [], []
 
     def links() -> pa.RecordBatch:
-        found = list(spanning_links(sets, np.array(sides), np.array(guests), share))
-        columns = [pa.array([nodes[pair[i]] for pair in found], pa.int64()) for i in range(2)]
+        found = spanning_links(sets, np.array(sides), share)
+        pairs = [(nodes[i], nodes[j]) for i, j in found if nodes[i] != nodes[j]]
+        columns = [pa.array([pair[i] for pair in pairs], pa.int64()) for i in range(2)]
         return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     for batch in batches:
-        keys = zip(*(batch.column(i).to_pylist() for i in range(4)))
-        side, guest, node = (batch.column(i).to_pylist() for i in range(4, 7))
+        keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
+        side, node = (batch.column(i).to_pylist() for i in (3, 4))
         for at, group in enumerate(keys):
             if group != held:
                 if len(sets) > 1:
                     yield links()
-                held, nodes, sets, sides, guests = group, [], [], [], []
+                held, nodes, sets, sides = group, [], [], []
+            if nodes and nodes[-1] == node[at] and sides[-1] == side[at]:
+                continue
             nodes.append(node[at])
             sides.append(side[at])
-            guests.append(guest[at])
-            sets.append(np.frombuffer(batch.column(7)[at].as_buffer().to_pybytes(), np.uint64))
+            sets.append(np.frombuffer(batch.column(5)[at].as_buffer().to_pybytes(), np.uint64))
     if len(sets) > 1:
         yield links()
 
 
-def _links(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
-    """Edges (a, b) between different sets, with the components that all links have."""
-    texts = docs.select(F.col("text"))
-    signed = texts.mapInArrow(lambda batches: _signed(batches, words, share), "signature bigint, node bigint")
-    sorted_ = signed.repartition("signature").sortWithinPartitions("signature", "node")
-    candidates = sorted_.mapInArrow(_stars, "a bigint, b bigint").distinct()
-    clusters = connected_components(candidates, "cluster")
-    # One document for each set that has a candidate.
-    first = nodes.groupBy("node").agg(F.min(F.struct("doc_key", "n_shingles")).alias("least"))
-    picked = stage(
-        first.select("node", "least.*").join(clusters, "node").select("node", "doc_key", "n_shingles", "cluster"),
-        "clusters",
-    )
-
-    @F.pandas_udf("int")
-    def band_of(size: pd.Series) -> pd.Series:
-        return size.map(lambda n: _band(n, share))
-
-    # A set meets those of its own band, and as a guest those of the next one.
-    own = band_of("n_shingles")
-    bands = F.array(F.struct(own.alias("band"), F.lit(False).alias("guest")), F.struct((own + 1).alias("band"), F.lit(True).alias("guest")))
-    banded = picked.select("*", F.inline(bands))
-    totals = (
-        banded.groupBy("cluster", "band")
-        .agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("elements"), F.bool_or(~F.col("guest")).alias("any_own"))
-        .where("sets > 1 and any_own")
-        .select("cluster", "band", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).alias("blocks"))
-    )
-    dealt = banded.join(totals, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Every block meets every block of its band, itself included: (first, second) with first <= second.
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("blocks").cast("int") - 1),
-        lambda other: F.struct(
-            F.least("block", other).alias("first"),
-            F.greatest("block", other).alias("second"),
-            (F.col("block") > other).cast("int").alias("side"),
-        ),
-    )
-    bits = docs.sparkSession.sparkContext.broadcast(filter_words(picked, "doc_key"))
+def _clusters(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> DataFrame:
+    """Nodes that may have links, and clusters (node, cluster) that no link leads out of.
 
+    ``nodes`` has a row for each distinct set: node, doc_key, n_shingles, sketch.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(filter_words(nodes, "doc_key"))
+    texts = docs.select("text", F.xxhash64("doc_key").alias("hash"))
+    signed = texts.mapInArrow(lambda batches: _signed(batches, words, share, bits), "signature bigint, node bigint")
+    sorted_ = signed.repartition("signature").sortWithinPartitions("signature", "node")
+    pairs = stage(sorted_.mapInArrow(_candidates, "a bigint, b bigint, whole bigint").distinct(), "pairs")
+    facts = [
+        nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        for side in "ab"
+    ]
+    known = pairs.where("whole = 0").drop("whole").join(facts[0], "a").join(facts[1], "b")
+    columns = ["a", "b", "size_a", "sketch_a", "size_b", "sketch_b"]
+    # Staged, for what comes next has Python workers of its own.
+    near = known.select(*columns).mapInArrow(lambda batches: _near(batches, share), "a bigint, b bigint")
+    whole = pairs.where("whole = 1").select("a", "b")
+    held = whole.groupBy("a").agg(F.count(F.lit(1)).alias("held"))
+    sized = stage(whole.join(held, "a"), "whole")
+    # Groups by their first node: every two nodes of a large signature are in one of them.
+    compared = sized.where(F.col("held") < COMPARED).select("a", "b")
+    with_first = compared.unionByName(compared.select("a", F.col("a").alias("b")).distinct())
+    sketched = with_first.join(facts[1], "b").select("a", "b", "size_b", "sketch_b")
+    within = sketched.repartition("a").sortWithinPartitions("a", "b")
+    found = [
+        stage(near, "near"),
+        stage(within.mapInArrow(lambda batches: _near_within(batches, share), "a bigint, b bigint"), "near"),
+        sized.where(F.col("held") >= COMPARED).select("a", "b"),
+    ]
+    return connected_components(found[0].unionByName(found[1]).unionByName(found[2]), "cluster")
+
+
+def _links(docs: DataFrame, members: DataFrame, words: int, share: int) -> DataFrame:
+    """Edges (a, b) between different sets, with the components that all links have.
+
+    The sets of a cluster are dealt into blocks, and those of a block compared with each other and
+    with one set of the cluster. If that leaves a cluster of several blocks in more than one
+    component, all sets but those of its largest are compared with all others.
+    """
+    spark = docs.sparkSession
+    # A document with a doc_id, if the set has one, and the same for all its branches.
+    row = F.struct((F.col("doc_key") == _LEAST).alias("nameless"), "doc_key", "n_shingles", "sketch")
+    first = members.groupBy("node").agg(F.min(row).alias("least"))
+    nodes = stage(first.select("node", "least.*").drop("nameless"), "nodes")
+    clusters = _clusters(docs, nodes, words, share)
+    picked = stage(nodes.drop("sketch").join(clusters, "node").select("node", "doc_key", "n_shingles", "cluster"), "clusters")
+    sizes = [F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_ELEMENTS)]
+    totals = picked.groupBy("cluster").agg(F.greatest(*sizes).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = stage(picked.join(totals, "cluster").withColumn("block", block), "dealt")
+    own = dealt.select("*", F.col("block").alias("first"), F.col("block").alias("second"), F.lit(0).alias("side"))
+    # A cluster is named by one of its nodes; that one goes to all blocks.
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    centre = dealt.where("node = cluster and blocks > 1").select("*", F.explode(others).alias("first"))
+    centre = centre.where("first <> block").withColumns({"second": F.col("first"), "side": F.lit(0)})
+    links = stage(_compared(docs, own.unionByName(centre), words, share), "links")
+    several = dealt.where("blocks > 1")
+    if several.isEmpty():
+        return links
+    joined = several.join(connected_components(links).withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    found = stage(joined.withColumn("component", F.coalesce("component", "node")).drop("of"), "found")
+    counts = found.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("sets"))
+    largest = counts.groupBy("cluster").agg(F.max(F.struct("sets", "component")).alias("top"), F.count(F.lit(1)).alias("components"))
+    open_ = largest.where("components > 1").select("cluster", F.col("top.component").alias("top"))
+    unsettled = stage(found.join(open_, "cluster"), "unsettled")
+    if unsettled.isEmpty():
+        return links
+    rest = unsettled.where("component <> top")
+    sizes = [F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_ELEMENTS)]
+    rests = rest.groupBy("cluster").agg(F.greatest(*sizes).cast("int").alias("rests"))
+    to_rests = F.explode(F.sequence(F.lit(0), F.col("rests") - 1))
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rests")).cast("int")
+    left = rest.join(rests, "cluster").select("*", block.alias("first"), F.explode(others).alias("second"), F.lit(1).alias("side"))
+    right = unsettled.join(rests, "cluster").select("*", to_rests.alias("first"), F.col("block").alias("second"), F.lit(0).alias("side"))
+    return links.unionByName(stage(_compared(docs, left.unionByName(right), words, share), "links"))
+
+
+def _compared(docs: DataFrame, dealt: DataFrame, words: int, share: int) -> DataFrame:
+    """Links (a, b) within the blocks of ``dealt``: node, doc_key, cluster, first, second, side."""
+    bits = docs.sparkSession.sparkContext.broadcast(filter_words(dealt, "doc_key"))
     # Filtered where it is hashed: a task has one Python worker, not two in a row.
     read = docs.select("doc_key", "text", F.xxhash64("doc_key").alias("hash"))
     sets = read.mapInArrow(lambda batches: _sets(batches, words, bits), "doc_key bigint, node bigint, elements binary")
-    placed = dealt.join(sets, ["doc_key", "node"]).select("cluster", "band", "guest", F.inline(pairs), "node", "elements")
-    together = _BLOCK_COLUMNS[:4]
-    ordered = placed.select(*_BLOCK_COLUMNS).repartition(*together).sortWithinPartitions(*together, "node")
+    # Of rows that repeat a doc_key and its set one is enough.
+    placed = dealt.select("node", "doc_key", *_BLOCK_COLUMNS[:4]).join(sets, ["doc_key", "node"])
+    together = _BLOCK_COLUMNS[:3]
+    ordered = placed.select(*_BLOCK_COLUMNS).repartition(*together).sortWithinPartitions(*together, "side", "node")
     return ordered.mapInArrow(lambda batches: _compare(batches, share), "a bigint, b bigint")
 
 
@@ -343,10 +553,11 @@ def _with_least(known: DataFrame, words: int, share: int, carried: str, value: C
     """Every row of ``known`` (doc_key, text, then ``carried``): doc_key, n_shingles, node, what is carried,
     and as ``least`` the smallest ``value`` of the rows that links lead to."""
     ship(known.sparkSession)
-    schema = f"doc_key bigint, n_shingles bigint, node bigint{carried}"
+    schema = f"doc_key bigint, n_shingles bigint, node bigint, sketch binary{carried}"
     members = stage(known.mapInArrow(lambda batches: _nodes(batches, words), schema), "members")
     solid = members.where("node is not null")
     links = connected_components(_links(known.select("doc_key", "text"), solid, words, share))
+    members, solid = members.drop("sketch"), solid.drop("sketch")
     least = solid.groupBy("node").agg(F.min(value).alias("own"))
     reached = links.join(least, "node").groupBy("component").agg(F.min("own").alias("reached"))
     moved = links.join(reached, "component").select(F.col("node").alias("linked"), "reached")
