@@ -93,7 +93,7 @@ def _parts(band: int, share: int = SHARE) -> tuple[int, int]:
     """How many parts a band has, and how many of them are more than needed.
 
     The surplus is about what the smallest sets of the band have in parts with an empty subset, by
-    the law of empty cells.
+    the law of empty cells, and one: so linked sets share two signatures, or a sure one, see ``_sure``.
     """
     needed = -(-(_most_different(2 * _high(band, share), share) + 1) // (SPARE + 1))
     least = _high(band - 2, share) + 1 if band > 1 else 1
@@ -105,7 +105,7 @@ def _parts(band: int, share: int = SHARE) -> tuple[int, int]:
         lost = sum(math.comb(cells, n) * empty**n * (1 - empty) ** (cells - n) for n in range(cells - SPARE, cells + 1))
         if surplus >= parts * lost + deviations * math.sqrt(parts * lost * (1 - lost)):
             break
-    return parts, surplus
+    return parts + 1, surplus
 
 
 def set_key(elements: np.ndarray) -> int:
@@ -118,9 +118,10 @@ def _of_parts(elements: np.ndarray, band: int, share: int) -> list[np.ndarray]:
     """Signatures in a band: of the subsets of cells of each part.
 
     Subsets without elements would bring unrelated sets together, so they give no signature. Two
-    linked sets agree on ``surplus + 1`` parts or more. One that has no more parts with empty subsets
-    than the surplus agrees on others as well; if both have more, and agree on empty ones only, they
-    have so many of them in common. So the first ones, a few at a time, are signed too.
+    linked sets agree on ``surplus + 2`` parts or more. If one of them has no more parts with empty
+    subsets than the surplus, they agree on two others. If both have more, and agree on fewer than two
+    others, they have ``surplus + 1`` empty ones in common. So the first of these, a few at a time, are
+    signed too, and such a signature is sure: sharing it is enough.
     """
     parts, surplus = _parts(band, share)
     width = _cells(band, share)
@@ -134,17 +135,22 @@ def _of_parts(elements: np.ndarray, band: int, share: int) -> list[np.ndarray]:
     sums = np.stack([cells[:, s].sum(1) for s in subsets], 1)
     number = np.arange(parts * len(subsets), dtype=np.uint64).reshape(parts, -1)
     salt = mix(number + (_U(band) << _U(32)) + _U(0x51ED2701))
-    found = [mix(sums + salt)[~empty]]
+    found = [mix(sums + salt)[~empty] & ~_U(1)]
     bare = np.flatnonzero(empty.any(1))
     if len(bare) > surplus:
         together = min(next(n for most, n in _BARE_TOGETHER if parts <= most), surplus + 1)
         first = bare[: len(bare) - surplus - 1 + together].tolist()
         names = [salt[part][empty[part]].tolist() for part in first]
         sets = [sum(chosen) % 2**64 for some in combinations(names, together) for chosen in product(*some)]
-        found.append(mix(np.array(sets, np.uint64) + _U(0x2545F4914F6CDD1D)))
+        found.append(_sure(mix(np.array(sets, np.uint64) + _U(0x2545F4914F6CDD1D))))
     return found
 
 
+def _sure(signatures: np.ndarray) -> np.ndarray:
+    """Signatures of which sharing one is enough to be compared; of others it takes two. The last bit tells."""
+    return signatures | _U(1)
+
+
 @lru_cache(maxsize=256)
 def _choices(n: int, k: int) -> np.ndarray:
     return np.array(list(combinations(range(n), k)), np.int64).reshape(-1, k)
@@ -159,11 +165,11 @@ def _of_first(elements: np.ndarray, share: int) -> np.ndarray:
     common = -(-share * len(elements) // PART)
     together = min(TOGETHER, common)
     choices = _choices(len(elements) - common + together, together)
-    return mix(elements[choices].sum(1) + _U(0x1B873593CC9E2D51))
+    return _sure(mix(elements[choices].sum(1) + _U(0x1B873593CC9E2D51)))
 
 
 def _signatures(elements: np.ndarray, share: int = SHARE) -> np.ndarray:
-    """Signatures of a set: two linked ones that are not equal share one of them.
+    """Signatures of a set: two linked ones that are not equal share two of them, or a sure one.
 
     Sets are signed in the band of their size and in the next one, where they may be the smaller
     one, and small ones and those that can be linked with such by their first elements.
@@ -297,9 +303,10 @@ def _signature_batch(signatures: list, keys: list) -> pa.RecordBatch:
 
 
 def _paired(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (a, b, whole) of nodes of one signature; rows are whole groups in order of both.
+    """Pairs (a, b, whole, shared) of nodes of one signature; rows are whole groups in order of both.
 
     ``whole`` is 1 where a group is too large to pair all of it: its nodes are paired with the first.
+    ``shared`` is how many signatures the two share, 2 for a sure one.
     """
     stays = np.r_[True, (signature[1:] != signature[:-1]) | (node[1:] != node[:-1])]
     signature, node = signature[stays], node[stays]
@@ -307,18 +314,24 @@ def _paired(signature: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nda
     sizes = np.diff(np.r_[first, len(node)])
     size, start = np.repeat(sizes, sizes), np.repeat(first, sizes)
     place = np.arange(len(node)) - start
-    found = [np.stack([node[start], node, np.ones(len(node), np.int64)], 1)[(size > PAIRED) & (place > 0)]]
+    weight = 1 + (signature & 1)
+    found = [np.stack([node[start], node, np.ones(len(node), np.int64), weight], 1)[(size > PAIRED) & (place > 0)]]
     for step in range(1, min(int(sizes.max()), PAIRED)):
         at = np.flatnonzero((size[step:] <= PAIRED) & (place[step:] >= step))
-        found.append(np.stack([node[at], node[at + step], np.zeros(len(at), np.int64)], 1))
-    return np.unique(np.concatenate(found), axis=0)
+        found.append(np.stack([node[at], node[at + step], np.zeros(len(at), np.int64), weight[at]], 1))
+    rows = np.concatenate(found)
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(1)])
+    return np.c_[rows[first, :3], np.add.reduceat(rows[:, 3], first)]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes that share a signature; rows come in order of signature and node."""
 
     def batch_of(found: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in range(3)], ["a", "b", "whole"])
+        return pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in range(4)], ["a", "b", "whole", "shared"])
 
     signature = node = np.empty(0, np.int64)
     for batch in batches:
@@ -447,7 +460,10 @@ def _clusters(docs: DataFrame, nodes: DataFrame, words: int, share: int) -> Data
     texts = docs.select("text", F.xxhash64("doc_key").alias("hash"))
     signed = texts.mapInArrow(lambda batches: _signed(batches, words, share, bits), "signature bigint, node bigint")
     sorted_ = signed.repartition("signature").sortWithinPartitions("signature", "node")
-    pairs = stage(sorted_.mapInArrow(_candidates, "a bigint, b bigint, whole bigint").distinct(), "pairs")
+    shared = sorted_.mapInArrow(_candidates, "a bigint, b bigint, whole bigint, shared bigint")
+    counted = shared.groupBy("a", "b", "whole").agg(F.sum("shared").alias("shared"))
+    # Of two nodes that share a large signature, either is paired with its first one, whatever they share besides.
+    pairs = stage(counted.where("whole = 1 or shared > 1").drop("shared"), "pairs")
     facts = [
         nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}"))
         for side in "ab"

@@ -33,7 +33,7 @@ def test_shingle_sets_are_those_of_the_words():
             assert len(np.intersect1d(a, b)) == len(wanted[i] & wanted[j])
 
 
-@pytest.mark.parametrize("size", [3, 7, 12, 13, 40, 147, 700])
+@pytest.mark.parametrize("size", [3, 7, 12, 13, 29, 36, 37, 40, 42, 44, 51, 60, 147, 399, 430, 700])
 def test_linked_sets_share_a_signature(size):
     random_ = np.random.default_rng(size)
     for _ in range(60):
@@ -53,7 +53,13 @@ def test_linked_sets_share_a_signature(size):
             b = c
         b = np.unique(np.array(b, np.uint64))
         if not np.array_equal(a, b):
-            assert len(np.intersect1d(ngram_join._signatures(a), ngram_join._signatures(b)))
+            _assert_met(ngram_join._signatures(a), ngram_join._signatures(b))
+
+
+def _assert_met(a, b):
+    """Two signatures in common, or a sure one."""
+    common = np.intersect1d(a, b)
+    assert len(common) + int((common & np.uint64(1)).sum()) >= 2
 
 
 def test_spanning_links_connect_what_links_connect():
@@ -64,7 +70,7 @@ def test_spanning_links_connect_what_links_connect():
         own = [x if random_.random() > 0.06 else random_.getrandbits(63) for x in base]
         sets.append(np.unique(np.array(own, np.uint64)))
     forest, all_ = ngram_join._Forest(60), ngram_join._Forest(60)
-    for i, j in ngram_join.spanning_links(sets, np.zeros(60, int), np.zeros(60, bool)):
+    for i, j in ngram_join.spanning_links(sets, np.zeros(60, int)):
         forest.join(i, j)
     for i in range(60):
         for j in range(i):
@@ -79,9 +85,13 @@ def test_components_of_messy_rows(messy):
     assert _sorted(tuple(r) for r in found) == _sorted(brute.components([(i, t) for i, t, _, _ in MESSY]))
 
 
-def test_components_of_many_near_copies(spark, monkeypatch):
-    """A chain and a cloud of near copies, in blocks so small that every pair of blocks is met."""
+@pytest.mark.parametrize("paired, compared", [(2, 8192), (32, 8192), (2, 3)])
+def test_components_of_many_near_copies(spark, monkeypatch, paired, compared):
+    """A chain and a cloud of near copies, in blocks so small that clusters have many of them, and with
+    signatures whose sets are paired with the first one only."""
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    monkeypatch.setattr(ngram_join, "COMPARED", compared)
     random_ = random.Random(8)
     rows = []
     for i in range(60):
@@ -95,6 +105,60 @@ def test_components_of_many_near_copies(spark, monkeypatch):
     assert _sorted(tuple(r) for r in found) == _sorted(brute.components(rows))
 
 
+def test_sketches_differ_no_more_than_sets():
+    random_ = np.random.default_rng(2)
+    for _ in range(300):
+        sizes = random_.integers(1, 10 ** random_.integers(1, 5), 2)
+        base = random_.integers(0, 2**63, int(sizes.max()), dtype=np.uint64)
+        a, b = (np.unique(np.r_[base[: n // 2], random_.integers(0, 2**63, n - n // 2, dtype=np.uint64)]) for n in sizes.tolist())
+        sketches = [np.frombuffer(ngram_join.sketch(s), np.uint8)[None] for s in (a, b)]
+        assert ngram_join._apart(*sketches)[0] <= len(np.setxor1d(a, b))
+
+
+def test_near_links_connect_what_near_sets_connect():
+    random_ = np.random.default_rng(9)
+    base = [random_.integers(0, 2**63, n, dtype=np.uint64) for n in (30, 130, 140, 600, 700)]
+    sets = []
+    for _ in range(80):
+        own = base[random_.integers(5)].copy()
+        gone = random_.integers(0, len(own), int(len(own) * random_.uniform(0, 0.3)))
+        own[gone] = random_.integers(0, 2**63, len(gone), dtype=np.uint64)
+        sets.append(np.unique(own[: random_.integers(len(own) * 3 // 4, len(own) + 1)]))
+    sizes, sketches = np.array([len(s) for s in sets]), [np.frombuffer(ngram_join.sketch(s), np.uint8) for s in sets]
+    some, all_ = ngram_join._Forest(80), ngram_join._Forest(80)
+    for i, j in ngram_join.near_links(sizes, sketches, 80):
+        some.join(i, j)
+    for i in range(80):
+        for j in range(i):
+            apart = ngram_join._apart(sketches[i][None], sketches[j][None])[0]
+            if ngram_join.similar(min(sizes[i], sizes[j]), sizes[i], sizes[j], 80) and apart <= ngram_join._most_different(sizes[i] + sizes[j], 80):
+                all_.join(i, j)
+    same = [[f.root(i) == f.root(j) for i in range(80) for j in range(80)] for f in (some, all_)]
+    assert same[0] == same[1] and not all(same[0])
+
+
+@pytest.mark.parametrize("rows", [1, 3, 50, 1000])
+def test_candidates_of_signatures_over_batches(rows):
+    """Small groups are paired, of large ones all with the first, wherever batches end."""
+    random_ = np.random.default_rng(5)
+    groups = {7: range(200), 8: [1, 2, 2, 5], 9: [4], 11: random_.integers(0, 10**6, 33).tolist(), 12: [3, 3], 13: range(32)}
+    table = sorted((s, int(n)) for s, nodes in groups.items() for n in nodes)
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([r[i] for r in table[at : at + rows]], pa.int64()) for i in range(2)], ["signature", "node"])
+        for at in range(0, len(table), rows)
+    ]
+    wanted = Counter()
+    for signature, nodes in groups.items():
+        nodes = sorted(set(map(int, nodes)))
+        whole = len(nodes) > ngram_join.PAIRED
+        wanted.update({(a, b, int(whole)): 1 + signature % 2 for i, a in enumerate(nodes[: 1 if whole else None]) for b in nodes[i + 1 :]})
+    found = Counter()
+    for batch in ngram_join._candidates(iter(batches)):
+        found.update({tuple(r.values())[:3]: r["shared"] for r in batch.to_pylist()})
+    # Of a large group the first pairs are told again when its end is seen.
+    assert set(found) == set(wanted) and all(found[p] == n for p, n in wanted.items() if not p[2])
+
+
 def test_one_document_of_each_group_stays(messy):
     left = ngram_join.one_of_each_group(messy)
     assert left.columns == messy.columns
@@ -104,7 +168,7 @@ def test_one_document_of_each_group_stays(messy):
     assert kept.count(None) == 2
 
 
-@pytest.mark.parametrize("size", [3, 12, 40, 147, 700])
+@pytest.mark.parametrize("size", [3, 4, 5, 12, 29, 36, 37, 40, 44, 45, 46, 47, 51, 60, 147, 320, 399, 401, 500, 700, 3000, 12000])
 def test_sets_of_similarity_80_share_a_signature(size):
     random_ = np.random.default_rng(size)
     for _ in range(60):
@@ -114,7 +178,7 @@ def test_sets_of_similarity_80_share_a_signature(size):
         assert ngram_join.similar(len(np.intersect1d(a, b)), len(a), len(b), 80)
         if not np.array_equal(a, b):
             signed = [ngram_join._signatures(np.unique(s), 80) for s in (a, b)]
-            assert len(np.intersect1d(*signed))
+            _assert_met(*signed)
 
 
 def test_stage_finds_near_copies_of_similarity_80_to_85(spark):
@@ -162,6 +226,23 @@ def test_components_of_a_path(spark):
 # --- fingerprints ---
 
 
+def test_fingerprints_where_one_doc_id_holds_a_third_of_all_rows(spark, monkeypatch):
+    """Its rows go to several buckets by their texts, and each is compared with the row that follows it."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(syncmers, "BUCKETS", (24, 24))
+    rows = [(i, prose(i, 20)) for i in range(400)] + [(7, prose(1000 + i, 15)) for i in range(300)] + [(None, prose(2000 + i, 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    hot = F.when((F.col("doc_id") == 7) | F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(0)
+    ordered = df.orderBy(F.col("doc_id").asc_nulls_first(), hot, "text").collect()
+    wanted = []
+    for at, (i, text) in enumerate(map(tuple, ordered)):
+        following = ordered[(at + 1) % len(ordered)]["text"]
+        wanted.append((i, hashlib.sha256(syncmers._edited(text, following).encode()).hexdigest(), syncmers.fingerprint(text)))
+    got = [(r["doc_id"], r["edited_sha256"], r["fingerprint"]) for r in syncmers.fingerprints(df).collect()]
+    assert _sorted(got) == _sorted(wanted)
+
+
 def test_syncmers_are_those_of_the_definition():
     text = BASE[:300] + "漢字"
     hashes, places = syncmers.anchors(text)
