@@ -159,7 +159,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has the last quarter replaced by the beginning of the next document's text, in
     order of doc_id; the first follows the last. Null texts are empty, a null doc_id comes first,
-    and rows of one doc_id are ordered by text. Further columns are ignored; a single row follows
+    and rows of one doc_id are ordered by text, or by its hash where there are very many. Further columns are ignored; a single row follows
     itself; an empty table gives no rows. Equal texts have equal fingerprints.
 
     Texts move once: documents are dealt to buckets of neighbouring ids, and the first rows of a
@@ -176,27 +176,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         return docs.sparkSession.createDataFrame([], _SCHEMA)
     buckets = min(max(BUCKETS[0], size["bytes"] // BUCKET_BYTES), BUCKETS[1])
     shares = [i / buckets for i in range(1, buckets)]
-    ids = rows.select("key")
-    limits = ids.agg(F.percentile_approx("key", shares, 10 * buckets).alias("at")).first()["at"]
-    limits = np.unique(np.array(limits, np.int64))
+    quantiles = rows.agg(F.percentile_approx("key", shares, 10 * buckets).alias("at")).first()["at"]
+    limits, times = np.unique(np.array(quantiles, np.int64), return_counts=True)
+    # A key that is several quantiles has so many rows; they get as many buckets, by their texts.
+    parts = np.r_[0, np.where(times > 1, times, 0)]
+    starts = np.cumsum(parts + 1) - (parts + 1)
+    hot = [int(k) for k in limits[times > 1]]
+    text_hash = F.when(F.col("key").isin(hot), F.xxhash64("text")).otherwise(F.lit(0)) if hot else F.lit(0).cast("bigint")
+    rows = rows.withColumn("hash", text_hash)
 
     @F.pandas_udf("int")
-    def bucket_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(limits, key.to_numpy(), side="right"))
+    def bucket_of(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        keys = key.to_numpy()
+        at = np.searchsorted(limits, keys, side="right")
+        own = parts[at]
+        among = np.minimum((hashed.to_numpy().astype(np.float64) / 2.0**64 + 0.5) * own, own - 1).astype(np.int64)
+        same = (own > 0) & (keys == np.r_[0, limits][at])
+        return pd.Series(starts[at] + np.where(same, among, own))
 
     # One row per bucket.
-    first = dict(ids.groupBy(bucket_of("key").alias("bucket")).agg(F.min("key")).collect())
+    row = F.struct("key", "hash")
+    first = {r["bucket"]: tuple(r["row"]) for r in rows.groupBy(bucket_of("key", "hash").alias("bucket")).agg(F.min(row).alias("row")).collect()}
     filled = sorted(first)
     before = {first[b]: filled[i - 1] for i, b in enumerate(filled)}
+    first_keys = np.unique([key for key, _ in before])
 
     @F.pandas_udf("int")
-    def bucket_before(key: pd.Series) -> pd.Series:
-        return key.map(before).fillna(-1).astype("int32")
+    def bucket_before(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        out = np.full(len(key), -1, np.int32)
+        for i in np.flatnonzero(np.isin(key.to_numpy(), first_keys)):
+            out[i] = before.get((int(key.iloc[i]), int(hashed.iloc[i])), -1)
+        return pd.Series(out)
 
     places = F.array(
-        F.struct(bucket_of("key").alias("bucket"), F.lit(False).alias("follows")),
-        F.struct(bucket_before("key").alias("bucket"), F.lit(True).alias("follows")),
+        F.struct(bucket_of("key", "hash").alias("bucket"), F.lit(False).alias("follows")),
+        F.struct(bucket_before("key", "hash").alias("bucket"), F.lit(True).alias("follows")),
     )
     dealt = rows.select("*", F.inline(places)).where("bucket >= 0")
-    ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "follows", "key", "text")
+    ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "follows", "key", "hash", "text")
     return ordered.select("bucket", "follows", "doc_id", "text").mapInArrow(_compare, _SCHEMA)
