@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-A table hashes a vector by the slots in which ``FUNCTIONS`` random projections fall. Neighbours of a
-query fall near its projections by a known law, so the probability that one lies in a cell is known,
-and a query visits the cells in the order of that probability until they add up to the wanted
-success. Slot width and that law come from a bounded sample; every vector of a length with a law is
-indexed. Queries of other lengths, of which the sample has too few, are compared with all vectors.
+A table hashes a vector by the slots in which random projections fall. Neighbours of a query fall near
+its projections by a known law, so the probability that one lies in a cell is known, and a query visits
+the cells in the order of that probability until they add up to the wanted success. The width of slots
+is the distance of neighbours, which is measured: some sampled vectors are compared with all. How many
+projections make a cell follows from that distance, from those of any two vectors, and from the
+number of vectors, so that cells stay small in a table of any size. Every vector of a length with a law
+is indexed. Queries of other lengths, of which the sample has too few, are compared with all vectors.
 What the tables find is compared exactly and merged.
 """
 
@@ -25,13 +27,17 @@ from ledgerloom.llm.shipping import ship
 from ledgerloom.session import stage
 
 TABLES = 2
-FUNCTIONS = 4
+#: Projections that make a cell: the least, and the most.
+FUNCTIONS, MOST_FUNCTIONS = 4, 7
+#: Vectors that a query should meet in all its cells, about, as far as projections can bring it about.
+WANTED = 4096
 #: Functions whose slots make the group that travels together; the others tell its cells apart.
 GROUPED = 2
 #: Estimated probability with which a neighbour is in the cells that one table visits.
 SUCCESS = 0.85
-#: Vectors from which the law of distances is learnt, those of the smallest hashes of their ids.
-SAMPLE = 2000
+#: Vectors from which the law of distances is learnt, those of the smallest hashes of their ids; the
+#: first so many of a length are compared with all vectors, and a length has a law from so many on.
+SAMPLE, MEASURED, LEAST_SAMPLED = 2000, 200, 32
 #: Vectors and queries that meet in one task at once, about.
 BLOCK, CHUNK = 2048, 2048
 _REACH = 4
@@ -45,19 +51,20 @@ class _Law:
 
     radius: float
     dimension: int
+    functions: int = FUNCTIONS
 
     def slots(self, vectors: np.ndarray, table: int) -> np.ndarray:
         """Projections in units of slots."""
         random = np.random.default_rng((table, self.dimension))
-        directions = random.standard_normal((self.dimension, FUNCTIONS))
-        return vectors @ directions / self.radius + random.uniform(0, 1, FUNCTIONS)
+        directions = random.standard_normal((self.dimension, self.functions))
+        return vectors @ directions / self.radius + random.uniform(0, 1, self.functions)
 
 
 def _cell_keys(cells: np.ndarray, table: int, dimension: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers for the groups and the cells at integer coordinates."""
     key = np.full(len(cells), table * 1_000_003 + dimension, np.uint64)
     groups = key
-    for i in range(FUNCTIONS):
+    for i in range(cells.shape[1]):
         key = (key ^ cells[:, i].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
         if i == GROUPED - 1:
@@ -75,12 +82,12 @@ def _vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, values[starts[rows][:, None] + np.arange(length)]
 
 
-def _indexed(batches: Iterator[pa.RecordBatch], laws: dict[int, float]) -> Iterator[pa.RecordBatch]:
+def _indexed(batches: Iterator[pa.RecordBatch], laws: dict[int, _Law]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, vectors in _vectors(batch.column(1)):
             if vectors.shape[1] not in laws:
                 continue
-            law = _Law(laws[vectors.shape[1]], vectors.shape[1])
+            law = laws[vectors.shape[1]]
             own = batch.take(pa.array(rows))
             for table in range(TABLES):
                 cells = np.floor(law.slots(vectors, table)).astype(np.int64)
@@ -102,12 +109,12 @@ def visits(places: np.ndarray, success: float) -> np.ndarray:
     return home + offsets[order[:enough]] - _REACH
 
 
-def _probes(batches: Iterator[pa.RecordBatch], laws: dict[int, float], success: float) -> Iterator[pa.RecordBatch]:
+def _probes(batches: Iterator[pa.RecordBatch], laws: dict[int, _Law], success: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, vectors in _vectors(batch.column(1)):
             if vectors.shape[1] not in laws:
                 continue
-            law = _Law(laws[vectors.shape[1]], vectors.shape[1])
+            law = laws[vectors.shape[1]]
             at, groups, cells = [], [], []
             for table in range(TABLES):
                 for row, places in zip(rows.tolist(), law.slots(vectors, table)):
@@ -170,23 +177,69 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return known.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
 
 
-def _learn(vectors: DataFrame, k: int) -> dict[int, float]:
-    """For each length of vectors the distance within which neighbours lie, from the sample.
+def _distances(batches: Iterator[pa.RecordBatch], sample: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+    """Of a task's vectors the ``k`` nearest ones of each sampled vector: length, number of that, square of the distance."""
+    least: dict[int, np.ndarray] = {}
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        for rows, vectors in _vectors(batch.column(1)):
+            if (length := vectors.shape[1]) not in sample:
+                continue
+            own_ids, asked = sample[length]
+            apart = (asked**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * asked @ vectors.T
+            apart[own_ids[:, None] == ids[rows]] = np.inf
+            both = np.concatenate([least.get(length, np.empty((len(asked), 0))), np.maximum(apart, 0)], 1)
+            least[length] = np.sort(both, axis=1)[:, :k]
+    for length, found in least.items():
+        at, _ = np.nonzero(np.isfinite(found))
+        columns = [np.full(len(at), length, np.int32), at.astype(np.int32), found[np.isfinite(found)]]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["length", "asked", "square"])
+
+
+def share_met(radius: float, apart: np.ndarray, functions: int, success: float) -> float:
+    """Share of vectors, with distances ``apart`` from a query, that are in the cells which it visits.
+
+    Along one projection a neighbour is off by a normal deviate in slots and another vector by as many
+    times more as it is farther away. Cells are visited up to the deviates that give the success.
+    """
+    reach = NormalDist().inv_cdf((1 + success ** (1 / functions)) / 2) + 0.5
+    one = np.array([2 * _CDF(reach * radius / max(d, 1e-300)) - 1 for d in apart.tolist()])
+    return float((one**functions).mean())
 
-    Lengths of which the sample has no ``k`` neighbours of a vector have none.
+
+def _learn(vectors: DataFrame, k: int, success: float) -> dict[int, _Law]:
+    """For each length of vectors the distance within which neighbours lie, and the projections it wants.
+
+    The distance is that of the ``k``-th neighbour, among all vectors, of the sampled ones. Lengths
+    of which there are too few, in the sample or in all, have no law.
     """
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
-    laws = {}
-    for length in {len(r[0]) for r in rows}:
-        x = np.array([r[0] for r in rows if len(r[0]) == length], np.float64)
-        if len(x) <= k:
+    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    spread: dict[int, np.ndarray] = {}
+    for length in {len(r["embedding"]) for r in rows}:
+        own = [r for r in rows if len(r["embedding"]) == length]
+        if len(own) < LEAST_SAMPLED:
             continue
-        squares = (x**2).sum(1)
-        apart = np.maximum(squares[:, None] + squares - 2 * x @ x.T, 0)
-        np.fill_diagonal(apart, np.inf)
-        nearest = np.sort(apart, axis=1)[:, k - 1]
-        radius = float(np.sqrt(np.quantile(nearest, 0.9)))
-        laws[length] = radius if 0 < radius < float("inf") else 1.0
+        x = np.array([r["embedding"] for r in own], np.float64)
+        sample[length] = np.array([r["vec_id"] for r in own[:MEASURED]]), x[:MEASURED]
+        spread[length] = np.sqrt(((x[: len(x) // 2] - x[len(x) // 2 : 2 * (len(x) // 2)]) ** 2).sum(1))
+    if not sample:
+        return {}
+    nearest = vectors.mapInArrow(lambda batches: _distances(batches, sample, k), "length int, asked int, square double")
+    order = Window.partitionBy("length", "asked").orderBy("square")
+    ranked = nearest.withColumn("n", F.row_number().over(order)).where(F.col("n") == k)
+    found: dict[int, list[float]] = {}
+    for r in ranked.collect():
+        found.setdefault(r["length"], []).append(r["square"] ** 0.5)
+    held = {r["length"]: r["n"] for r in vectors.groupBy(F.size("embedding").alias("length")).agg(F.count(F.lit(1)).alias("n")).where(F.col("length").isin(list(sample))).collect()}
+    laws = {}
+    for length, distances in found.items():
+        radius = float(np.quantile(distances, 0.9))
+        radius = radius if 0 < radius < float("inf") else 1.0
+        fits = (m for m in range(FUNCTIONS, MOST_FUNCTIONS) if held[length] * share_met(radius, spread[length], m, success) <= WANTED)
+        # Where vectors are not much farther apart than neighbours, more projections do not help.
+        hopeless = share_met(radius, spread[length], MOST_FUNCTIONS, success) > 0.5 * share_met(radius, spread[length], FUNCTIONS, success)
+        laws[length] = _Law(radius, length, FUNCTIONS if hopeless else next(fits, MOST_FUNCTIONS))
     return laws
 
 
@@ -227,7 +280,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, succes
     """
     ship(vectors.sparkSession)
     usable = _usable(vectors)
-    laws = _learn(usable, k)
+    laws = _learn(usable, k, success)
     index = stage(usable.mapInArrow(lambda batches: _indexed(batches, laws), _index_schema(usable)), "index")
     sizes = stage(index.groupBy("group").agg(F.count(F.lit(1)).alias("held")), "index-sizes")
     asked = _usable(vectors.where(is_query)).toDF("query_id", "query")

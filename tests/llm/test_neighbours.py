@@ -84,6 +84,47 @@ def test_rare_lengths_are_compared_exactly(spark, monkeypatch, sample):
         assert [j for _, _, j in sorted(found[i])] == [j for _, j in wanted]
 
 
+def _clustered(n, seed=4):
+    """Vectors around centres, of which there are more the more vectors there are."""
+    random_ = np.random.default_rng(seed)
+    centres = random_.standard_normal((n // 40, 24)) * 4
+    return [(i, (centres[i % len(centres)] + random_.standard_normal(24) * 0.3).tolist()) for i in range(n)]
+
+
+def test_a_law_for_the_whole_table(spark):
+    """Recall at two sizes of clustered vectors, and the vectors that a query is compared with grow more slowly than the table."""
+    compared = {}
+    for n in (2000, 16_000):
+        rows = _clustered(n)
+        df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+        hits = asked = 0
+        queries = [i for i in range(0, n, n // 100)]
+        found = {}
+        for r in nearest_neighbours(df, F.col("vec_id").isin(queries)).collect():
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+        x = np.array([v for _, v in rows], np.float32).astype(float)
+        for q in queries:
+            apart = ((x - x[q]) ** 2).sum(1)
+            apart[q] = np.inf
+            hits += len(found[q] & set(np.argsort(apart)[:10].tolist()))
+            asked += 10
+        assert hits / asked >= 0.9
+        law = neighbours._learn(neighbours._usable(df), 10, neighbours.SUCCESS)[24]
+        cells = [np.floor(law.slots(x, t)).astype(int) for t in range(neighbours.TABLES)]
+        met = [sum(int((c[:, None] == neighbours.visits(law.slots(x[q : q + 1], t)[0], neighbours.SUCCESS)[None]).all(2).any(1).sum()) for t, c in enumerate(cells)) for q in queries[:30]]
+        compared[n] = np.mean(met)
+    # Eight times the vectors.
+    assert compared[16_000] < 4 * compared[2000] and compared[16_000] < 16_000 / 20, compared
+
+
+def test_width_is_the_true_distance_of_neighbours(spark):
+    rows = _clustered(3000)
+    law = neighbours._learn(neighbours._usable(spark.createDataFrame(rows, SCHEMA).repartition(5)), 10, 0.85)[24]
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    tenth = [np.sort(((x - x[i]) ** 2).sum(1))[10] ** 0.5 for i in range(0, 3000, 10)]
+    assert abs(law.radius - np.quantile(tenth, 0.9)) < 0.1 * law.radius
+
+
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])]])
 def test_too_few_vectors(spark, rows):
     assert nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect() == []
