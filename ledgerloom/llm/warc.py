@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import struct
 import time
 import uuid
@@ -121,7 +120,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, file_bytes: int)
             if out is not None and size + len(member) > file_bytes:
                 close()
             if out is None:
-                out, records, size = store.open_output_stream(name(False)), 0, 0
+                out, records, size = store.open_output_stream(name(False), compression=None), 0, 0
             out.write(member)
             records, size = records + 1, size + len(member)
     if out is not None:
@@ -331,6 +330,26 @@ class _PlainRecord:
             left -= skipped
 
 
+class _Stream:
+    """Lines and bytes of a source, read in chunks."""
+
+    def __init__(self, source) -> None:
+        self._source, self._held = source, b""
+
+    def readline(self) -> bytes:
+        while (end := self._held.find(b"\n")) < 0 and (more := self._source.read(_CHUNK)):
+            self._held += more
+        end = len(self._held) if end < 0 else end + 1
+        line, self._held = self._held[:end], self._held[end:]
+        return line
+
+    def read(self, n: int) -> bytes:
+        if not self._held:
+            return self._source.read(n)
+        found, self._held = self._held[:n], self._held[n:]
+        return found
+
+
 def _plain_records(stream) -> Iterator[_PlainRecord]:
     """The records of a stream without lengths of members: a plain archive, or one that is inflated."""
     while True:
@@ -350,13 +369,14 @@ def _plain_records(stream) -> Iterator[_PlainRecord]:
 def _records_of(source, path: str):
     """The records of an open archive, of whatever form it is."""
     if path.endswith(PLAIN_SUFFIX):
-        return _plain_records(io.BufferedReader(source, _CHUNK))
-    start = source.read_at(_CHUNK, 0)
+        return _plain_records(_Stream(source))
+    start = source.read(_CHUNK)
+    source.seek(0)
     if len(start) > 12 and start[3] & 4:
         (extra,) = struct.unpack_from("<H", start, 10)
         if _Members._length_in(start[12 : 12 + extra]) is not None:
             return _Members(source)
-    return _plain_records(io.BufferedReader(gzip.GzipFile(fileobj=source), _CHUNK))
+    return _plain_records(_Stream(gzip.GzipFile(fileobj=source)))
 
 
 def archive_files(folder: str) -> list[str]:

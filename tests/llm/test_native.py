@@ -50,6 +50,34 @@ def test_conversation_of_many_turns(spark):
     assert "".join(found["learnt"]) == "".join(f"<{i}>" for i in range(1, 3000, 2))
 
 
+def test_time_grows_with_the_turns(spark):
+    """Ten times the turns of one conversation take about ten times as long, to format and to read back."""
+    import time
+
+    def seconds(n):
+        turns = spark.range(n).selectExpr("1 as conv_id", "id as turn", "if(id % 3 = 0, 'user', 'assistant') as role", "concat('<', id, '> some text of a turn') as text")
+        done = format_conversations(turns)
+        read = done.select(F.size(read_turns(F.col("formatted"))).alias("n"), F.array_join(read_loss(F.col("formatted"), F.col("loss")), "").alias("learnt"))
+        start = time.perf_counter()
+        row = read.first()
+        took = time.perf_counter() - start
+        assert row["n"] == n and row["learnt"] == "".join(f"<{i}> some text of a turn" for i in range(n) if i % 3)
+        return took
+
+    seconds(1000)
+    least = [min(seconds(n) for _ in range(2)) for n in (1000, 10_000)]
+    most = seconds(100_000)
+    assert most < 30 * max(least[1], 0.5) and least[1] < 30 * max(least[0], 0.2), (least, most)
+
+
+def test_spans_of_long_and_wide_texts_are_read_back(spark):
+    """Spans that begin and end anywhere in the chunks, with characters beyond 16 bits."""
+    texts = ["\U0001f600" * n for n in (0, 1, 1000, 1023, 1024, 1025, 3000)] + ["x<" * 700, "", "\n" * 2048]
+    rows = [(1, i, "assistant", t) for i, t in enumerate(texts)] + [(2, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(texts)]
+    found = _formatted(spark, rows)
+    assert found[1]["learnt"] == texts and found[2]["learnt"] == texts[1::2]
+
+
 def test_no_conversations(spark):
     assert _formatted(spark, []) == {}
 

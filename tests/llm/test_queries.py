@@ -131,6 +131,14 @@ def test_op10(spark, documents):
         assert r["size"] == len(documents[r["doc_id"]].encode()) + 8
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(slots) < 24
     assert all(len(h) == 1 for h in homes.values())
+    assert {(r["law"], r["grown_shard"]) for r in found} == {("bytes", None)} and len(slots) == 24
+    # Near equal, as far as whole groups allow: no shard is off by more than its largest group.
+    sizes, groups = defaultdict(int), defaultdict(int)
+    for r in found:
+        sizes[r["shard"]] += r["size"]
+        groups[documents[r["doc_id"]]] += r["size"]
+    fair, largest = sum(sizes.values()) / 24, max(groups.values())
+    assert all(abs(size - fair) <= max(largest, 0.1 * fair) for size in sizes.values())
 
 
 def test_pipeline(spark, documents, monkeypatch):
@@ -154,7 +162,7 @@ def test_pipeline(spark, documents, monkeypatch):
             scores = model.score(quality.text_features(pa.array(list(kept.values()))))
             kept = {i: t for (i, t), s in zip(kept.items(), scores) if s >= quality.THRESHOLD}
         else:
-            groups = {i: c for i, _, c in brute.components(list(kept.items()))}
+            groups = {i: c for i, _, c in brute.components(list(kept.items()), corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_SHARE)}
             kept = {i: t for i, t in kept.items() if groups[i] == i}
         assert left.columns == docs.columns
         assert sorted(r["doc_id"] for r in left.select("doc_id").collect()) == sorted(kept), name
