@@ -186,7 +186,7 @@ def _evolve(spark: SparkSession, table: str, endings: list[str], location: str,
         headers = headers_below(spark, location)
         if len(headers) > 1:
             raise SchemaClash(f"{table}: files of one folder have several headers: {sorted(headers)[:3]}")
-        names = header_of(spark, location, sep, recursive=nested)
+        names = [name for name in header_of(spark, location, sep, recursive=nested) if name not in partitions]
         if names == [name for name, _ in held]:
             return
         known = dict(held)
