@@ -25,6 +25,8 @@ BUCKETS = 1 << 15
 GRAMS = (1, 2, 3)
 #: Texts of one language in the sample, about; those of the smallest hashes of their ids.
 SAMPLE_PER_LANGUAGE = 600
+#: Languages that are learnt at most: those of the most texts, so that a column of other things is no danger.
+LANGUAGES = 256
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 #: Share of the sample that only the temperature sees.
@@ -168,7 +170,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_languages(docs: DataFrame) -> LanguageModel:
     """A model learnt from text and lang of the rows of ``docs`` (doc_id, text, lang) not held out.
 
-    Rows with a null doc_id, text or lang teach nothing. Without any the model knows no language.
+    Rows with a null doc_id, text or lang teach nothing. Without any the model knows no language. Of
+    more than ``LANGUAGES`` values of lang those of the most texts are learnt.
     """
     ship(docs.sparkSession)
     may = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
@@ -179,16 +182,16 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
     for row in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         frequency[row["bucket"]] = row["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-    totals = {r["lang"]: r["count"] for r in may.groupBy("lang").count().collect()}
-    languages = tuple(sorted(totals))
+    totals = may.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    languages = tuple(sorted(r["lang"] for r in totals))
     if not languages:
         return LanguageModel((), idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    shares = F.lit(0.0)
-    for lang, n in totals.items():
-        shares = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_PER_LANGUAGE / n))).otherwise(shares)
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("languages")), F.lit(1 << 20)) < shares * (1 << 20)
+    # LANGUAGES rows at most.
+    shares = [(r["lang"], min(1.0, SAMPLE_PER_LANGUAGE / r["n"])) for r in totals]
+    quota = docs.sparkSession.createDataFrame(shares, "learnt string, share double")
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("languages")), F.lit(1 << 20)) < F.col("share") * (1 << 20)
     schema = "lang string, buckets binary, counts binary"
-    sample = may.where(drawn).select("lang", "text").mapInArrow(_features, schema).orderBy("lang", "buckets", "counts").toPandas()
+    sample = may.join(F.broadcast(quota), F.col("lang") == F.col("learnt")).where(drawn).select("lang", "text").mapInArrow(_features, schema).orderBy("lang", "buckets", "counts").toPandas()
     rows = []
     for lang, buckets, n in sample.itertuples(index=False):
         at, found = np.frombuffer(buckets, "<u2").astype(np.int64), np.frombuffer(n, "<u4")
