@@ -8,7 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.match import BROADCAST_BYTES, longest_substring_join, substring_join
+from ledgerloom.operators.match import BROADCAST_BYTES, finder, longest_substring_join, substring_join
+from ledgerloom.session import stage
 
 LEFT = "k bigint, name string"
 RIGHT = "nome string, nota int"
@@ -149,3 +150,42 @@ def test_left_rows_move_once(spark):
             assert plan.count("Exchange hashpartitioning") == 2, plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("searched", [7, 1 << 18])
+def test_needles_of_all_sizes_are_found_in_one_pass(searched):
+    rng = random.Random(11)
+    letters = "ABÇ \U0001f600"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(0, 90))) for _ in range(60)]
+    needles = {"", *("".join(rng.choices(letters, k=rng.randrange(1, 6))) for _ in range(80))}
+    needles |= {text[3 : 3 + size] for text, size in zip(texts, (3, 4, 7, 8, 15, 16, 17, 40))}
+    needles = sorted(needles)
+    of, numbers = finder(needles, searched)(texts)
+    assert list(zip(of.tolist(), numbers.tolist())) == [(i, j) for i, t in enumerate(texts) for j, n in enumerate(needles) if n in t]
+
+
+def test_no_row_for_every_place_of_a_name(spark, monkeypatch):
+    """Few needles are looked for where the names are."""
+    monkeypatch.setattr("ledgerloom.operators.match.containing_pairs", None)
+    assert joined(spark, CASES, NAMES) == brute(CASES, NAMES)
+    # Right rows that are too many for a broadcast, with needles that are not.
+    many = [("ING", i) for i in range(50)] + [("A", 1), ("  ", 2)]
+    assert joined(spark, CASES, many, broadcast_bytes=1000) == brute(CASES, many)
+
+
+@pytest.mark.parametrize("join", [substring_join, longest_substring_join])
+def test_a_name_is_written_once_whatever_it_contains(spark, monkeypatch, join):
+    """Not its text, and not a row for each of its matches."""
+    written = []
+
+    def counted(df, label, path=None):
+        out = stage(df, label, path)
+        written.append((label, out.count(), [c for c, kind in out.dtypes if kind == "string"]))
+        return out
+
+    monkeypatch.setattr("ledgerloom.operators.match.stage", counted)
+    left = spark.createDataFrame([(i, f"{i} ABCDEFGHIJKLMNOP") for i in range(20)], LEFT)
+    right = spark.createDataFrame([(letter, i) for i, letter in enumerate("ABCDEFGHIJKLMNOP")], RIGHT)
+    assert join(left, right, "name", "nome").where("nota is not null").count() == (320 if join is substring_join else 20)
+    assert max(rows for _, rows, _ in written) <= 20
+    assert [texts for label, _, texts in written if label == "hits"] == [[]]
