@@ -22,7 +22,7 @@ from ledgerloom.operators.ids import number_scan
 from ledgerloom.plans.consolidate import INPUTS, RESULT, consolidate_yearly, raw_named
 from ledgerloom.session import scratch, stage
 from ledgerloom.sinks.key_index import indexed_facts, rows_of_files, update_ranges
-from ledgerloom.sinks.tables import aligned, ensure_table
+from ledgerloom.sinks.tables import aligned, ensure_table, setting, side_by_side
 from ledgerloom.sources.tables import read_tables
 
 TOTALS, REFRESHES = f"{RESULT}__totals", f"{RESULT}__refreshes"
@@ -42,13 +42,8 @@ class Refresh:
 @contextmanager
 def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
     """Overwriting replaces the partitions that rows are written to and no others."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    kept = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"), side_by_side(spark):
         yield
-    finally:
-        spark.conf.set(key, kept)
 
 
 def _stamp(table: DataFrame) -> str:

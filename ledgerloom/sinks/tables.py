@@ -7,12 +7,38 @@ isolation and number of connections come from the options given there.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerloom.schemas import target_columns
 
+# Partitions of a table that one task writes side by side; rows of further ones it sorts first.
+OPEN_PARTITIONS = 64
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session with another value of a setting for a while."""
+    kept = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if kept is None else spark.conf.set(key, kept)
+
+
+def side_by_side(spark: SparkSession) -> AbstractContextManager[None]:
+    """Writes to partitioned tables with a file open for every partition of a task.
+
+    Spark else sorts all rows of a task by partition first. Rows take many times the memory that
+    they take on disk, so a task that reads 128 MB of files would sort gigabytes.
+    """
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_PARTITIONS))
+
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create the schema if missing; ``location`` is the folder for its tables."""
@@ -85,4 +111,5 @@ def write_table(df: DataFrame, table: str, mode: str) -> None:
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
-    aligned(df, table).write.insertInto(table, overwrite=mode == "overwrite")
+    with side_by_side(df.sparkSession):
+        aligned(df, table).write.insertInto(table, overwrite=mode == "overwrite")
