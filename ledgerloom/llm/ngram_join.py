@@ -47,8 +47,12 @@ BLOCK_SETS, BLOCK_ELEMENTS = 2048, 1 << 21
 # Sets that share a signature are paired with each other, and if they are more than that with the first;
 # up to so many that have the same first one are compared by their sketches.
 PAIRED, COMPARED = 32, 8192
-# Elements for each number of a sketch, and numbers of the smallest and the largest.
-SKETCHED, SKETCH_LEAST, SKETCH_MOST = 8, 16, 4096
+# Bits of a sketch for each element, or down to half as many; and bits of the smallest and the largest.
+SKETCHED, SKETCH_LEAST, SKETCH_MOST = 2, 128, 65536
+# Bits of a signature: so few that chance neighbours are still rare among billions of them.
+SIGNATURE_BITS = 48
+# Where sketches are compared, which are so much smaller, blocks hold so many times the sets.
+SKETCH_BLOCKS = 4
 _LEAST = -(2**63)
 _U = np.uint64
 
@@ -181,28 +185,30 @@ def _signatures(elements: np.ndarray, share: int = SHARE) -> np.ndarray:
     if n > SMALL:
         own = _band(n, share)
         found += [signed for band in (own, own + 1) for signed in _of_parts(elements, band, share)]
-    return np.concatenate(found)
+    return np.concatenate(found) & _U((1 << SIGNATURE_BITS) - 1)
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """How many elements fall on each of a number of places that grows with the set, 255 at most.
+    """Whether an odd number of elements falls on each of a number of places that grows with the set.
 
-    The sketches of two sets differ, all numbers together, no more than the sets do.
+    The sketches of two sets differ in no more bits than the sets do in elements, and in so many that
+    sets with no more than a passage in common hardly ever pass for similar ones.
     """
-    wanted = len(elements) // SKETCHED
+    wanted = SKETCHED * len(elements)
     places = min(max(SKETCH_LEAST, 1 << max(0, wanted.bit_length() - 1)), SKETCH_MOST)
     at = (mix(elements + _U(3)) & _U(places - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=places), 255).astype(np.uint8).tobytes()
+    return np.packbits((np.bincount(at, minlength=places) & 1).astype(bool)).tobytes()
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How much sketches, one a row, differ; the longer ones are folded to the length of the others."""
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, one a row, as they would be with ``width`` bytes; in words of 64 bits."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1).view(np.uint64)
 
-    def folded(x: np.ndarray, width: int) -> np.ndarray:
-        return x.reshape(len(x), -1, width).sum(1, dtype=np.int32)
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits sketches, one a row, differ; the longer ones are folded to the length of the others."""
     width = min(a.shape[1], b.shape[1])
-    return np.abs(folded(a, width) - folded(b, width)).sum(1)
+    return np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum(1, dtype=np.int64)
 
 
 def _near(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
@@ -229,7 +235,7 @@ def near_links(sizes: np.ndarray, sketches: list[np.ndarray], share: int) -> Ite
     folded = {}
     for width in np.unique(widths).tolist():
         at = np.flatnonzero(widths >= width)
-        folded[width] = at, np.stack([sketches[i].reshape(-1, width).sum(0, dtype=np.int32) for i in at])
+        folded[width] = at, np.concatenate([_folded(sketches[i][None], width) for i in at])
     for i, width in enumerate(widths.tolist()):
         at, rows = folded[width]
         open_ = (component[at] != component[i]) & ((widths[at] > width) | (at > i))
@@ -237,7 +243,7 @@ def near_links(sizes: np.ndarray, sketches: list[np.ndarray], share: int) -> Ite
         if not open_.any():
             continue
         others = at[open_]
-        apart = np.abs(rows[open_] - rows[np.searchsorted(at, i)]).sum(1)
+        apart = np.bitwise_count(rows[open_] ^ rows[np.searchsorted(at, i)]).sum(1, dtype=np.int64)
         for j in others[apart <= _most_different(sizes[others] + sizes[i], share)].tolist():
             if component[j] != component[i]:
                 component[component == component[j]] = component[i]
@@ -245,7 +251,7 @@ def near_links(sizes: np.ndarray, sketches: list[np.ndarray], share: int) -> Ite
 
 
 def _near_within(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
-    """Edges between the nodes (b, size, sketch) of a group (a); rows come in order of a."""
+    """Edges between the nodes (b, size, sketch) of a group (a); rows come in order of a and b."""
     group, nodes, sizes, sketches = None, [], [], []
 
     def edges() -> pa.RecordBatch:
@@ -259,6 +265,8 @@ def _near_within(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.R
                 if len(nodes) > 1:
                     yield edges()
                 group, nodes, sizes, sketches = a, [], [], []
+            if nodes and nodes[-1] == node:
+                continue
             nodes.append(node)
             sizes.append(size)
             sketches.append(np.frombuffer(packed, np.uint8))
@@ -493,17 +501,41 @@ def _links(docs: DataFrame, members: DataFrame, words: int, share: int) -> DataF
 
     The sets of a cluster are dealt into blocks, and those of a block compared with each other and
     with one set of the cluster. If that leaves a cluster of several blocks in more than one
-    component, all sets but those of its largest are compared with all others.
+    component, the sketches of all sets but those of its largest are compared with all others. What
+    this leaves together is dealt into blocks again, and only if one of these smaller clusters is left in
+    more than one component, all its sets but those of the largest are compared with all others.
     """
-    spark = docs.sparkSession
     # A document with a doc_id, if the set has one, and the same for all its branches.
     row = F.struct((F.col("doc_key") == _LEAST).alias("nameless"), "doc_key", "n_shingles", "sketch")
     first = members.groupBy("node").agg(F.min(row).alias("least"))
     nodes = stage(first.select("node", "least.*").drop("nameless"), "nodes")
     clusters = _clusters(docs, nodes, words, share)
     picked = stage(nodes.drop("sketch").join(clusters, "node").select("node", "doc_key", "n_shingles", "cluster"), "clusters")
-    sizes = [F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_ELEMENTS)]
-    totals = picked.groupBy("cluster").agg(F.greatest(*sizes).cast("int").alias("blocks"))
+    links, unsettled = _within_blocks(docs, picked, words, share)
+    if unsettled is None:
+        return links
+    narrowed = stage(_narrowed(unsettled, nodes.select("node", "sketch"), share), "clusters")
+    further, unsettled = _within_blocks(docs, narrowed, words, share)
+    links = links.unionByName(further)
+    if unsettled is None:
+        return links
+    dealt = _across(unsettled, BLOCK_SETS, BLOCK_ELEMENTS)
+    return links.unionByName(stage(_compared(docs, dealt, words, share), "links"))
+
+
+def _blocks(rows: DataFrame, label: str, sets: int, elements: int) -> DataFrame:
+    """How many blocks of about so many sets and elements the rows of each cluster make."""
+    sizes = [F.ceil(F.count(F.lit(1)) / sets), F.ceil(F.sum("n_shingles") / elements)]
+    return rows.groupBy("cluster").agg(F.greatest(*sizes).cast("int").alias(label))
+
+
+def _within_blocks(docs: DataFrame, picked: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFrame | None]:
+    """Links within the blocks of clusters and with one set of each; and the sets of clusters that may have others.
+
+    ``picked`` has node, doc_key, n_shingles, cluster. The sets of clusters that are left in more than one
+    component come with their component and, as ``top``, the largest of the cluster; None if there are none.
+    """
+    totals = _blocks(picked, "blocks", BLOCK_SETS, BLOCK_ELEMENTS)
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = stage(picked.join(totals, "cluster").withColumn("block", block), "dealt")
     own = dealt.select("*", F.col("block").alias("first"), F.col("block").alias("second"), F.lit(0).alias("side"))
@@ -512,25 +544,46 @@ def _links(docs: DataFrame, members: DataFrame, words: int, share: int) -> DataF
     centre = dealt.where("node = cluster and blocks > 1").select("*", F.explode(others).alias("first"))
     centre = centre.where("first <> block").withColumns({"second": F.col("first"), "side": F.lit(0)})
     links = stage(_compared(docs, own.unionByName(centre), words, share), "links")
-    several = dealt.where("blocks > 1")
+    several = dealt.where("blocks > 1").drop("blocks", "block")
     if several.isEmpty():
-        return links
+        return links, None
     joined = several.join(connected_components(links).withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     found = stage(joined.withColumn("component", F.coalesce("component", "node")).drop("of"), "found")
     counts = found.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("sets"))
     largest = counts.groupBy("cluster").agg(F.max(F.struct("sets", "component")).alias("top"), F.count(F.lit(1)).alias("components"))
     open_ = largest.where("components > 1").select("cluster", F.col("top.component").alias("top"))
     unsettled = stage(found.join(open_, "cluster"), "unsettled")
-    if unsettled.isEmpty():
-        return links
+    return links, None if unsettled.isEmpty() else unsettled
+
+
+def _across(unsettled: DataFrame, sets: int, elements: int) -> DataFrame:
+    """All sets but those of its cluster's largest component with all of the cluster, a block of either at a time."""
     rest = unsettled.where("component <> top")
-    sizes = [F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_ELEMENTS)]
-    rests = rest.groupBy("cluster").agg(F.greatest(*sizes).cast("int").alias("rests"))
-    to_rests = F.explode(F.sequence(F.lit(0), F.col("rests") - 1))
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rests")).cast("int")
-    left = rest.join(rests, "cluster").select("*", block.alias("first"), F.explode(others).alias("second"), F.lit(1).alias("side"))
-    right = unsettled.join(rests, "cluster").select("*", to_rests.alias("first"), F.col("block").alias("second"), F.lit(0).alias("side"))
-    return links.unionByName(stage(_compared(docs, left.unionByName(right), words, share), "links"))
+    totals = _blocks(unsettled, "blocks", sets, elements).join(_blocks(rest, "rests", sets, elements), "cluster")
+    to_blocks, to_rests = (F.explode(F.sequence(F.lit(0), F.col(n) - 1)) for n in ("blocks", "rests"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    of_rest = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rests")).cast("int")
+    left = rest.join(totals, "cluster").select("*", of_rest.alias("first"), to_blocks.alias("second"), F.lit(1).alias("side"))
+    right = unsettled.join(totals, "cluster").select("*", to_rests.alias("first"), block.alias("second"), F.lit(0).alias("side"))
+    return left.unionByName(right)
+
+
+def _narrowed(unsettled: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
+    """Clusters as ``_within_blocks`` takes them, with all that may still be linked by sizes and sketches.
+
+    Sketches go many times to other blocks where a cluster is large, a small part of the bytes of the sets.
+    """
+    dealt = _across(unsettled.join(sketches, "node"), SKETCH_BLOCKS * BLOCK_SETS, SKETCH_BLOCKS * BLOCK_ELEMENTS)
+    rows = dealt.select(F.xxhash64("cluster", "first", "second").alias("a"), F.col("node").alias("b"), "n_shingles", "sketch")
+    ordered = rows.repartition("a").sortWithinPartitions("a", "b")
+    near = stage(ordered.mapInArrow(lambda batches: _near_within(batches, share), "a bigint, b bigint"), "near")
+    known = unsettled.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    clusters = connected_components(near.unionByName(known), "narrow")
+    found = stage(unsettled.drop("cluster", "top").join(clusters, "node"), "narrow")
+    # Where one component is all of a cluster, nothing is left to find.
+    several = found.groupBy("narrow").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    several = several.where("least < most").select(F.col("narrow").alias("cluster"))
+    return found.withColumnRenamed("narrow", "cluster").join(several, "cluster").select("node", "doc_key", "n_shingles", "cluster")
 
 
 def _compared(docs: DataFrame, dealt: DataFrame, words: int, share: int) -> DataFrame:

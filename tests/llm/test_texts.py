@@ -137,6 +137,36 @@ def test_near_links_connect_what_near_sets_connect():
     assert same[0] == same[1] and not all(same[0])
 
 
+def test_sketches_tell_sets_with_a_common_passage_apart():
+    random_ = np.random.default_rng(4)
+    passage = random_.integers(0, 2**63, 25, dtype=np.uint64)
+    sizes = random_.integers(90, 600, 300)
+    sets = [np.unique(np.r_[passage, random_.integers(0, 2**63, n - 25, dtype=np.uint64)]) for n in sizes.tolist()]
+    sketches = [np.frombuffer(ngram_join.sketch(s), np.uint8) for s in sets]
+    assert len(list(ngram_join.near_links(sizes, sketches, 80))) < 3
+
+
+def test_sets_of_a_cluster_are_not_brought_together_with_all_others(spark, monkeypatch):
+    """Texts with a common passage, in one cluster for it, and near copies of some: few sets are moved more than once."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7)
+    monkeypatch.setattr(ngram_join, "PAIRED", 2)
+    monkeypatch.setattr(ngram_join, "COMPARED", 3)
+    rows = [(i, f"{prose(1, 12)} {prose(400 + i, 14)}") for i in range(120)]
+    rows += [(200 + i, f"{text} end") for i, text in rows[::6]]
+    moved, compared = [], ngram_join._compared
+
+    def counted(docs, dealt, words, share):
+        moved.append(dealt.count())
+        return compared(docs, dealt, words, share)
+
+    monkeypatch.setattr(ngram_join, "_compared", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = ngram_join.jaccard_components(df).collect()
+    assert _sorted(tuple(r) for r in found) == _sorted(brute.components(rows))
+    assert len({c for _, _, c in brute.components(rows)}) == 120
+    assert 100 < moved[0] and sum(moved) < 2 * len(rows)
+
+
 @pytest.mark.parametrize("rows", [1, 3, 50, 1000])
 def test_candidates_of_signatures_over_batches(rows):
     """Small groups are paired, of large ones all with the first, wherever batches end."""
